@@ -30,6 +30,7 @@ def for_sink(df: DataFrame) -> DataFrame:
     Decimals become doubles. A bigint becomes an int when its name does not hold
     "id" and every value fits; the range is read in one aggregation.
     """
+    df = clean_sink_names(df)
     longs = [
         f.name
         for f in df.schema
@@ -41,7 +42,7 @@ def for_sink(df: DataFrame) -> DataFrame:
         fits = dict(zip(longs, df.agg(*[o.alias(f"c{i}") for i, o in enumerate(outside)]).first()))
     casts = {f.name: F.col(f.name).cast("double") for f in df.schema if isinstance(f.dataType, T.DecimalType)}
     casts |= {c: F.col(c).cast("int") for c, n in fits.items() if n == 0}
-    return clean_sink_names(df.withColumns(casts))
+    return df.withColumns(casts)
 
 
 def write_table(
