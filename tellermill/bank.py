@@ -13,7 +13,7 @@ from tellermill.operators.outliers import with_outlier_flag
 from tellermill.plans import dims, facts, views
 from tellermill.plans.clean import clean
 from tellermill.sources.files import read_csv, read_parquet
-from tellermill.sources.standin import STANDIN, standin
+from tellermill.sources.standin import STANDIN, StandinReader
 
 
 class Tables(Mapping):
@@ -66,7 +66,7 @@ class Bank:
 
     @classmethod
     def from_standin(cls, spark: SparkSession, sf_dir: str) -> Bank:
-        return cls.from_raw(Tables(STANDIN, lambda t: standin(spark, sf_dir, t)))
+        return cls.from_raw(Tables(STANDIN, StandinReader(spark, sf_dir)))
 
     def __getitem__(self, table: str) -> DataFrame:
         return self.processed[table]

@@ -58,7 +58,7 @@ def with_labels(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
 
 def with_types(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
     """Cast named columns; malformed text becomes null whatever the ANSI setting."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items() if c in df.columns})
+    return df.withColumns({c: F.expr(f"try_cast(`{c}` as {t})") for c, t in casts.items() if c in df.columns})
 
 
 def with_trimmed(df: DataFrame, columns: Iterable[str], upper: bool = False) -> DataFrame:

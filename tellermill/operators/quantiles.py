@@ -44,26 +44,29 @@ def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
     return values.unpivot(list(keep), list(columns), "column_name", "value")
 
 
-def _wanted(probs: Mapping[str, float], total: Column, method: str) -> Column:
+def _wanted(probs: Mapping[str, float], method: str) -> Column:
     """Array of (name, upper, rank, weight): the 1-based ranks each quantile needs."""
+    entry = "named_struct('name', '{}', 'upper', {}, 'rank', cast({} as bigint), 'weight', {})"
     wanted = []
     for name, p in probs.items():
         if method == "disc":
-            ranks = [(False, F.greatest(F.ceil(total * p), F.lit(1)), F.lit(0.0))]
+            wanted.append(entry.format(name, "false", f"greatest(ceil(total * {p}D), 1)", "0D"))
         else:
-            at = (total - 1) * F.lit(float(p))
-            weight = at - F.floor(at)
-            ranks = [(False, F.floor(at) + 1, weight), (True, F.ceil(at) + 1, weight)]
-        wanted += [
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(upper).alias("upper"),
-                rank.cast("bigint").alias("rank"),
-                weight.alias("weight"),
-            )
-            for upper, rank, weight in ranks
-        ]
-    return F.array(*wanted)
+            at = f"((total - 1) * {p}D)"
+            weight = f"{at} - floor({at})"
+            wanted.append(entry.format(name, "false", f"floor({at}) + 1", weight))
+            wanted.append(entry.format(name, "true", f"ceil({at}) + 1", weight))
+    return F.expr(f"array({', '.join(wanted)})")
+
+
+def _found(name: str, method: str) -> Column:
+    """The value of one quantile from the rows picked for its ranks."""
+    part = "max(case when name = '{}' and {} then {} end)"
+    low = part.format(name, "not upper", "value")
+    if method == "disc":
+        return F.expr(low).alias(name)
+    high, weight = part.format(name, "upper", "value"), part.format(name, "upper", "weight")
+    return F.expr(f"{low} + ({high} - {low}) * {weight}").alias(name)
 
 
 def _slot(keys: Sequence[str]) -> Column:
@@ -94,15 +97,9 @@ def quantiles(
         .agg(F.count("*").alias("n"))
         .withColumn("upto", F.sum("n").over(group.orderBy("bucket")))
         .withColumn("total", F.sum("n").over(group))
-        .withColumn("want", _wanted(probs, F.col("total"), method))
+        .withColumn("want", _wanted(probs, method))
         .withColumn(
-            "want",
-            F.explode(
-                F.filter(
-                    "want",
-                    lambda w: (w.rank <= F.col("upto")) & (w.rank > F.col("upto") - F.col("n")),
-                )
-            ),
+            "want", F.expr("explode(filter(want, w -> w.rank <= upto and w.rank > upto - n))")
         )
         .select(*keys, "bucket", (F.col("upto") - F.col("n")).alias("below"), "want.*")
     )
@@ -120,17 +117,9 @@ def quantiles(
     # Numbering the joined columns keeps both sides' names apart.
     right = targets.withColumnsRenamed({k: f"_{k}" for k in [*keys, "bucket"]})
     picked = counted.join(right, same_keys(keys, plain=["bucket"])).filter(
-        (F.col("rank") <= F.col("below") + F.col("upto"))
-        & (F.col("rank") > F.col("below") + F.col("upto") - F.col("n"))
+        "rank <= below + upto and rank > below + upto - n"
     )
-    found = []
-    for name in probs:
-        mine = F.col("name") == name
-        low = F.max(F.when(mine & ~F.col("upper"), F.col("value")))
-        high = F.max(F.when(mine & F.col("upper"), F.col("value")))
-        weight = F.max(F.when(mine, F.col("weight")))
-        found.append((low if method == "disc" else low + (high - low) * weight).alias(name))
-    return picked.groupBy(*keys).agg(*found)
+    return picked.groupBy(*keys).agg(*[_found(name, method) for name in probs])
 
 
 def quantile_value(df: DataFrame, column: str, p: float, approximate: bool = False) -> Column:

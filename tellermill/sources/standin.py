@@ -138,13 +138,25 @@ def select_text(table: str) -> str:
     return "select " + ", ".join(f"{e} as {c}" for c, e in columns.items()) + f" from {source}"
 
 
-def standin(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Raw-shaped table over the Parquet files in ``sf_dir``."""
-    text = select_text(table)
-    inputs = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in _INPUTS[table]}
-    for name in inputs:
-        text = _braced(text, name)
-    return spark.sql(text, **inputs)
+class StandinReader:
+    """Raw-shaped tables over the Parquet files in one folder, each file opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._folder = sf_dir
+        self._files: dict[str, DataFrame] = {}
+
+    def _file(self, name: str) -> DataFrame:
+        if name not in self._files:
+            self._files[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._files[name]
+
+    def __call__(self, table: str) -> DataFrame:
+        text = select_text(table)
+        inputs = {n: self._file(n) for n in _INPUTS[table]}
+        for name in inputs:
+            text = _braced(text, name)
+        return self._spark.sql(text, **inputs)
 
 
 def _braced(text: str, name: str) -> str:

@@ -14,11 +14,11 @@ def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     spark = session(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.checkpoint.dir": str(base / "shared"),
         },

@@ -19,14 +19,14 @@ def test_every_query_has_checking_sql():
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
-def test_query(spark, sf_dir, db, name):
-    df = entry_point.queries()[name](spark, sf_dir)
-    assert compare(df, db, entry_point.oracle_sql()[name]) == ""
+def test_query(bank, db, name):
+    assert compare(QUERIES[name](bank), db, entry_point.oracle_sql()[name]) == ""
 
 
-def test_entry(spark):
+def test_entry(spark, sf_dir):
     df = entry_point.entry(spark)
     assert df.count() > 0 and "customer_segment" in df.columns
+    assert entry_point.queries()["risk_rate"](spark, sf_dir).count() == 1
 
 
 def test_joins_keep_rows(bank):
