@@ -63,26 +63,21 @@ def _plain(trans: DataFrame, frame: str) -> DataFrame:
 
 
 def _chunked(trans: DataFrame, frame: str) -> DataFrame:
-    chunk = ["account_id", "date", "block"]
-    rows = trans.withColumns(
-        {**_measures(), "block": F.shiftright(F.col("trans_id").cast("bigint"), BLOCK_BITS)}
-    )
+    # One struct column is the key of the aggregation, the join and the inner
+    # window, and its null fields match each other: the rows are shuffled once.
+    block = F.shiftright(F.col("trans_id").cast("bigint"), BLOCK_BITS).alias("block")
+    rows = trans.withColumns({**_measures(), "chunk": F.struct("account_id", "date", block)})
     last = F.max(F.struct("trans_id", "balance"))["balance"]
+    before = F.lag("closing").over(Window.partitionBy("account_id").orderBy("date", "block"))
     chunks = (
-        rows.groupBy(*chunk)
+        rows.groupBy("chunk")
         .agg(*[F.sum(m).alias(m) for m in _measures()], last.alias("closing"))
-        .withColumns(
-            {
-                "carried": F.lag("closing").over(
-                    Window.partitionBy("account_id").orderBy("date", "block")
-                ),
-                **_over(frame),
-            }
-        )
-        .select(*[F.col(c).alias(f"_{c}") for c in chunk], "carried", *_over(frame))
+        .select("*", "chunk.*")
+        .withColumns({"carried": before, **_over(frame)})
+        .select("chunk", "carried", *_over(frame))
     )
-    inner = Window.partitionBy(*chunk).orderBy("trans_id")
-    return rows.join(chunks, same_keys(chunk)).withColumn(
+    inner = Window.partitionBy("chunk").orderBy("trans_id")
+    return rows.join(chunks, "chunk").withColumn(
         "previous",
         F.when(F.row_number().over(inner) == 1, F.col("carried")).otherwise(
             F.lag("balance").over(inner)

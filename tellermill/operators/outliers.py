@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,26 +28,31 @@ def with_outlier_flag(
     return df.withColumn(f"is_{column}_outlier", flag(F.col(column) > threshold))
 
 
-def iqr_summary(values: DataFrame, factor: float = 1.5) -> DataFrame:
-    """Quartiles, fences and what lies outside them, per table and column.
+def iqr_summary(values: DataFrame, factors: Sequence[float] = (1.5,)) -> DataFrame:
+    """Quartiles, fences and what lies outside them, per table, column and factor.
 
-    ``values`` has one row per (table_name, column_name, value).
+    ``values`` has one row per (table_name, column_name, value). Every factor is
+    served by the same quartiles.
     """
     keys = ["table_name", "column_name"]
     iqr = F.col("q3") - F.col("q1")
-    fences = quantiles(values, keys, {"q1": 0.25, "q3": 0.75}).withColumns(
-        {
-            "iqr": iqr,
-            "lower_bound": F.col("q1") - F.lit(factor) * iqr,
-            "upper_bound": F.col("q3") + F.lit(factor) * iqr,
-        }
+    fences = (
+        quantiles(values, keys, {"q1": 0.25, "q3": 0.75})
+        .withColumn("factor", F.explode(F.array(*[F.lit(float(f)) for f in factors])))
+        .withColumns(
+            {
+                "iqr": iqr,
+                "lower_bound": F.col("q1") - F.col("factor") * iqr,
+                "upper_bound": F.col("q3") + F.col("factor") * iqr,
+            }
+        )
     )
     value = F.col("value")
     outside = (value < F.col("lower_bound")) | (value > F.col("upper_bound"))
     return (
-        # Bounded: one row per profiled column, whatever the tables hold.
+        # Bounded: one row per profiled column and factor, whatever the tables hold.
         values.join(F.broadcast(fences), keys)
-        .groupBy(*keys, "q1", "q3", "iqr", "lower_bound", "upper_bound")
+        .groupBy("factor", *keys, "q1", "q3", "iqr", "lower_bound", "upper_bound")
         .agg(
             F.count("*").alias("total_rows"),
             F.count_if(outside).alias("outliers"),

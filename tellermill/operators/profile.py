@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,15 +65,16 @@ def null_profile(tables: Mapping[str, DataFrame], tokens: Sequence[str] = NULL_T
             df.columns,
         )
         parts.append(part.select(F.lit(name).alias("table_name"), "*"))
+    # One row per column, so a table's window holds no more rows than it has columns.
+    table = Window.partitionBy("table_name")
     profile = (
         union_all(parts)
         .filter(F.col("nulls") > 0)
         .withColumn("null_pct", percent(F.col("nulls"), F.col("row_count")))
+        .withColumn("columns_with_nulls", F.count("*").over(table))
+        .withColumn("max_null_pct", F.max("null_pct").over(table))
     )
-    summary = profile.groupBy("table_name").agg(
-        F.count("*").alias("columns_with_nulls"), F.max("null_pct").alias("max_null_pct")
-    )
-    return profile.join(summary, "table_name").select(
+    return profile.select(
         "table_name",
         "column_name",
         "nulls",

@@ -437,12 +437,8 @@ def numeric_shape(b: Bank) -> DataFrame:
 @query
 def outlier_iqr(b: Bank) -> DataFrame:
     values = profile.numeric_values(b.processed, schema.OUTLIER_COLUMNS)
-    parts = [
-        iqr_summary(values, factor).select(F.lit(factor).alias("factor"), "*")
-        for factor in (1.5, 3.0)
-    ]
     return profile.rounded(
-        profile.union_all(parts), 4, "q1", "q3", "iqr", "lower_bound", "upper_bound"
+        iqr_summary(values, (1.5, 3.0)), 4, "q1", "q3", "iqr", "lower_bound", "upper_bound"
     )
 
 
