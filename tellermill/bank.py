@@ -173,6 +173,17 @@ class Bank:
             self.owned, self.flagged_moves, self.fact_account_transactions
         )
 
+    def create_views(self) -> None:
+        """Temporary views over the curated tables and analysis views, for plain SQL."""
+        frames = self.curated() | {
+            "v_customer_behavior": self.v_customer_behavior,
+            "v_loan_risk_analysis": self.v_loan_risk_analysis,
+            "v_account_activity": self.v_account_activity,
+            "v_fraude_analisis": self.v_fraud_analysis,
+        }
+        for name, df in frames.items():
+            df.createOrReplaceTempView(name)
+
     def curated(self) -> dict[str, DataFrame]:
         """The ten curated tables by name."""
         return {name: getattr(self, name) for name in schema.CURATED_PARTITIONS}

@@ -24,6 +24,8 @@ PERCENTILES = {
 
 HIGH_CARDINALITY = 50
 
+KEYS = ["table_name", "column_name"]
+
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -85,56 +87,57 @@ def null_profile(tables: Mapping[str, DataFrame], tokens: Sequence[str] = NULL_T
     )
 
 
-def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value as text, n): distinct values counted across the cluster."""
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    return (
-        texts.unpivot([], list(columns), "column_name", "value")
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-    )
+def _value_counts(
+    tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """(table_name, column_name, value as text, n) over the named columns.
+
+    All tables share one aggregation; a frequent value is combined on the map side.
+    """
+    texts = [
+        tables[t]
+        .select(*[F.col(c).cast("string").alias(c) for c in columns[t]])
+        .unpivot([], list(columns[t]), "column_name", "value")
+        .select(F.lit(t).alias("table_name"), "*")
+        for t in columns
+    ]
+    return union_all(texts).groupBy(*KEYS, "value").agg(F.count("*").alias("n"))
 
 
 def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Type, nulls, distinct values and an example for every column."""
-    parts = []
-    for name, df in tables.items():
-        types = F.create_map(
-            *[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())]
+    n, present = F.col("n"), F.col("value").isNotNull()
+    types = F.create_map(
+        *[
+            F.lit(x)
+            for t, df in tables.items()
+            for f in df.schema
+            for x in (f"{t}.{f.name}", f.dataType.simpleString())
+        ]
+    )
+    return (
+        _value_counts(tables, {t: df.columns for t, df in tables.items()})
+        .groupBy(*KEYS)
+        .agg(
+            F.coalesce(F.sum(F.when(present, n)), F.lit(0)).alias("non_null"),
+            F.coalesce(F.sum(F.when(~present, n)), F.lit(0)).alias("nulls"),
+            F.count("value").alias("distinct_values"),
+            F.min("value").alias("example"),
         )
-        n, present = F.col("n"), F.col("value").isNotNull()
-        parts.append(
-            _value_counts(df, df.columns)
-            .groupBy("column_name")
-            .agg(
-                F.coalesce(F.sum(F.when(present, n)), F.lit(0)).alias("non_null"),
-                F.coalesce(F.sum(F.when(~present, n)), F.lit(0)).alias("nulls"),
-                F.count("value").alias("distinct_values"),
-                F.min("value").alias("example"),
-            )
-            .select(
-                F.lit(name).alias("table_name"),
-                "column_name",
-                F.element_at(types, F.col("column_name")).alias("data_type"),
-                "non_null",
-                "nulls",
-                percent(F.col("nulls"), F.col("non_null") + F.col("nulls")).alias("null_pct"),
-                "distinct_values",
-                "example",
-            )
+        .select(
+            *KEYS,
+            F.element_at(types, F.concat_ws(".", *KEYS)).alias("data_type"),
+            "non_null",
+            "nulls",
+            percent(F.col("nulls"), F.col("non_null") + F.col("nulls")).alias("null_pct"),
+            "distinct_values",
+            "example",
         )
-    return union_all(parts)
+    )
 
 
 def _categories(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]]) -> DataFrame:
-    return union_all(
-        [
-            _value_counts(tables[t], columns[t])
-            .filter(F.col("value").isNotNull())
-            .select(F.lit(t).alias("table_name"), "*")
-            for t in columns
-        ]
-    )
+    return _value_counts(tables, columns).filter(F.col("value").isNotNull())
 
 
 def value_shares(
@@ -142,10 +145,9 @@ def value_shares(
 ) -> DataFrame:
     """Count and share of total of every category value."""
     counts = _categories(tables, columns)
-    keys = ["table_name", "column_name"]
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    return counts.join(totals, keys).select(
-        *keys, "value", "n", percent(F.col("n"), F.col("total"), 4).alias("pct")
+    totals = counts.groupBy(*KEYS).agg(F.sum("n").alias("total"))
+    return counts.join(totals, KEYS).select(
+        *KEYS, "value", "n", percent(F.col("n"), F.col("total"), 4).alias("pct")
     )
 
 
@@ -158,7 +160,7 @@ def cardinality_alerts(
     distinct = F.col("distinct_values")
     return (
         _categories(tables, columns)
-        .groupBy("table_name", "column_name")
+        .groupBy(*KEYS)
         .agg(F.count("*").alias("distinct_values"))
         .withColumn(
             "alert",
@@ -179,9 +181,6 @@ def numeric_values(
     )
 
 
-KEYS = ["table_name", "column_name"]
-
-
 def numeric_profile(values: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and nine exact percentiles per column."""
     cuts = quantiles(values, KEYS, PERCENTILES)

@@ -72,16 +72,24 @@ def write_table(
 
 
 def read_table(
-    spark: SparkSession, url: str, table: str, options: Mapping[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    table: str,
+    options: Mapping[str, str] | None = None,
+    split: tuple[str, int, int, int] | None = None,
 ) -> DataFrame:
-    """A table, or a query in parentheses with an alias."""
-    return (
-        spark.read.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .options(**(options or {}))
-        .load()
-    )
+    """A table, or a query in parentheses with an alias.
+
+    ``split`` is (column, low, high, partitions): the range is read in that many
+    parts, and rows outside it fall into the first and last one. Without it one
+    task reads everything, which suits single figures.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    reader = reader.options(**(options or {}))
+    if split:
+        names = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+        reader = reader.options(**dict(zip(names, split)))
+    return reader.load()
 
 
 def count_rows(

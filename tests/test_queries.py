@@ -58,6 +58,21 @@ def test_relative_range_counts_from_latest_date(bank):
     assert got.count() == want
 
 
+def test_plain_sql_over_views(spark, bank):
+    """The tables answer SQL by their names, with the same figures."""
+    bank.create_views()
+    by_sql = spark.sql(
+        "select loan_amount_segment, count(*) n, sum(case when status in ('B', 'D') then 1 else 0 end) bad "
+        "from dim_loan group by loan_amount_segment"
+    )
+    want = QUERIES["default_rate_by_segment"](bank)
+    assert {tuple(r) for r in by_sql.collect()} == {
+        (r.loan_amount_segment, r.total_prestamos, r.prestamos_default) for r in want.collect()
+    }
+    got = spark.sql("select count(*) from v_fraude_analisis where has_negative_balance is null").first()[0]
+    assert got == 0
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

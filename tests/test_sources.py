@@ -73,6 +73,8 @@ def test_database_round_trip(spark):
     assert jdbc.count_rows(spark, url, "numbers", DERBY) == 1500
     back = jdbc.read_table(spark, url, "numbers", DERBY)
     assert back.agg(F.sum("K")).first()[0] == sum(range(1500))
+    split = jdbc.read_table(spark, url, "numbers", DERBY, split=("k", 100, 1000, 4))
+    assert split.rdd.getNumPartitions() == 4 and split.agg(F.sum("K")).first()[0] == sum(range(1500))
     found = spark.createDataFrame([("numbers", 1500), ("extra", 1)], "table_name string, row_count bigint")
     want = spark.createDataFrame([("numbers", 1500), ("gone", 2)], "table_name string, row_count bigint")
     ok = {r.table_name: r.ok for r in jdbc.reconcile(want, found).collect()}
