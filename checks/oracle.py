@@ -237,7 +237,9 @@ sql(
 )
 sql(
     "sink_types",
-    "select * exclude (stddev_transaction_amount), cast(1 as double) as share from activity",
+    "select * exclude (stddev_transaction_amount) replace (cast(total_transactions as integer) as total_transactions, "
+    "cast(total_income_transactions as integer) as total_income_transactions, "
+    "cast(total_expense_transactions as integer) as total_expense_transactions), cast(1 as double) as share from activity",
 )
 sql("parse_dates", "select account_id, date from account")
 sql("impute_labels", "select trans_id, operation, k_symbol, bank, account from trans")
@@ -308,8 +310,14 @@ sql(
 )
 sql(
     "dim_date",
-    "select date, cast(strftime(date, '%Y%m%d') as integer) as date_key, day(date) as day, isodow(date) as day_of_week, "
-    "week(date) as week, month(date) as month, quarter(date) as quarter, year(date) as year from ("
+    "select date, cast(strftime(date, '%Y%m%d') as integer) as date_key, "
+    + ", ".join(
+        f"cast({f}(date) as integer) as {n}"
+        for n, f in {
+            "day": "day", "day_of_week": "isodow", "week": "week", "month": "month", "quarter": "quarter", "year": "year",
+        }.items()
+    )
+    + " from ("
     "select cast(unnest(generate_series((select min(date) from (select date from account union all select date from loan) x), "
     "(select max(date) from (select date from account union all select date from loan) y), interval 1 day)) as date) as date) days",
 )

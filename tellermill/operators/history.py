@@ -67,7 +67,7 @@ def _chunked(trans: DataFrame, frame: str) -> DataFrame:
     # window, and its null fields match each other: the rows are shuffled once.
     block = F.shiftright(F.col("trans_id").cast("bigint"), BLOCK_BITS).alias("block")
     rows = trans.withColumns({**_measures(), "chunk": F.struct("account_id", "date", block)})
-    last = F.max(F.struct("trans_id", "balance"))["balance"]
+    last = F.max_by("balance", "trans_id")
     before = F.lag("closing").over(Window.partitionBy("account_id").orderBy("date", "block"))
     chunks = (
         rows.groupBy("chunk")

@@ -10,41 +10,45 @@ from pyspark.sql import functions as F
 from tellermill.functions.money import percent
 from tellermill.functions.text import parse_yymmdd_time
 from tellermill.operators.profile import union_all
+from tellermill.operators.slots import possible_matches
 
 
 def duplicate_check(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
-    """Rows that share their key, and rows that are equal throughout (all copies)."""
-
-    def repeated(df: DataFrame, name: str, columns: Sequence[str], kind: str) -> DataFrame:
-        n = F.col("n")
-        return (
-            df.groupBy(*columns)
-            .agg(F.count("*").alias("n"))
-            .agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-                F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("copies"),
-            )
-            .select(F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "*")
-        )
+    """Rows that share their key, and rows that are equal throughout (all copies).
 
+    Equal rows share their key, so only rows whose key may be repeated are
+    compared in full: with few repeated keys whole rows are hardly shuffled.
+    """
+    n = F.col("n")
+    copies = F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("copies")
     parts = []
     for name, df in tables.items():
-        parts.append(repeated(df, name, [keys[name]], "key"))
-        parts.append(repeated(df, name, df.columns, "row"))
+        key = keys[name]
+        by_key = df.groupBy(key).agg(F.count("*").alias("n"))
+        suspects = possible_matches(df, by_key.filter(n > 1), [key])
+        by_row = suspects.groupBy(*df.columns).agg(F.count("*").alias("n"))
+        total = F.coalesce(F.sum("n"), F.lit(0)).alias("total")
+        for kind, counted in (("key", by_key), ("row", by_row)):
+            parts.append(
+                counted.agg(total, copies).select(
+                    F.lit(name).alias("table_name"),
+                    F.lit(key).alias("key_column"),
+                    F.lit(kind).alias("kind"),
+                    "*",
+                )
+            )
 
     def of(kind: str, column: str):
         return F.max(F.when(F.col("kind") == kind, F.col(column)))
 
-    names = F.create_map(*[F.lit(x) for pair in keys.items() for x in pair])
     return (
         union_all(parts)
-        .groupBy("table_name")
+        .groupBy("table_name", "key_column")
         .agg(
             of("key", "total").alias("total_rows"),
             of("key", "copies").alias("key_duplicates"),
             of("row", "copies").alias("row_duplicates"),
         )
-        .withColumn("key_column", F.element_at(names, F.col("table_name")))
     )
 
 

@@ -15,14 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellermill.operators.nullsafe import same_keys
+from tellermill.operators.slots import possible_matches
 
 # Buckets per power of two: each covers about 0.27 % of its magnitude, so the
 # distinct money amounts inside one are limited by the money grid.
 STEPS = 256
 # Shifts every logarithm of a double above zero, keeping the sign for the value's own.
 OFFSET = 1 << 19
-# Size of the bucket filter: fixed, whatever the number of groups.
-SLOTS = 4096
 
 
 def value_bucket(c: Column) -> Column:
@@ -69,10 +68,6 @@ def _found(name: str, method: str) -> Column:
     return F.expr(f"{low} + ({high} - {low}) * {weight}").alias(name)
 
 
-def _slot(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys, "bucket"), F.lit(SLOTS)).cast("int")
-
-
 def quantiles(
     values: DataFrame,
     keys: Sequence[str],
@@ -103,18 +98,13 @@ def quantiles(
         )
         .select(*keys, "bucket", (F.col("upto") - F.col("n")).alias("below"), "want.*")
     )
-    # A fixed-size map of wanted buckets; collisions let a few more rows through,
-    # which the join below drops.
-    slots = targets.select(F.collect_set(_slot(keys)).alias("hit")).select(
-        F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.array_contains("hit", i))
-    )
+    # The filter lets a few unwanted buckets through, which the join below drops.
     counted = (
-        rows.filter(F.get(slots.scalar(), _slot(keys)))
+        possible_matches(rows, targets, [*keys, "bucket"])
         .groupBy(*keys, "bucket", "value")
         .agg(F.count("*").alias("n"))
         .withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "bucket").orderBy("value")))
     )
-    # Numbering the joined columns keeps both sides' names apart.
     right = targets.withColumnsRenamed({k: f"_{k}" for k in [*keys, "bucket"]})
     picked = counted.join(right, same_keys(keys, plain=["bucket"])).filter(
         "rank <= below + upto and rank > below + upto - n"

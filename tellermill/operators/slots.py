@@ -1,0 +1,25 @@
+"""A fixed-size filter on key hashes."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Size of the filter, whatever the number of keys in it.
+SLOTS = 4096
+
+
+def possible_matches(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key may be among the wanted ones: all that are, and few others.
+
+    Each wanted key marks one of a fixed number of slots, and the marks reach the
+    scan as a scalar subquery. With few wanted keys nearly every other row is
+    dropped before any shuffle; with many, rows pass and the next step sorts it out.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
+    marks = wanted.select(F.collect_set(slot).alias("hit")).select(
+        F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.array_contains("hit", i))
+    )
+    return rows.filter(F.get(marks.scalar(), slot))
