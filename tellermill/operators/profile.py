@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tellermill.functions.money import percent, round_half_up
+from tellermill.functions.money import percent
 from tellermill.functions.text import blank_to_null
 from tellermill.operators.quantiles import long_values, quantiles
 
@@ -222,4 +222,6 @@ def numeric_shape(values: DataFrame) -> DataFrame:
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Round measures whose last digits depend on the order of summation."""
-    return df.withColumns({c: round_half_up(F.col(c), digits) for c in columns})
+    scale = 10**digits
+    rule = "signum(`{0}`) * floor(abs(`{0}`) * {1} + 0.5D) / {1} + 0D"
+    return df.withColumns({c: F.expr(rule.format(c, scale)) for c in columns})
