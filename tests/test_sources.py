@@ -119,7 +119,6 @@ def test_batch_steps(spark, bank, layers):
         spark.sql(f"drop table default.{name}")
 
     url = "jdbc:derby:memory:mart;create=true"
-    # The embedded database has no boolean-free date or text limits of its own to set.
     loaded = jobs.curated_to_warehouse(spark, curated, url, DERBY)
     checked = jobs.verify_warehouse(spark, loaded, url, DERBY).collect()
     assert len(checked) == 10 and all(r.ok for r in checked)
