@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellermill.llm import decontaminate
+from tellermill.llm import decontaminate, packing, quality, secret_scan, sharding
 from tellermill.llm.common import ship
 
 
@@ -20,6 +20,10 @@ def _sent(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 _OPERATORS = {
     "op1_decontamination": decontaminate.op1,
+    "op2_sharding": sharding.op2,
+    "op3_quality_rules": quality.op3,
+    "op6_secret_scan": secret_scan.op6,
+    "op7_packing": packing.op7,
 }
 QUERIES = {name: _sent(query) for name, query in _OPERATORS.items()}
 ORACLES = {
