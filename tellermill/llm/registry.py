@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellermill.llm import decontaminate, packing, quality, secret_scan, sharding
+from tellermill.llm import decontaminate, packing, pii, quality, secret_scan, sharding, simhash
 from tellermill.llm.common import ship
 
 
@@ -22,8 +22,10 @@ _OPERATORS = {
     "op1_decontamination": decontaminate.op1,
     "op2_sharding": sharding.op2,
     "op3_quality_rules": quality.op3,
+    "op5_simhash": simhash.op5,
     "op6_secret_scan": secret_scan.op6,
     "op7_packing": packing.op7,
+    "op8_pii_surrogates": pii.op8,
 }
 QUERIES = {name: _sent(query) for name, query in _OPERATORS.items()}
 ORACLES = {
