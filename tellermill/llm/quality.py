@@ -132,9 +132,9 @@ def fences(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     )
     # A group's own sketch, its language's and the one of all, each a sum of sketches.
     levels = F.explode(F.array(*(F.lit(k) for k in range(3)))).alias("level")
-    own_lang = F.when(F.col("level") < 2, F.col("lang")).alias("of_lang")
-    own_source = F.when(F.col("level") < 1, F.col("source")).alias("of_source")
-    level_keys = ["level", "of_lang", "of_source"]
+    own_lang = F.when(F.col("level") < 2, F.col("lang")).alias("__of_lang")
+    own_source = F.when(F.col("level") < 1, F.col("source")).alias("__of_source")
+    level_keys = ["level", "__of_lang", "__of_source"]
     merged = (
         sketches.select("*", levels)
         .groupBy("level", own_lang, own_source, "measure", "bucket")
@@ -163,8 +163,8 @@ def fences(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     best = F.min_by(F.struct(*(F.col(f"b.{m}") for m in SPREADS)), F.when(usable, F.col("b.level")))
     return (
         groups.join(b, reduce(Column.__and__, fits))
-        .groupBy(groups["lang"].alias("of_lang"), groups["source"].alias("of_source"))
-        .agg(best.alias("fence"))
+        .groupBy(groups["lang"].alias("__of_lang"), groups["source"].alias("__of_source"))
+        .agg(best.alias("__fence"))
     )
 
 
@@ -185,15 +185,15 @@ def with_quality(docs: DataFrame, name: str = "quality", min_group: int = MIN_GR
     # Written first: its true size decides whether Spark sends it to all executors or shuffles.
     limits = stored(fences(sound, min_group), "fences")
     inside = [
-        value.between(F.col("fence")[m]["low"], F.col("fence")[m]["high"])
+        value.between(F.col("__fence")[m]["low"], F.col("__fence")[m]["high"])
         for m, value in _measures(F.col("__c")).items()
     ]
     verdict = ~failed & F.coalesce(reduce(Column.__and__, inside), F.lit(False))
-    same = measured["lang"].eqNullSafe(limits["of_lang"]) & measured["source"].eqNullSafe(limits["of_source"])
+    same = measured["lang"].eqNullSafe(limits["__of_lang"]) & measured["source"].eqNullSafe(limits["__of_source"])
     return (
         measured.join(limits, same, "left")
         .withColumn(name, F.struct("__c.*", failed.alias("base_failed"), verdict.alias("kept")))
-        .drop("__c", "of_lang", "of_source", "fence")
+        .drop("__c", "__of_lang", "__of_source", "__fence")
     )
 
 

@@ -69,7 +69,7 @@ def with_shards(
     replicas: int = REPLICAS,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """All rows and columns of docs, with shard and slot, a gapless number inside the shard.
+    """All rows and columns of docs, with (new) shard and slot, a gapless number inside the shard.
 
     Shards hold row counts that differ by one at most, whatever the keys: rows of one key,
     null included, spread clockwise over as many shards as they need. Rows are written
@@ -91,26 +91,27 @@ def with_shards(
     for r in found:
         counts[r["__arc"]] = r["count"]
     plan = ring_plan(counts, owners, shards)
-    arcs = spark.createDataFrame([(a, -(-n // cell_rows)) for a, n in enumerate(counts) if n] or [(0, 1)], "__arc int, cells long")
+    arcs = spark.createDataFrame([(a, -(-n // cell_rows)) for a, n in enumerate(counts) if n] or [(0, 1)], "__arc int, __cells long")
     plan_rows = spark.createDataFrame(
-        plan or [(0, 0, 0, 0, 0)], "to_arc int, from_rank long, end_rank long, shard int, first_slot long"
+        plan or [(0, 0, 0, 0, 0)], "__to_arc int, __from_rank long, __end_rank long, __shard int, __first_slot long"
     )
 
     # Both tables have a bounded number of rows: the virtual nodes, and at most one more
     # for each time that a shard fills up or a node's keys go on.
-    cell = F.pmod(F.xxhash64("__row"), F.col("cells"))
-    celled = rows.join(F.broadcast(arcs), "__arc").withColumn("__cell", cell).drop("cells")
+    cell = F.pmod(F.xxhash64("__row"), F.col("__cells"))
+    celled = rows.join(F.broadcast(arcs), "__arc").withColumn("__cell", cell).drop("__cells")
     sizes = celled.groupBy("__arc", "__cell").count()
     before = Window.partitionBy("__arc").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__arc", "__cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
     inside = Window.partitionBy("__arc", "__cell").orderBy("__row")
     ranked = celled.withColumn("__in", F.row_number().over(inside) - 1).join(starts, ["__arc", "__cell"])
     rank = F.col("__start") + F.col("__in")
-    there = (F.col("__arc") == F.col("to_arc")) & (rank >= F.col("from_rank")) & (rank < F.col("end_rank"))
+    there = (F.col("__arc") == F.col("__to_arc")) & (rank >= F.col("__from_rank")) & (rank < F.col("__end_rank"))
     return (
         ranked.join(F.broadcast(plan_rows), there)
-        .withColumn("slot", F.col("first_slot") + rank - F.col("from_rank"))
-        .select(*(F.col(f"`{c}`") for c in docs.columns), "shard", "slot")
+        .withColumn("__slot", F.col("__first_slot") + rank - F.col("__from_rank"))
+        .select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")), F.col("__shard").alias("shard"), "__slot")
+        .withColumnRenamed("__slot", "slot")
     )
 
 
