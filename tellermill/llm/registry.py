@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellermill.llm import decontaminate, packing, pii, quality, secret_scan, sharding, simhash
+from tellermill.llm import decontaminate, packing, pii, quality, secret_scan, sharding, simhash, toxicity
 from tellermill.llm.common import ship
 
 
@@ -26,6 +26,7 @@ _OPERATORS = {
     "op6_secret_scan": secret_scan.op6,
     "op7_packing": packing.op7,
     "op8_pii_surrogates": pii.op8,
+    "op9_toxicity": toxicity.op9,
 }
 QUERIES = {name: _sent(query) for name, query in _OPERATORS.items()}
 ORACLES = {
