@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellermill.llm import decontaminate, packing, pii, quality, secret_scan, sharding, simhash, toxicity
+from tellermill.llm import decontaminate, line_dedup, packing, pii, quality, secret_scan, sharding, simhash, toxicity
 from tellermill.llm.common import ship
 
 
@@ -22,6 +22,7 @@ _OPERATORS = {
     "op1_decontamination": decontaminate.op1,
     "op2_sharding": sharding.op2,
     "op3_quality_rules": quality.op3,
+    "op4_line_dedup": line_dedup.op4,
     "op5_simhash": simhash.op5,
     "op6_secret_scan": secret_scan.op6,
     "op7_packing": packing.op7,
