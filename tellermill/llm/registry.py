@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellermill.llm import decontaminate, line_dedup, packing, pii, quality, secret_scan, sharding, simhash, toxicity
+from tellermill.llm import decontaminate, katz, line_dedup, packing, pii, quality, secret_scan, sharding, simhash, toxicity
 from tellermill.llm.common import ship
 
 
@@ -28,6 +28,7 @@ _OPERATORS = {
     "op7_packing": packing.op7,
     "op8_pii_surrogates": pii.op8,
     "op9_toxicity": toxicity.op9,
+    "op10_katz_scores": katz.op10,
 }
 QUERIES = {name: _sent(query) for name, query in _OPERATORS.items()}
 ORACLES = {
