@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellermill.llm import decontaminate
+from tellermill.llm import decontaminate, line_dedup, packing, quality, simhash
 from tellermill.llm.common import ship, stored, table
 
 #: Name and function of each stage. A function takes the session, the documents that the
 #: stage before it kept, and the folder of the input tables.
 STAGES = [
+    ("quality rules", quality.stage),
+    ("line dedup", line_dedup.stage),
+    ("simhash near-dedup", simhash.stage),
     ("benchmark decontamination", decontaminate.stage),
+    ("best-fit packing", packing.stage),
 ]
 #: The last stages depend on a tokenizer and on hashes that SQL does not have.
 ORACLE_SQL = None
