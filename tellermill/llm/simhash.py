@@ -25,7 +25,7 @@ SHINGLE = 3
 DISTANCE = 2
 SEED = 42
 #: Fingerprints that one task joins, and the bits by which larger node pairs are split.
-TASK_PRINTS = 16_384
+TASK_PRINTS = 131_072
 SPLIT_BITS = 4
 
 _BITS = 64
