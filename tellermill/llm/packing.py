@@ -32,9 +32,9 @@ ROUNDS = 8
 NEARLY = 64
 
 #: A worker keeps the ids of so many words and then starts anew; this only saves time.
-_MEMO_WORDS = 500_000
+_MEMO_WORDS = 1_000_000
 _CHUNK_BYTES = 1 << 20
-_SEPARATOR = "<|startoftext|>"
+_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _PIECES = T.ArrayType(struct(piece=INT, start=LONG, length=LONG, ids_crc32=LONG))
 _PIECES_ARROW = pa.list_(
     pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -53,35 +53,46 @@ class _WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.separator = self.tokenizer.token_to_id(_SEPARATOR)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self) > _MEMO_WORDS:
-            self.clear()
-        mark = _SEPARATOR.encode()
-        odd = [w for w in words if self.separator is None or mark in w]
-        plain = list(words.difference(odd))
-        for w in odd:
+        """Take in words; punctuation behind a letter is always split off by the tokenizer."""
+        tails, cores = {}, set(words)
+        for w in words:
+            core = w.rstrip(_PUNCTUATION)
+            if core and len(core) < len(w) and b"<|" not in w and core.decode()[-1].isalpha():
+                tails[w] = core, w[len(core) :]
+        cores = cores.difference(tails).union(*tails.values()).difference(self)
+        plain = [w for w in cores if w.decode().isalpha()]
+        self._learn_letters(plain)
+        for w in cores.difference(plain):
             self[w] = self._ids(w.decode()).tobytes()
-        if plain:
-            ids = self._ids(f" {_SEPARATOR} ".join(w.decode() for w in plain))
-            cuts = np.flatnonzero(ids == self.separator)
-            starts, ends = np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(ids)]))
-            data = ids.tobytes()
-            for w, a, b in zip(plain, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
-                self[w] = data[a:b]
+        for w, (core, tail) in tails.items():
+            self[w] = self[core] + self[tail]
+
+    def _learn_letters(self, words: list[bytes]) -> None:
+        """Take in words of letters alone, encoded at once: each is one word to the tokenizer."""
+        if not words:
+            return
+        found = self.tokenizer.encode(" ".join(w.decode() for w in words), add_special_tokens=False)
+        ids, owner = np.array(found.ids, "<u4"), np.array(found.word_ids)
+        cuts = 4 * np.searchsorted(owner, np.arange(len(words) + 1))
+        if owner[-1] + 1 != len(words):  # its letters are not quite ours
+            self.update((w, self._ids(w.decode()).tobytes()) for w in words)
+            return
+        data = ids.tobytes()
+        self.update((w, data[a:b]) for w, a, b in zip(words, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [t.split() for t in texts]
-        new = {w for words in split for w in words} - self.keys()
+        # Special tokens are told by their case, other text is not.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        if len(self) > _MEMO_WORDS:
+            self.clear()
+        new = set().union(*split).difference(self)
         if new:
             self.learn(new)
-            new = {w for words in split for w in words} - self.keys()
-            if new:  # the memo was emptied meanwhile
-                self.learn(new)
         for words in split:
             yield b"".join(map(self.__getitem__, words))
 

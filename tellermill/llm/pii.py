@@ -49,7 +49,8 @@ _EMAIL = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
 _IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)", re.ASCII)
 _CARD = re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])", re.ASCII)
 _PHONE = re.compile(
-    r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]\d{3,4}(?!\w|[.-]\d)", re.ASCII
+    r"(?<![\w.])(?:\+\d{1,3} ?\d{6,12}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]\d{3,4})(?!\w|[.-]\d)",
+    re.ASCII,
 )
 _TITLED = re.compile(
     r"\b(" + "|".join(re.escape(t) for ts in TITLES.values() for t in ts) + r")\.? +((?:[^\W\d_]+[ ]){0,2}[^\W\d_]+)"
