@@ -12,7 +12,6 @@ from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tellermill.llm.common import stored, table, text_key
 
@@ -22,24 +21,25 @@ SIMILARITY = (4, 5)
 SLOTS = 1 << 16
 #: Lines to verify that are sent to all executors; beyond, they are joined by a shuffle.
 BROADCAST_LINES = 500_000
+#: Rarest words by which a line is compared with the earliest line that has them.
+LEADERS = 3
 
-_BLANKS = "[ \\t-\\r]+"
 _HASH_BITS = 57
-_ORDER = ("null_id", "doc_id", "text_key", "line_no")
+_PLACE = ("null_id", "doc_id", "text_key", "line_no")
+_LAST = (1 << 63) - 1
 
 
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(text, _BLANKS), "")
-
-
-def _slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(SLOTS))
+    for blank in "\t\v\f\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def rarity(docs: DataFrame) -> Column:
     """Array of 6-bit frequency classes by slot, two classes for each doubling of the count."""
-    words = docs.select(F.explode(_words(F.col("text"))).alias("w"))
-    counts = words.groupBy(_slot(F.col("w")).alias("slot")).count().collect()  # SLOTS rows at most
+    words = docs.select(F.explode(_words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("w"))
+    slot = F.xxhash64("w").bitwiseAND(F.lit(SLOTS - 1))
+    counts = words.groupBy(slot.alias("slot")).count().collect()  # SLOTS rows at most
     classes = ["0"] * SLOTS
     for r in counts:
         classes[r["slot"]] = str(min(63, int(2 * log2(r["count"] + 1))))
@@ -53,13 +53,13 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def _keys(line: Column, classes: Column) -> Column:
     """The distinct words of a line as numbers, rarest first: frequency class, then hash."""
-    mask = F.lit((1 << _HASH_BITS) - 1)
+    hashed = F.array_distinct(F.transform(_words(line), lambda word: F.xxhash64(word)))
 
-    def key(word: Column) -> Column:
-        rank = F.element_at(classes, (_slot(word) + 1).cast("int")).cast("long")
-        return F.shiftleft(rank, _HASH_BITS).bitwiseOR(F.xxhash64(word).bitwiseAND(mask))
+    def key(h: Column) -> Column:
+        rank = F.element_at(classes, (h.bitwiseAND(F.lit(SLOTS - 1)) + 1).cast("int")).cast("long")
+        return F.shiftleft(rank, _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
 
-    return F.array_sort(F.array_distinct(F.transform(_words(line), key)))
+    return F.sort_array(F.transform(hashed, key))
 
 
 def _ceil_div(a: Column, b: int) -> Column:
@@ -69,15 +69,13 @@ def _ceil_div(a: Column, b: int) -> Column:
 def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The distinct word sets of all lines.
 
-    id, first (the place of the earliest line that has it), n (words), parity, prefix (the
-    words that a partner of fewer words must share one of) and index_len (how many of them
-    suffice for a partner of more words).
+    id, first (the place of the earliest line that has it), n (words), parity, and prefix:
+    32-bit hashes of the rarest words, one of which every match of fewer words must have.
+    Equal hashes of different words only add pairs to verify.
     """
     p, q = similarity
-    keyed = lines(docs).select(
-        F.struct(F.col("doc_id").isNull().alias("null_id"), *(F.col(c) for c in _ORDER[1:])).alias("place"),
-        _keys(F.col("line"), rarity(docs)).alias("keys"),
-    )
+    place = F.struct(F.col("doc_id").isNull().alias("null_id"), *(F.col(c) for c in _PLACE[1:]))
+    keyed = lines(docs).select(place.alias("place"), _keys(F.col("line"), rarity(docs)).alias("keys"))
     n = F.size("keys")
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
@@ -85,96 +83,111 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         return F.call_function("shiftleft", one, key.bitwiseAND(F.lit(63)).cast("int"))
 
     parity = F.aggregate("keys", none, lambda bits, key: bits.bitwiseXOR(bit(key)))
+    prefix = F.slice("keys", 1, n - _ceil_div(p * n, q) + 1)
+    small = F.transform(prefix, lambda key: F.shiftright(F.shiftleft(key, 32), 32).cast("int"))
     found = keyed.filter(n > 0).select(
         F.xxhash64("keys").alias("set_a"),
         F.xxhash64(F.lit("b"), "keys").alias("set_b"),
         "place",
-        F.struct(
-            n.alias("n"),
-            parity.alias("parity"),
-            F.slice("keys", 1, n - _ceil_div(p * n, q) + 1).alias("prefix"),
-            (n - _ceil_div(2 * p * n, p + q) + 1).alias("index_len"),
-        ).alias("of"),
+        F.struct(n.alias("n"), parity.alias("parity"), small.alias("prefix")).alias("of"),
     )
     sets = found.groupBy("set_a", "set_b").agg(F.min("place").alias("first"), F.any_value("of").alias("of"))
     return stored(sets.select(F.monotonically_increasing_id().alias("id"), "first", "of.*"), "sets")
 
 
-def _most_apart(n: Column, similarity: tuple[int, int]) -> Column:
-    """Words that two matching lines with n words together may not have in common."""
+def _plausible(x: DataFrame, y: DataFrame, similarity: tuple[int, int]) -> Column:
+    """Whether two sets pass the length filter and agree in enough bits of the parity."""
     p, q = similarity
-    return n - 2 * _ceil_div(p * n, p + q)
+    together = x["n"] + y["n"]
+    apart = together - 2 * _ceil_div(p * together, p + q)  # words that a match may not share
+    return (q * F.least(x["n"], y["n"]) >= p * F.greatest(x["n"], y["n"])) & (
+        F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= apart
+    )
+
 
+def _reachable(x: DataFrame, y: DataFrame, similarity: tuple[int, int]) -> Column:
+    """Prefix and positional filter for two sets that share the word at their places `pos`.
 
-def _plausible(x: str, y: str, similarity: tuple[int, int]) -> Column:
-    """Whether two sets, met at a shared prefix word, pass all filters."""
+    The set of fewer words needs fewer of its rarest words for the prefix filter.
+    """
     p, q = similarity
-    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
-    apart = _most_apart(nx + ny, similarity)
-    common = 1 + F.least(nx - F.col(f"{x}.pos"), ny - F.col(f"{y}.pos")) - 1
-    shorter = F.when(nx <= ny, F.col(f"{x}.pos") < F.col(f"{x}.index_len")).otherwise(
-        F.col(f"{y}.pos") < F.col(f"{y}.index_len")
-    )
-    return (
-        (q * F.least(nx, ny) >= p * F.greatest(nx, ny))
-        & shorter
-        & (nx + ny - 2 * common <= apart)
-        & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity"))) <= apart)
-    )
+
+    def indexed(s: DataFrame) -> Column:
+        return s["pos"] <= s["n"] - _ceil_div(2 * p * s["n"], p + q)
+
+    common = F.least(x["n"] - x["pos"], y["n"] - y["pos"])
+    together = x["n"] + y["n"]
+    return F.when(x["n"] <= y["n"], indexed(x)).otherwise(indexed(y)) & (common >= _ceil_div(p * together, p + q))
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Those pairs (earlier, later) of set ids whose words have the similarity."""
+    """Ids that come later in a pair (x, y) of sets whose words have the similarity."""
     p, q = similarity
     pairs = stored(pairs.distinct(), "pairs")
-    ids = pairs.select(F.explode(F.array("earlier", "later")).alias("id")).distinct()
-    wanted = sets.join(ids, "id", "left_semi").select("id", *(F.col(f"first.{c}") for c in _ORDER[1:]))
-    wanted = stored(wanted, "wanted")
+    ids = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    wanted = stored(sets.join(ids, "id", "left_semi").select("id", "first"), "wanted")
     if wanted.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
-    own = lines(docs).alias("l")
-    w = wanted.alias("w")
-    same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.text_key") == F.col("w.text_key")) & (F.col("l.line_no") == F.col("w.line_no"))
-    words = own.join(w, same).select("w.id", F.array_distinct(_words(F.col("l.line"))).alias("words"))
-    words = stored(words.dropDuplicates(["id"]), "words")
-    common = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(words.select(F.col("id").alias("earlier"), F.col("words").alias("x")), "earlier")
-        .join(words.select(F.col("id").alias("later"), F.col("words").alias("y")), "later")
-        .filter(q * common >= p * (F.size("x") + F.size("y") - common))
-        .select("earlier", "later")
-    )
+    own = lines(docs)
+    same = own["doc_id"].eqNullSafe(wanted["first.doc_id"])
+    for c in _PLACE[2:]:
+        same = same & (own[c] == wanted[f"first.{c}"])
+    words = F.array_distinct(_words(F.col("line"))).alias("words")
+    # Rows that repeat both id and text give the same line again.
+    found = own.join(wanted, same).groupBy("id").agg(F.any_value(F.struct("first", words)).alias("of"))
+    found = stored(found, "words")
+    x, y = (found.select(F.col("id").alias(c), F.col("of").alias(f"of_{c}")) for c in "xy")
+    common = F.size(F.array_intersect("of_x.words", "of_y.words"))
+    either = F.size("of_x.words") + F.size("of_y.words") - common
+    later = F.when(F.col("of_x.first") < F.col("of_y.first"), F.col("y")).otherwise(F.col("x"))
+    return pairs.join(x, "x").join(y, "y").filter(q * common >= p * either).select(later.alias("later")).distinct()
 
 
 def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Ids of the sets that match a set of an earlier line.
 
     Many slightly different copies of a line would all match each other. So every set is
-    first compared with the earliest of those that share a prefix word and the number of
-    words, which settles nearly all of such a group; only sets that found no match there
-    are joined with all earlier ones. Nothing is lost: a settled set needs no more
-    matches, and it still counts as an earlier line for others.
+    first compared with the earliest that shares its rarest, second or third rarest word,
+    which settles nearly all of such a group; only sets that found no match there are
+    joined with all earlier ones. Nothing is lost: a settled set needs no more matches,
+    and it still counts as an earlier line for others.
     """
-    entries = sets.select("id", "first", "n", "parity", "index_len", F.posexplode("prefix").alias("pos", "word"))
-    entry = F.struct("first", "id", "n", "parity", "index_len", "pos").alias("e")
-    rows = entries.select("word", F.col("n").alias("size"), entry)
-    settled = None
-    for keys in (["word", "size"], ["word"]):
-        group = Window.partitionBy(*keys)
-        led = rows if settled is None else rows.join(settled.withColumnRenamed("later", "__id"), F.col("e.id") == F.col("__id"), "left_anti")
-        led = led.withColumn("x", F.min("e").over(group)).withColumn("y", F.col("e"))
-        pairs = led.filter((F.col("x.id") != F.col("y.id")) & _plausible("x", "y", similarity))
-        pairs = pairs.select(F.col("x.id").alias("earlier"), F.col("y.id").alias("later"))
-        more = stored(_verified(docs, sets, pairs, similarity).select("later").distinct(), "settled")
-        settled = more if settled is None else settled.unionAll(more).distinct()
-    open_ = rows.join(settled.withColumnRenamed("later", "__id"), F.col("e.id") == F.col("__id"), "left_anti")
-    x, y = rows.select("word", F.col("e").alias("x")), open_.select("word", F.col("e").alias("y"))
-    pairs = x.join(y, (x["word"] == y["word"]) & (F.col("x.first") < F.col("y.first")) & _plausible("x", "y", similarity))
-    pairs = pairs.select(F.col("x.id").alias("earlier"), F.col("y.id").alias("later"))
-    rest = _verified(docs, sets, pairs, similarity).select("later").distinct()
+    order = F.coalesce("first.doc_id", F.lit(_LAST)).alias("order")
+    slim = sets.filter("n > 3")  # lines of three words match equal ones alone
+    near = None
+    for k in range(LEADERS):
+        own = slim.select("id", "first", "n", "parity", F.get("prefix", F.lit(k)).alias("word")).filter("word is not null")
+        lead = own.groupBy("word").agg(F.min(F.struct("first", "id", "n", "parity")).alias("e"), F.count(F.lit(1)).alias("c"))
+        lead = lead.filter("c > 1").select("word", "e.id", "e.n", "e.parity")
+        both = own.join(lead, "word").filter((own["id"] != lead["id"]) & _plausible(lead, own, similarity))
+        both = both.select(lead["id"].alias("x"), own["id"].alias("y"))
+        near = both if near is None else near.unionAll(both)
+    settled = stored(_verified(docs, sets, near, similarity), "settled")
+
+    flagged = slim.join(settled, slim["id"] == settled["later"], "left")
+    rows = flagged.select("id", order, "n", "parity", F.col("later").isNull().alias("open"), F.posexplode("prefix").alias("pos", "word"))
+    # Both sides are the same rows, so one shuffle serves both.
+    rows = rows.select("word", "id", "order", "parity", "open", "n", "pos")
+    x, y = _Side("x"), _Side("y")
+    later = (x["order"] < y["order"]) | ((x["order"] == y["order"]) & (x["id"] != y["id"]))
+    pairs = rows.alias("x").join(
+        rows.alias("y"),
+        (x["word"] == y["word"]) & y["open"] & later & _reachable(x, y, similarity) & _plausible(x, y, similarity),
+    )
+    rest = _verified(docs, sets, pairs.select(x["id"].alias("x"), y["id"].alias("y")), similarity)
     return settled.unionAll(rest).distinct()
 
 
+class _Side:
+    """Columns of one side of a self-join."""
+
+    def __init__(self, name: str):
+        self.name = name
+
+    def __getitem__(self, column: str) -> Column:
+        return F.col(f"{self.name}.{column}")
+
+
 def without_repeated_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """All rows and columns of docs, the text without repeated lines, and a struct `lines`.
 
