@@ -83,10 +83,11 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    """A new folder below spark.checkpoint.dir, or below the warehouse where that is unset.
+
+    Driver and executors share both.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
