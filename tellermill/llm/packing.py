@@ -13,6 +13,7 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from struct import pack as packed_ints
 
 import numpy as np
 import pyarrow as pa
@@ -62,9 +63,14 @@ class _WordIds(dict):
         tails, cores = {}, set(words)
         for w in words:
             core = w.rstrip(_PUNCTUATION)
-            if core and len(core) < len(w) and b"<|" not in w and core.decode()[-1].isalpha():
+            if core and len(core) < len(w) and (core[-1:].isalpha() or core.decode()[-1].isalpha()) and b"<|" not in w:
                 tails[w] = core, w[len(core) :]
         cores = cores.difference(tails).union(*tails.values()).difference(self)
+        # On small ASCII letters the steps before the model do nothing; bytes.isalpha() is ASCII.
+        small = [w for w in cores if w.isalpha() and w.islower()]
+        pieces = self.tokenizer.model.tokenize
+        self.update((w, packed_ints(f"<{len(p)}I", *[t.id for t in p])) for w, p in zip(small, map(pieces, map(bytes.decode, small)), strict=True))
+        cores = cores.difference(small)
         plain = [w for w in cores if w.decode().isalpha()]
         self._learn_letters(plain)
         for w in cores.difference(plain):
