@@ -3,7 +3,7 @@
 Counts are discounted by Good-Turing; what the discounts free goes to pairs not seen, in
 proportion to the word model, with weights that make every distribution sum to one.
 
-Documents are cut into chunks of about a million tokens. A chunk sends its distinct words,
+Documents are cut into chunks of about two million tokens. A chunk sends its distinct words,
 then its distinct pairs, to the buckets of the count tables, and gets back the counts of
 those alone; so the traffic is that of distinct entries for each chunk, a frequent word or
 pair counts once for each chunk, and no task holds the vocabulary. Words that make up
@@ -20,54 +20,46 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tellermill.llm.common import BOOLEAN, DOUBLE, INT, LONG, stored, struct, table, text_bytes
+from tellermill.llm.common import BOOLEAN, DOUBLE, LONG, stored, struct, table, text_bytes
 
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 21
 #: Entries that one bucket takes from all chunks together.
 BUCKET_ENTRIES = 1 << 21
+#: Tokens for each distinct pair of a chunk, roughly; only sets the number of buckets.
+TOKENS_A_PAIR = 2
 #: Counts up to this are discounted.
 LOW = 5
 #: Words beyond one in so many tokens have their pairs split.
 HOT = 1024
 
 _END = b" "  # no word contains a blank
-_ONE = np.uint64(1)
-_SHIFT16, _SHIFT32 = np.uint64(16), np.uint64(32)
+_SHIFT32 = np.uint64(32)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
+#: Arrays travel as compressed bytes, see _pack.
+_BYTES = T.BinaryType()
 _CHUNK = struct(
-    chunk=LONG,
-    doc_ids=T.ArrayType(LONG),
-    lengths=T.ArrayType(INT),
-    held=T.ArrayType(BOOLEAN),
-    tokens=T.ArrayType(INT),
-    words=T.ArrayType(LONG),
-)
-_WORDS = struct(bucket=LONG, chunk=LONG, keys=T.ArrayType(LONG), n=T.ArrayType(INT))
-_WORD_TOTALS = struct(chunk=LONG, bucket=LONG, totals=T.ArrayType(LONG), keys=T.ArrayType(LONG))
-_PAIRS = struct(
-    bucket=LONG,
-    chunk=LONG,
-    first=T.ArrayType(LONG),
-    runs=T.ArrayType(INT),
-    second=T.ArrayType(INT),
-    second_low=T.ArrayType(T.ShortType()),
-    n=T.ArrayType(INT),
-    word_n=T.ArrayType(LONG),
+    chunk=LONG, n_tokens=LONG, n_words=LONG, doc_ids=T.ArrayType(LONG), lengths=_BYTES, held=_BYTES, tokens=_BYTES, words=_BYTES
 )
+_WORDS = struct(bucket=LONG, chunk=LONG, keys=_BYTES, n=_BYTES)
+_WORD_TOTALS = struct(chunk=LONG, bucket=LONG, totals=_BYTES, kinds=T.ArrayType(LONG), keys=T.ArrayType(LONG))
+_PAIRS = struct(bucket=LONG, chunk=LONG, first=_BYTES, runs=_BYTES, words=_BYTES, word_n=_BYTES, second=_BYTES, n=_BYTES)
 _PAIR_TOTALS = struct(
     chunk=LONG,
     bucket=LONG,
-    totals=T.ArrayType(INT),
-    low=T.ArrayType(BOOLEAN),
-    backed=T.ArrayType(INT),
-    sums=T.ArrayType(DOUBLE),
-    keys=T.ArrayType(LONG),
+    totals=_BYTES,
+    low=_BYTES,
+    backed=_BYTES,
+    sums=_BYTES,
+    kinds=T.ArrayType(LONG),
+    hot=T.ArrayType(LONG),
+    hot_sums=T.ArrayType(DOUBLE),
 )
 _SCORES = struct(
     doc_id=LONG,
@@ -80,6 +72,18 @@ _SCORES = struct(
 )
 
 
+def _pack(values: np.ndarray, kind: str) -> bytes:
+    """An array as compressed bytes, all first bytes of its values before all second ones."""
+    a = np.ascontiguousarray(values, kind)
+    return zstandard.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 1)
+
+
+def _unpack(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(raw.T).view(kind).ravel()
+
+
 def is_held_out(doc_id: int | None) -> bool:
     """Whether the model must not learn from this document; a missing id is an empty text."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 == 2
@@ -97,17 +101,19 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids, docs, lengths, parts, size = _Ids({_END: 0}), [], [], [], 0
 
     def row() -> pa.RecordBatch:
-        words = np.fromiter(map(xxhash.xxh64_intdigest, ids), np.uint64, len(ids)).view(np.int64)
+        words = np.fromiter(map(xxhash.xxh64_intdigest, ids), "<u8", len(ids))
+        held = np.array([is_held_out(d) for d in docs])
         values = (
-            [(partition << 32) + made],
-            [docs],
-            [lengths],
-            [[is_held_out(d) for d in docs]],
-            [np.concatenate(parts)],
-            [words],
+            (partition << 32) + made,
+            size,
+            len(ids),
+            docs,
+            _pack(lengths, "<i4"),
+            _pack(held, "?"),
+            _pack(np.concatenate(parts), "<i4"),
+            _pack(words, "<u8"),
         )
-        fields = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(v, f) for v, f in zip(values, fields, strict=True)], _CHUNK.names)
+        return _rows(_CHUNK, [values]).to_batches()[0]
 
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), text_bytes(batch["text"]), strict=True):
@@ -171,17 +177,8 @@ class PairModel:
     hot: dict[int, np.ndarray] = field(default_factory=dict)  # word: kinds with count 1 to LOW, word probability seen
 
 
-def _numpy(column: pa.ChunkedArray, row: int = 0) -> np.ndarray:
-    value = column[row].values
-    return np.empty(0, np.int64) if value is None else value.to_numpy(zero_copy_only=False)
-
-
-def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.array([values], pa.list_(kind))
-
-
 def _rows(schema: T.StructType, rows: list[tuple]) -> pa.Table:
-    kinds = {LONG: pa.int64(), INT: pa.int32(), DOUBLE: pa.float64(), BOOLEAN: pa.bool_(), T.ShortType(): pa.int16()}
+    kinds = {LONG: pa.int64(), DOUBLE: pa.float64(), _BYTES: pa.binary()}
 
     def kind(field_: T.StructField) -> pa.DataType:
         inner = field_.dataType
@@ -196,14 +193,14 @@ class _Chunk:
     """A chunk with its words in the order of their hashes."""
 
     def __init__(self, left: pa.Table):
-        hashed = _numpy(left["words"]).view(np.uint64)
+        hashed = _unpack(left["words"][0].as_py(), "<u8")
         self.words, rank = np.unique(hashed, return_inverse=True)
-        self.tokens = rank[_numpy(left["tokens"])]
+        self.tokens = rank[_unpack(left["tokens"][0].as_py(), "<i4")]
         self.end = rank[0]
         self.chunk = left["chunk"][0].as_py()
         self.doc_ids = left["doc_ids"][0].as_py()
-        self.lengths = _numpy(left["lengths"])
-        self.held = _numpy(left["held"])
+        self.lengths = _unpack(left["lengths"][0].as_py(), "<i4")
+        self.held = _unpack(left["held"][0].as_py(), "?")
         self.learns = np.repeat(~self.held, self.lengths)
 
     def word_counts(self) -> np.ndarray:
@@ -246,7 +243,7 @@ def _send_words(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                 counts = chunk.word_counts()
                 edges = np.searchsorted(_bucket(chunk.words, buckets), np.arange(buckets + 1))
                 rows = [
-                    (b, chunk.chunk, chunk.words[x:y].view(np.int64), counts[x:y])
+                    (b, chunk.chunk, _pack(chunk.words[x:y], "<u8"), _pack(counts[x:y], "<i4"))
                     for b, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True))
                     if y > x
                 ]
@@ -255,27 +252,30 @@ def _send_words(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return send
 
 
-def _parts(group: pa.Table, column: str) -> list[np.ndarray]:
-    return [_numpy(group[column], i) for i in range(group.num_rows)]
+def _parts(group: pa.Table, column: str, kind: str) -> list[np.ndarray]:
+    return [_unpack(value.as_py(), kind) for value in group[column]]
 
 
 def _count_words(group: pa.Table) -> pa.Table:
     """Totals of a bucket's words for each chunk that has them; the row of chunk -1 sums up."""
     group = group.sort_by("chunk")
-    keys = _parts(group, "keys")
-    words, place = np.unique(np.concatenate(keys).view(np.uint64), return_inverse=True)
-    totals = np.bincount(place, weights=np.concatenate(_parts(group, "n")), minlength=len(words)).astype(np.int64)
+    keys = _parts(group, "keys", "<u8")
+    words, place = np.unique(np.concatenate(keys), return_inverse=True)
+    totals = np.bincount(place, weights=np.concatenate(_parts(group, "n", "<i4")), minlength=len(words)).astype(np.int64)
     bucket, edges = group["bucket"][0].as_py(), np.cumsum([len(k) for k in keys])[:-1]
-    rows = [(c.as_py(), bucket, totals[p], None) for c, p in zip(group["chunk"], np.split(place, edges), strict=True)]
+    rows = [
+        (c.as_py(), bucket, _pack(totals[p], "<i8"), None, None)
+        for c, p in zip(group["chunk"], np.split(place, edges), strict=True)
+    ]
     kinds = np.bincount(np.minimum(totals, LOW + 2), minlength=LOW + 3)[: LOW + 2]
     often = totals * HOT > max(1, totals.sum())
     summary = np.concatenate(([totals.sum(), (totals > 0).sum()], kinds, totals[often]))
-    rows.append((-1, bucket, summary, words[often].view(np.int64)))
+    rows.append((-1, bucket, None, summary, words[often].view(np.int64)))
     return _rows(_WORD_TOTALS, rows)
 
 
 def _word_totals(chunk: _Chunk, right: pa.Table) -> np.ndarray:
-    return np.concatenate(_parts(right.sort_by("bucket"), "totals"))
+    return np.concatenate(_parts(right.sort_by("bucket"), "totals", "<i8"))
 
 
 def _send_pairs(buckets: int, hot: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -285,18 +285,19 @@ def _send_pairs(buckets: int, hot: np.ndarray) -> Callable[[pa.Table, pa.Table],
         chunk.pairs()
         rows = []
         for bucket, at in chunk.slices(buckets, hot):
-            first, second = chunk.first[at], chunk.words[chunk.second[at]]
+            first = chunk.first[at]
             starts = _runs(first)
+            words, second = np.unique(chunk.second[at], return_inverse=True)
             rows.append(
                 (
                     bucket,
                     chunk.chunk,
-                    chunk.words[first[starts]].view(np.int64),
-                    np.diff(np.append(starts, len(at))),
-                    (second >> _SHIFT32).astype(np.uint32).view(np.int32),
-                    (second >> _SHIFT16).astype(np.uint16).view(np.int16),
-                    chunk.pair_n[at],
-                    totals[chunk.second[at]],
+                    _pack(chunk.words[first[starts]], "<u8"),
+                    _pack(np.diff(np.append(starts, len(at))), "<i4"),
+                    _pack(chunk.words[words], "<u8"),
+                    _pack(totals[words], "<i8"),
+                    _pack(second, "<i4"),
+                    _pack(chunk.pair_n[at], "<i4"),
                 )
             )
         return _rows(_PAIRS, rows)
@@ -308,24 +309,25 @@ def _count_pairs(words: WordModel, buckets: int) -> Callable[[pa.Table], pa.Tabl
     def count(group: pa.Table) -> pa.Table:
         """Totals of a bucket's pairs for each chunk that has them, and what backing off needs.
 
-        The first words and 48 bits of the second tell pairs apart. The row of chunk -1
-        has the counts of counts, and for split words their part of the sums.
+        The row of chunk -1 has the counts of counts, and for split words their part of the
+        sums. A pair is known by a 64-bit hash of its words' hashes.
         """
         group = group.sort_by("chunk")
         bucket, chunks = group["bucket"][0].as_py(), group["chunk"].to_pylist()
-        runs, firsts = _parts(group, "runs"), _parts(group, "first")
-        first = np.concatenate([np.repeat(f, r) for f, r in zip(firsts, runs, strict=True)]).view(np.uint64)
-        high = np.concatenate(_parts(group, "second")).view(np.uint32).astype(np.uint64)
-        low = np.concatenate(_parts(group, "second_low")).view(np.uint16).astype(np.uint64)
-        second = (high << _SHIFT16) | low
-        mixed = (first ^ (first >> _SHIFT32)) * _MIX + second * (_MIX | _ONE)
-        mixed ^= mixed >> np.uint64(29)
-        _, one, place = np.unique(mixed * _MIX, return_index=True, return_inverse=True)
-        totals = np.bincount(place, weights=np.concatenate(_parts(group, "n")), minlength=len(one)).astype(np.int64)
+        runs, firsts = _parts(group, "runs", "<i4"), _parts(group, "first", "<u8")
+        seconds = _parts(group, "second", "<i4")
+        first = np.concatenate([np.repeat(f, r) for f, r in zip(firsts, runs, strict=True)])
+        second = np.concatenate([w[k] for w, k in zip(_parts(group, "words", "<u8"), seconds, strict=True)])
+        word_n = np.concatenate([n[k] for n, k in zip(_parts(group, "word_n", "<i8"), seconds, strict=True)])
+        mixed = ((first ^ (first >> _SHIFT32)) * _MIX) ^ (second >> _SHIFT32)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX + second
+        _, one, place = np.unique(mixed, return_index=True, return_inverse=True)
+        weights = np.concatenate(_parts(group, "n", "<i4"))
+        totals = np.bincount(place, weights=weights, minlength=len(one)).astype(np.int64)
         kinds = np.bincount(np.minimum(totals, LOW + 2), minlength=LOW + 3)[: LOW + 2]
 
         owners, owner = np.unique(first[one], return_inverse=True)
-        probability = words.probability(np.concatenate(_parts(group, "word_n"))[one])
+        probability = words.probability(word_n[one])
         sums = np.stack(
             [np.bincount(owner, weights=totals == r, minlength=len(owners)) for r in range(1, LOW + 1)]
             + [np.bincount(owner, weights=probability * (totals > 0), minlength=len(owners))],
@@ -334,15 +336,16 @@ def _count_pairs(words: WordModel, buckets: int) -> Callable[[pa.Table], pa.Tabl
         rows, split = [], bucket >= buckets
         edges = np.cumsum([r.sum() for r in runs])[:-1]
         for c, own, run, at in zip(chunks, firsts, runs, np.split(place, edges), strict=True):
-            known = np.searchsorted(owners, own.view(np.uint64))
             r = totals[at]
-            backed = np.unique(np.repeat(np.arange(len(run)), run)[r == 0])
-            if split:
-                rows.append((c, bucket, r, None, None, None, None))
-            else:
-                some = sums[known, :LOW].any(axis=1)
-                rows.append((c, bucket, r, some, backed, sums[known[backed]].ravel(), None))
-        rows.append((-1, bucket, kinds, None, None, sums.ravel() if split else None, owners.view(np.int64) if split else None))
+            low = backed = back = None
+            if not split:
+                known = np.searchsorted(owners, own)
+                places = np.unique(np.repeat(np.arange(len(run)), run)[r == 0])
+                low = _pack(sums[known, :LOW].any(axis=1), "?")
+                backed, back = _pack(places, "<i4"), _pack(sums[known[places]].ravel(), "<f8")
+            rows.append((c, bucket, _pack(r, "<i8"), low, backed, back, None, None, None))
+        hot = (owners.view(np.int64), sums.ravel()) if split else (None, None)
+        rows.append((-1, bucket, None, None, None, None, kinds, *hot))
         return _rows(_PAIR_TOTALS, rows)
 
     return count
@@ -352,7 +355,7 @@ def _score(words: WordModel, pairs: PairModel, buckets: int) -> Callable[[pa.Tab
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = _Chunk(left)
         kind = right["kind"].to_numpy()
-        word_n = _word_totals(chunk, right.filter(pa.array(kind == 0)).rename_columns(_renamed(right, "totals", "word_totals")))
+        word_n = _word_totals(chunk, right.filter(pa.array(kind == 0)))
         found = right.filter(pa.array(kind == 1))
         at_bucket = {b.as_py(): i for i, b in enumerate(found["bucket"])}
         chunk.pairs()
@@ -361,12 +364,13 @@ def _score(words: WordModel, pairs: PairModel, buckets: int) -> Callable[[pa.Tab
         sums = np.zeros((len(chunk.words), LOW + 1))
         for bucket, at in chunk.slices(buckets, words.hot):
             i = at_bucket[bucket]
-            count[at] = _numpy(found["totals"], i)
+            count[at] = _unpack(found["totals"][i].as_py(), "<i8")
             if bucket < buckets:
                 own = chunk.first[at]
                 own = own[_runs(own)]
-                some_low[own] = _numpy(found["low"], i)
-                sums[own[_numpy(found["backed"], i)]] = _numpy(found["sums"], i).reshape(-1, LOW + 1)
+                some_low[own] = _unpack(found["low"][i].as_py(), "?")
+                backed = own[_unpack(found["backed"][i].as_py(), "<i4")]
+                sums[backed] = _unpack(found["sums"][i].as_py(), "<f8").reshape(-1, LOW + 1)
         for word, known in pairs.hot.items():
             at = np.searchsorted(chunk.words, np.uint64(word))
             if at < len(chunk.words) and chunk.words[at] == np.uint64(word):
@@ -398,11 +402,6 @@ def _score(words: WordModel, pairs: PairModel, buckets: int) -> Callable[[pa.Tab
     return score
 
 
-def _renamed(table_: pa.Table, new: str, old: str) -> list[str]:
-    names = {new: f"_{new}", old: new}
-    return [names.get(n, n) for n in table_.column_names]
-
-
 def scores(docs: DataFrame) -> DataFrame:
     """A row for each document: doc_id, held_out, counts, base_score and score.
 
@@ -413,32 +412,21 @@ def scores(docs: DataFrame) -> DataFrame:
     Words are told apart by 64-bit hashes.
     """
     chunks = stored(docs.select("doc_id", "text").mapInArrow(_chunks, _CHUNK), "chunks")
-    entries = chunks.agg(F.sum(F.size("words"))).first()[0] or 0
-    buckets = 1 + entries // BUCKET_ENTRIES
-    sent = chunks.select("chunk", "doc_ids", "lengths", "held", "tokens", "words").mapInArrow(_send_words(buckets), _WORDS)
+    size = chunks.agg(F.sum("n_words").alias("words"), F.sum("n_tokens").alias("tokens")).first()
+    buckets = 1 + (size["words"] or 0) // BUCKET_ENTRIES
+    sent = chunks.mapInArrow(_send_words(buckets), _WORDS)
     word_totals = stored(sent.groupBy("bucket").applyInArrow(_count_words, _WORD_TOTALS), "words")
     words = _word_model(word_totals.filter("chunk = -1"))
-    word_totals = word_totals.filter("chunk >= 0")
+    word_totals = word_totals.filter("chunk >= 0").select("chunk", "bucket", F.lit(0).alias("kind"), "totals")
 
-    tokens = chunks.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    buckets = 1 + tokens // BUCKET_ENTRIES
+    buckets = 1 + (size["tokens"] or 0) // (TOKENS_A_PAIR * BUCKET_ENTRIES)
     pairs_sent = chunks.groupBy("chunk").cogroup(word_totals.groupBy("chunk")).applyInArrow(_send_pairs(buckets, words.hot), _PAIRS)
     counted = pairs_sent.groupBy("bucket").applyInArrow(_count_pairs(words, buckets), _PAIR_TOTALS)
     pair_totals = stored(counted, "pairs")
     pairs = _pair_model(pair_totals.filter("chunk = -1"))
-    pair_totals = pair_totals.filter("chunk >= 0")
-
-    none = F.lit(None)
-    from_words = word_totals.select(
-        "chunk", "bucket", F.lit(0).alias("kind"), F.col("totals").alias("word_totals"),
-        none.cast("array<int>").alias("totals"), none.cast("array<boolean>").alias("low"),
-        none.cast("array<int>").alias("backed"), none.cast("array<double>").alias("sums"),
-    )
-    from_pairs = pair_totals.select(
-        "chunk", "bucket", F.lit(1).alias("kind"), none.cast("array<bigint>").alias("word_totals"),
-        "totals", "low", "backed", "sums",
-    )
-    known = from_words.unionAll(from_pairs).groupBy("chunk")
+
+    found = pair_totals.filter("chunk >= 0").select(*word_totals.columns[:2], F.lit(1).alias("kind"), "totals", "low", "backed", "sums")
+    known = found.unionByName(word_totals, allowMissingColumns=True).groupBy("chunk")
     return chunks.groupBy("chunk").cogroup(known).applyInArrow(_score(words, pairs, buckets), _SCORES)
 
 
@@ -446,7 +434,7 @@ def _word_model(summaries: DataFrame) -> WordModel:
     """Of the summary rows of all word buckets, each of bounded size."""
     total, hot = np.zeros(LOW + 4, np.int64), {}
     for r in summaries.toLocalIterator():
-        values = np.array(r["totals"], np.int64)
+        values = np.array(r["kinds"], np.int64)
         total += values[: LOW + 4]
         hot |= dict(zip(r["keys"], values[LOW + 4 :].tolist(), strict=True))
     often = [k for k, n in hot.items() if n * HOT > total[0]]
@@ -455,10 +443,10 @@ def _word_model(summaries: DataFrame) -> WordModel:
 
 def _pair_model(summaries: DataFrame) -> PairModel:
     """Of the summary rows of all pair buckets; the sums of split words are added up by Spark."""
-    kinds = summaries.select(F.posexplode("totals").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect()
+    kinds = summaries.select(F.posexplode("kinds").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect()
     n = {x["r"]: x["n"] for x in kinds}
-    each = summaries.select(F.posexplode("keys").alias("i", "word"), "sums").select(
-        "word", F.posexplode(F.slice("sums", F.col("i") * (LOW + 1) + 1, F.lit(LOW + 1))).alias("k", "v")
+    each = summaries.select(F.posexplode("hot").alias("i", "word"), "hot_sums").select(
+        "word", F.posexplode(F.slice("hot_sums", F.col("i") * (LOW + 1) + 1, F.lit(LOW + 1))).alias("k", "v")
     )
     hot: dict[int, np.ndarray] = {}
     for x in each.groupBy("word", "k").agg(F.sum("v").alias("v")).collect():  # HOT words at most
