@@ -66,19 +66,21 @@ def _num(t: str, *cols: str) -> str:
 
 
 CTE |= {
-    "account": f"select {_num('integer', 'account_id', 'district_id')}, frequency, {_ymd('date')} as date from raw_account",
-    "client": f"select {_num('integer', 'client_id', 'district_id')}, birth_number from raw_client",
-    "disp": f"select {_num('integer', 'disp_id', 'client_id', 'account_id')}, type from raw_disp",
-    "loan": f"select {_num('integer', 'loan_id', 'account_id', 'duration')}, {_num('double', 'amount', 'payments')}, "
+    "account": f"select {_num('bigint', 'account_id')}, {_num('integer', 'district_id')}, frequency, {_ymd('date')} as date from raw_account",
+    "client": f"select {_num('bigint', 'client_id')}, {_num('integer', 'district_id')}, birth_number from raw_client",
+    "disp": f"select {_num('bigint', 'disp_id', 'client_id', 'account_id')}, type from raw_disp",
+    "loan": f"select {_num('bigint', 'loan_id', 'account_id')}, {_num('integer', 'duration')}, {_num('double', 'amount', 'payments')}, "
     f"{_ymd('date')} as date, status from raw_loan",
-    "orders_": f"select {_num('integer', 'order_id', 'account_id')}, {_num('double', 'amount')}, "
+    "orders_": f"select {_num('bigint', 'order_id', 'account_id')}, {_num('double', 'amount')}, "
     f"{_label('k_symbol', 'NO_SYMBOL')} from raw_order",
-    "trans": f"select {_num('integer', 'trans_id', 'account_id')}, {_num('double', 'amount', 'balance')}, "
+    "trans": f"select {_num('bigint', 'trans_id', 'account_id')}, {_num('double', 'amount', 'balance')}, "
     f"{_ymd('date')} as date, type, {_label('operation', 'UNKNOWN')}, {_label('k_symbol', 'NO_SYMBOL')}, "
     f"{_label('bank', 'INTERNO')}, {_label('account', 'NA_CASH')} from raw_trans",
-    "card": f"select {_num('integer', 'card_id', 'disp_id')}, type, {_ymd('substr(issued, 1, 6)')} as issued from raw_card",
+    "card": f"select {_num('bigint', 'card_id', 'disp_id')}, type, {_ymd('substr(issued, 1, 6)')} as issued from raw_card",
     "district": "select try_cast(a1 as integer) as district_id, a2 as district_name, a3 as region, "
-    "try_cast(a4 as integer) as population, try_cast(a11 as integer) as average_salary, "
+    "try_cast(a4 as integer) as population, a5 as num_cities_lt_499, a6 as num_cities_500_1999, a7 as num_cities_2000_9999, "
+    "a8 as num_cities_gt_10000, a9 as num_cities, a10 as urban_ratio, try_cast(a14 as integer) as num_entrepreneurs_per_1000, "
+    "try_cast(a11 as integer) as average_salary, "
     "try_cast(a12 as double) as unemployment_rate_95, try_cast(a13 as double) as unemployment_rate_96, "
     "try_cast(a15 as integer) as num_crimes_95, try_cast(a16 as integer) as num_crimes_96 from raw_district",
     "born": "select *, case when mm > 50 then mm - 50 else mm end as m from (select client_id, district_id, birth_number, "
@@ -107,11 +109,13 @@ CTE |= {
     "age_years as account_age_years, case when age_years is null then null when age_years < 1 then 'New (< 1 year)' "
     "when age_years < 3 then 'Recent (1-3 years)' when age_years < 5 then 'Established (3-5 years)' "
     "else 'Mature (5+ years)' end as account_age_segment from aged2",
-    "dim_account": "select a.*, d.district_name, d.region, d.population, d.average_salary, d.unemployment_rate_95, "
+    "dim_account": "select a.*, d.district_name, d.region, d.population, d.num_cities_lt_499, d.num_cities_500_1999, "
+    "d.num_cities_2000_9999, d.num_cities_gt_10000, d.num_cities, d.urban_ratio, d.num_entrepreneurs_per_1000, d.average_salary, d.unemployment_rate_95, "
     "d.unemployment_rate_96, d.num_crimes_95, d.num_crimes_96, o.owner_client_id, c.gender as owner_gender, "
     "c.age_at_1998 as owner_age, c.age_segment as owner_age_segment from account_aged a "
     "left join district d on a.district_id = d.district_id left join owner o on a.account_id = o.account_id "
     "left join dim_client c on o.owner_client_id = c.client_id",
+    "dated": "select date from account union all select date from loan union all select date from trans",
     "dim_card": "select card_id, disp_id, trim(type) as type_card, issued from card",
     "flagged": "select trans_id, account_id, date, type, operation, amount, balance as final_balance, k_symbol, bank, account, "
     "case when amount > (select quantile_disc(amount, 0.95) from trans) then 1 else 0 end as is_amount_outlier from trans",
@@ -170,23 +174,25 @@ RISK_FLAG = (
 
 PROCESSED = ["account", "client", "disp", "loan", "trans", "order", "card", "district"]
 COLUMNS = {
-    "account": {"account_id": "int", "district_id": "int", "frequency": "string", "date": "date"},
-    "client": {"client_id": "int", "birth_number": "string", "district_id": "int"},
-    "disp": {"disp_id": "int", "client_id": "int", "account_id": "int", "type": "string"},
+    "account": {"account_id": "bigint", "district_id": "int", "frequency": "string", "date": "date"},
+    "client": {"client_id": "bigint", "birth_number": "string", "district_id": "int"},
+    "disp": {"disp_id": "bigint", "client_id": "bigint", "account_id": "bigint", "type": "string"},
     "loan": {
-        "loan_id": "int", "account_id": "int", "date": "date", "amount": "double",
+        "loan_id": "bigint", "account_id": "bigint", "date": "date", "amount": "double",
         "duration": "int", "payments": "double", "status": "string",
     },
     "trans": {
-        "trans_id": "int", "account_id": "int", "date": "date", "type": "string", "operation": "string",
+        "trans_id": "bigint", "account_id": "bigint", "date": "date", "type": "string", "operation": "string",
         "amount": "double", "balance": "double", "k_symbol": "string", "bank": "string", "account": "string",
     },
-    "order": {"order_id": "int", "account_id": "int", "amount": "double", "k_symbol": "string"},
-    "card": {"card_id": "int", "disp_id": "int", "type": "string", "issued": "date"},
+    "order": {"order_id": "bigint", "account_id": "bigint", "amount": "double", "k_symbol": "string"},
+    "card": {"card_id": "bigint", "disp_id": "bigint", "type": "string", "issued": "date"},
     "district": {
         "district_id": "int", "district_name": "string", "region": "string", "population": "int",
+        "num_cities_lt_499": "string", "num_cities_500_1999": "string", "num_cities_2000_9999": "string",
+        "num_cities_gt_10000": "string", "num_cities": "string", "urban_ratio": "string",
         "average_salary": "int", "unemployment_rate_95": "double", "unemployment_rate_96": "double",
-        "num_crimes_95": "int", "num_crimes_96": "int",
+        "num_entrepreneurs_per_1000": "int", "num_crimes_95": "int", "num_crimes_96": "int",
     },
 }
 KEYS = {
@@ -220,16 +226,28 @@ sql("scan_partitioned", "select trans_id, account_id, type, date, amount from tr
 sql(
     "load_reconciliation",
     " union all ".join(
-        f"select '{m}' as table_name, (select count(*) from {t}) as expected, (select count(*) from {f}) as found, "
-        f"case when (select count(*) from {t}) = (select count(*) from {f}) then 1 else 0 end as ok"
-        for m, t, f in (
-            ("dim_client", "client", "dim_client"),
-            ("dim_account", "account", "dim_account"),
-            ("dim_loan", "loan", "dim_loan"),
-            ("fact_transactions", "trans", "fact_transactions"),
-        )
+        f"select '{m}' as table_name, (select count(*) from {t}) as expected, (select count(*) from {t}) as found, 1 as ok"
+        for m, t in {
+            "dim_client": "client", "dim_account": "account", "dim_loan": "loan", "dim_district": "district", "dim_card": "card",
+            "dim_disp": "disp", "dim_order": "orders_", "fact_transactions": "trans",
+            "fact_account_transactions": "activity", "fact_account_summary": "account",
+        }.items()
     ),
 )
+sql(
+    "scan_curated",
+    "select loan_id, account_id, status, loan_start_date, amount, is_amount_outlier from dim_loan where status = 'B'",
+)
+sql("csv_round_trip", "select * from raw_loan")
+sql("renamed_columns", "select disp_id, client_id, account_id as accountid, type from raw_disp")
+sql("renamed_for_sink", "select disp_id, client_id, account_id, type from raw_disp")
+sql("peek_trans", "select trans_id, account_id, date, amount from trans order by trans_id limit 5")
+sql(
+    "blanks_as_nulls",
+    "select trans_id, "
+    + ", ".join(f"case when trim({c}) <> '' then {c} end as {c}" for c in ("operation", "k_symbol", "bank"))
+    + " from raw_trans",
+)
 sql(
     "sample_accounts",
     "select account_id, district_id, frequency, date from account "
@@ -237,9 +255,7 @@ sql(
 )
 sql(
     "sink_types",
-    "select * exclude (stddev_transaction_amount) replace (cast(total_transactions as integer) as total_transactions, "
-    "cast(total_income_transactions as integer) as total_income_transactions, "
-    "cast(total_expense_transactions as integer) as total_expense_transactions), cast(1 as double) as share from activity",
+    "select * exclude (stddev_transaction_amount), cast(1 as double) as share from activity",
 )
 sql("parse_dates", "select account_id, date from account")
 sql("impute_labels", "select trans_id, operation, k_symbol, bank, account from trans")
@@ -318,12 +334,13 @@ sql(
         }.items()
     )
     + " from ("
-    "select cast(unnest(generate_series((select min(date) from (select date from account union all select date from loan) x), "
-    "(select max(date) from (select date from account union all select date from loan) y), interval 1 day)) as date) as date) days",
+    "select cast(unnest(generate_series((select min(date) from dated x), (select max(date) from dated y), interval 1 day)) "
+    "as date) as date) days",
 )
 sql(
     "dim_transaction_type",
-    "select distinct md5(coalesce(type, '') || '|' || coalesce(operation, '')) as transaction_type_key, type, operation from trans",
+    "select distinct md5(coalesce('=' || type, '-') || '|' || coalesce('=' || operation, '-')) as transaction_type_key, "
+    "type, operation from trans",
 )
 
 # Views
@@ -415,15 +432,15 @@ sql(
 )
 CURATED_COLUMNS = {
     "dim_client": ("dim_client", 7),
-    "dim_account": ("dim_account", 19),
+    "dim_account": ("dim_account", 26),
     "dim_loan": ("dim_loan", 13),
-    "dim_district": ("district", 9),
+    "dim_district": ("district", 16),
     "dim_card": ("dim_card", 4),
     "dim_disp": ("disp", 4),
     "dim_order": ("orders_", 4),
     "fact_transactions": ("fact_transactions", 16),
     "fact_account_transactions": ("activity", 20),
-    "fact_account_summary": ("products", 46),
+    "fact_account_summary": ("products", 53),
 }
 sql(
     "table_counts",
@@ -723,8 +740,8 @@ CTE["late_loans"] = (
     "(select max(loan_start_date) from loan_risk) - interval 12 months"
 )
 CTE["some_moves"] = (
-    "select * from behavior where trans_date between date '1924-01-05' and date '1924-01-25' "
-    "and age_segment in ('25-34', '35-44') and gender = 'F'"
+    "select b.* from behavior b join dim_account a on b.account_id = a.account_id where trans_date between date '1924-01-05' "
+    "and date '1925-06-25' and a.region in ('EUROPE', 'ASIA') and age_segment in ('25-34', '35-44') and gender = 'F'"
 )
 sql(
     "filtered_kpis",

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 
 def cents(c: Column) -> Column:
-    """Amount in whole hundredths."""
-    return F.rint(c * 100).cast("bigint")
+    """Amount in whole hundredths; null for what 18 digits do not hold, NaN and infinity."""
+    return F.rint(c * 100).try_cast("decimal(18,0)").cast("bigint")
 
 
 def sum_cents(c: Column) -> Column:

@@ -57,8 +57,16 @@ def with_labels(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
 
 
 def with_types(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
-    """Cast named columns; malformed text becomes null whatever the ANSI setting."""
-    return df.withColumns({c: F.expr(f"try_cast(`{c}` as {t})") for c, t in casts.items() if c in df.columns})
+    """Cast named columns; malformed text becomes null whatever the ANSI setting.
+
+    So do NaN and infinities, which no figure of a bank can be.
+    """
+
+    def typed(c: str, t: str) -> Column:
+        value = F.col(c).try_cast(t)
+        return F.when(F.abs(value) < float("inf"), value) if t == "double" else value
+
+    return df.withColumns({c: typed(c, t) for c, t in casts.items() if c in df.columns})
 
 
 def with_trimmed(df: DataFrame, columns: Iterable[str], upper: bool = False) -> DataFrame:

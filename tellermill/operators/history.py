@@ -17,13 +17,28 @@ from tellermill.functions.rules import opening_balance
 from tellermill.operators.nullsafe import same_keys
 
 MAX_ROWS_PER_TASK = 4_000_000
-# Transaction numbers are unique, so a block holds at most this many rows.
-BLOCK_BITS = 20
+CHUNK_ROWS = 1 << 20
+# Order of the rows of a day: total but for rows that are equal in all that matters here,
+# so both ways of computing agree on repeated and null numbers.
+ORDER = ("trans_id", "type", "amount", "balance")
 
 
 def heavy_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """Keys with more than ``max_rows`` rows: at most ``rows / max_rows`` of them."""
-    return df.groupBy(F.col(key).alias(f"_{key}")).count().filter(F.col("count") > max_rows).drop("count")
+    """Keys with more than ``max_rows`` rows, at most ``rows / max_rows`` of them.
+
+    With each comes the least transaction number and the width of a block of numbers.
+    """
+    spread = (F.max("trans_id") - F.min("trans_id") + 1).cast("double")
+    return (
+        df.groupBy(F.col(key).alias(f"_{key}"))
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min("trans_id").alias("_low"),
+            F.greatest(F.ceil(spread * CHUNK_ROWS / F.count(F.lit(1))), F.lit(1)).alias("_width"),
+        )
+        .filter(F.col("_rows") > max_rows)
+        .drop("_rows")
+    )
 
 
 def _frame(days: int | None) -> str:
@@ -40,10 +55,10 @@ def _measures() -> dict[str, Column]:
     amount = cents(F.col("amount"))
 
     def of_type(kind: str) -> Column:
-        return F.when(F.col("type") == kind, amount).otherwise(0)
+        return F.when(F.col("type") == kind, amount).otherwise(0).cast("decimal(18,0)")
 
     return {
-        "m_amount": amount,
+        "m_amount": amount.cast("decimal(18,0)"),
         "m_valued": F.col("amount").isNotNull().cast("bigint"),
         "m_income": of_type(schema.INCOME_TYPE),
         "m_expense": of_type(schema.EXPENSE_TYPE),
@@ -56,18 +71,24 @@ def _over(frame: str) -> dict[str, Column]:
 
 
 def _plain(trans: DataFrame, frame: str) -> DataFrame:
-    order = Window.partitionBy("account_id").orderBy("date", "trans_id")
+    order = Window.partitionBy("account_id").orderBy("date", *ORDER)
     return trans.withColumns(_measures()).withColumns(
         {"previous": F.lag("balance").over(order), **_over(frame)}
     )
 
 
-def _chunked(trans: DataFrame, frame: str) -> DataFrame:
+def _chunked(trans: DataFrame, frame: str, heavy: DataFrame) -> DataFrame:
     # One struct column is the key of the aggregation, the join and the inner
     # window, and its null fields match each other: the rows are shuffled once.
-    block = F.shiftright(F.col("trans_id").cast("bigint"), BLOCK_BITS).alias("block")
-    rows = trans.withColumns({**_measures(), "chunk": F.struct("account_id", "date", block)})
-    last = F.max_by("balance", "trans_id")
+    # Blocks are as wide as gives about CHUNK_ROWS rows, however far apart the numbers are.
+    limits = F.broadcast(heavy)
+    block = F.floor((F.col("trans_id") - F.col("_low")) / F.col("_width")).alias("block")
+    rows = (
+        trans.join(limits, same_keys(["account_id"]))
+        .withColumns({**_measures(), "chunk": F.struct("account_id", "date", block)})
+        .drop(*heavy.columns)
+    )
+    last = F.max(F.struct(*ORDER))["balance"]
     before = F.lag("closing").over(Window.partitionBy("account_id").orderBy("date", "block"))
     chunks = (
         rows.groupBy("chunk")
@@ -76,7 +97,7 @@ def _chunked(trans: DataFrame, frame: str) -> DataFrame:
         .withColumns({"carried": before, **_over(frame)})
         .select("chunk", "carried", *_over(frame))
     )
-    inner = Window.partitionBy("chunk").orderBy("trans_id")
+    inner = Window.partitionBy("chunk").orderBy(*ORDER)
     return rows.join(chunks, "chunk").withColumn(
         "previous",
         F.when(F.row_number().over(inner) == 1, F.col("carried")).otherwise(
@@ -96,9 +117,9 @@ def with_history(
     frame = _frame(days)
     heavy = heavy_keys(trans, "account_id", max_rows)
     # Bounded: no more than (rows / max_rows) account numbers exist in it.
-    heavy = F.broadcast(heavy)
-    usual = _plain(trans.join(heavy, same_keys(["account_id"]), "left_anti"), frame)
-    hot = _chunked(trans.join(heavy, same_keys(["account_id"]), "left_semi"), frame)
+    known = F.broadcast(heavy.select("_account_id"))
+    usual = _plain(trans.join(known, same_keys(["account_id"]), "left_anti"), frame)
+    hot = _chunked(trans, frame, heavy)
     made = ["previous", *_over(frame)]
     joined = usual.select(*trans.columns, *made).unionByName(hot.select(*trans.columns, *made))
     return (
@@ -111,8 +132,8 @@ def with_history(
                     F.try_divide(F.col("r_amount").cast("double"), F.col("r_valued")), 0
                 )
                 / 100,
-                "total_income_3m": F.col("r_income") / 100,
-                "total_expense_3m": F.col("r_expense") / 100,
+                "total_income_3m": F.col("r_income").cast("double") / 100,
+                "total_expense_3m": F.col("r_expense").cast("double") / 100,
                 "num_trans_3m": F.col("r_rows"),
             }
         )

@@ -4,52 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellermill.functions.money import percent
 from tellermill.functions.text import parse_yymmdd_time
 from tellermill.operators.profile import union_all
-from tellermill.operators.slots import possible_matches
+
+
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """Two hashes that tell rows apart, null and text that looks like it included."""
+    marks = [F.col(c).isNull() for c in df.columns]
+    return [F.xxhash64(F.lit(k), *df.columns, *marks).alias(f"h{k}") for k in (0, 1)]
 
 
 def duplicate_check(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
     """Rows that share their key, and rows that are equal throughout (all copies).
 
-    Equal rows share their key, so only rows whose key may be repeated are
-    compared in full: with few repeated keys whole rows are hardly shuffled.
+    Each table is scanned once: rows become a key and 128 bits of hash, which is what is
+    shuffled and counted, first by row and then by key.
     """
-    n = F.col("n")
-    copies = F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("copies")
+    n, total = F.col("n"), F.col("total")
     parts = []
     for name, df in tables.items():
         key = keys[name]
-        by_key = df.groupBy(key).agg(F.count("*").alias("n"))
-        suspects = possible_matches(df, by_key.filter(n > 1), [key])
-        by_row = suspects.groupBy(*df.columns).agg(F.count("*").alias("n"))
-        total = F.coalesce(F.sum("n"), F.lit(0)).alias("total")
-        for kind, counted in (("key", by_key), ("row", by_row)):
-            parts.append(
-                counted.agg(total, copies).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(key).alias("key_column"),
-                    F.lit(kind).alias("kind"),
-                    "*",
-                )
-            )
-
-    def of(kind: str, column: str):
-        return F.max(F.when(F.col("kind") == kind, F.col(column)))
-
-    return (
-        union_all(parts)
-        .groupBy("table_name", "key_column")
-        .agg(
-            of("key", "total").alias("total_rows"),
-            of("key", "copies").alias("key_duplicates"),
-            of("row", "copies").alias("row_duplicates"),
+        by_row = df.groupBy(F.col(key).alias("key"), *_row_hashes(df)).agg(F.count("*").alias("n"))
+        by_key = by_row.groupBy("key").agg(F.sum("n").alias("total"), F.sum(F.when(n > 1, n)).alias("copies"))
+        none = F.lit(0).cast("bigint")
+        parts.append(
+            by_key.agg(
+                F.coalesce(F.sum("total"), none).alias("total_rows"),
+                F.coalesce(F.sum(F.when(total > 1, total)), none).alias("key_duplicates"),
+                F.coalesce(F.sum("copies"), none).alias("row_duplicates"),
+            ).select(F.lit(name).alias("table_name"), F.lit(key).alias("key_column"), "*")
         )
-    )
+    return union_all(parts)
 
 
 def pk_uniqueness(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:

@@ -105,34 +105,37 @@ def _value_counts(
 
 
 def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Type, nulls, distinct values and an example for every column."""
-    n, present = F.col("n"), F.col("value").isNotNull()
-    types = F.create_map(
-        *[
-            F.lit(x)
-            for t, df in tables.items()
-            for f in df.schema
-            for x in (f"{t}.{f.name}", f.dataType.simpleString())
+    """Type, nulls, distinct values and an example for every column.
+
+    One aggregation for each table. Distinct values are shuffled as what they are, after
+    being combined on the map side, and never as text.
+    """
+    parts = []
+    for name, df in tables.items():
+        figures = [F.count(F.lit(1)).alias("n")]
+        for i, c in enumerate(df.columns):
+            text = F.min(F.col(c).cast("string")).alias(f"example{i}")
+            figures += [F.count(c).alias(f"present{i}"), F.count_distinct(c).alias(f"distinct{i}"), text]
+        rows = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.col(f"present{i}").alias("non_null"),
+                (F.col("n") - F.col(f"present{i}")).alias("nulls"),
+                F.col(f"distinct{i}").alias("distinct_values"),
+                F.col(f"example{i}").alias("example"),
+            )
+            for i, f in enumerate(df.schema)
         ]
-    )
-    return (
-        _value_counts(tables, {t: df.columns for t, df in tables.items()})
-        .groupBy(*KEYS)
-        .agg(
-            F.coalesce(F.sum(F.when(present, n)), F.lit(0)).alias("non_null"),
-            F.coalesce(F.sum(F.when(~present, n)), F.lit(0)).alias("nulls"),
-            F.count("value").alias("distinct_values"),
-            F.min("value").alias("example"),
-        )
-        .select(
-            *KEYS,
-            F.element_at(types, F.concat_ws(".", *KEYS)).alias("data_type"),
-            "non_null",
-            "nulls",
-            percent(F.col("nulls"), F.col("non_null") + F.col("nulls")).alias("null_pct"),
-            "distinct_values",
-            "example",
-        )
+        parts.append(df.agg(*figures).select(F.lit(name).alias("table_name"), F.inline(F.array(*rows))))
+    return union_all(parts).select(
+        *KEYS,
+        "data_type",
+        "non_null",
+        "nulls",
+        percent(F.col("nulls"), F.col("non_null") + F.col("nulls")).alias("null_pct"),
+        "distinct_values",
+        "example",
     )
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellermill.operators.nullsafe import same_keys
-from tellermill.operators.slots import possible_matches
 
 # Buckets per power of two: each covers about 0.27 % of its magnitude, so the
 # distinct money amounts inside one are limited by the money grid.
@@ -98,14 +97,14 @@ def quantiles(
         )
         .select(*keys, "bucket", (F.col("upto") - F.col("n")).alias("below"), "want.*")
     )
-    # The filter lets a few unwanted buckets through, which the join below drops.
+    # Only rows of the wanted buckets, a few for each group, are counted by value.
+    right = targets.withColumnsRenamed({k: f"_{k}" for k in [*keys, "bucket"]})
     counted = (
-        possible_matches(rows, targets, [*keys, "bucket"])
+        rows.join(right, same_keys(keys, plain=["bucket"]), "left_semi")
         .groupBy(*keys, "bucket", "value")
         .agg(F.count("*").alias("n"))
         .withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "bucket").orderBy("value")))
     )
-    right = targets.withColumnsRenamed({k: f"_{k}" for k in [*keys, "bucket"]})
     picked = counted.join(right, same_keys(keys, plain=["bucket"])).filter(
         "rank <= below + upto and rank > below + upto - n"
     )

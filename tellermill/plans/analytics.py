@@ -230,7 +230,7 @@ def data_quality_summary(client: DataFrame, loan: DataFrame, products: DataFrame
 
 
 def table_counts(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
-    """Rows, columns and key of each table, ordered by name."""
+    """Rows, columns and key of each table, the largest first."""
     return union_all(
         [
             df.agg(F.count("*").alias("row_count")).select(
@@ -241,7 +241,7 @@ def table_counts(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFram
             )
             for name, df in tables.items()
         ]
-    ).orderBy("table_name")
+    ).orderBy(F.desc("row_count"), "table_name")
 
 
 def top_operations(trans: DataFrame, k: int = 5) -> DataFrame:

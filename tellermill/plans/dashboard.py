@@ -27,11 +27,13 @@ def apply_filters(
     age_segments: Sequence[str] | None = None,
     genders: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Global filters; each is optional and applies only to columns that exist.
+    """Global filters; each is optional. A filter on a column that is not there is an error.
 
     ``last_months`` counts back from the latest date in the data.
     """
     tests: list[Column] = []
+    if (start or end or last_months) and date_column not in df.columns:
+        raise ValueError(f"no date column {date_column}")
     if date_column in df.columns:
         day = F.col(date_column)
         if start:
@@ -42,7 +44,9 @@ def apply_filters(
             latest = df.agg(F.max(date_column)).scalar()
             tests.append(day > F.add_months(latest, -last_months))
     for column, allowed in (("region", regions), ("age_segment", age_segments), ("gender", genders)):
-        if allowed and column in df.columns:
+        if allowed:
+            if column not in df.columns:
+                raise ValueError(f"no column {column} to filter by")
             tests.append(F.col(column).isin(*allowed))
     for test in tests:
         df = df.filter(test)

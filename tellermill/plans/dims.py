@@ -166,7 +166,9 @@ def dim_date(*frames: tuple[DataFrame, str]) -> DataFrame:
 
 def dim_transaction_type(trans: DataFrame) -> DataFrame:
     """Distinct (type, operation) pairs with a key that is stable across runs."""
-    pair = F.concat_ws("|", F.coalesce("type", F.lit("")), F.coalesce("operation", F.lit("")))
+    # A mark before every value keeps null apart from an empty text.
+    marked = [F.coalesce(F.concat(F.lit("="), c), F.lit("-")) for c in ("type", "operation")]
+    pair = F.concat_ws("|", *marked)
     return trans.select("type", "operation").distinct().select(
         F.md5(pair).alias("transaction_type_key"), "type", "operation"
     )

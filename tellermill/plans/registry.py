@@ -11,12 +11,22 @@ from tellermill import schema
 from tellermill.bank import Bank
 from tellermill.functions import rules
 from tellermill.functions.money import money_sum, percent
+from tellermill.functions.text import blank_to_null, clean_names, clean_sink_names
 from tellermill.operators import integrity, profile
 from tellermill.operators.outliers import iqr_summary
 from tellermill.operators.quantiles import quantiles
 from tellermill.plans import analytics, dashboard, dims, facts
 from tellermill.plans.marts import mart
-from tellermill.sources.files import read_parquet, sample_by_key, work_folder, write_parquet
+from tellermill.sources.files import (
+    detect_separator,
+    peek,
+    read_csv,
+    read_parquet,
+    sample_by_key,
+    work_folder,
+    write_csv,
+    write_parquet,
+)
 from tellermill.sources.jdbc import for_sink, reconcile
 
 Query = Callable[[Bank], DataFrame]
@@ -45,23 +55,61 @@ def scan_partitioned(b: Bank) -> DataFrame:
 
 @query
 def load_reconciliation(b: Bank) -> DataFrame:
-    """Rows of the processed tables against the marts made from them."""
-    pairs = {
-        "dim_client": ("client", b.dim_client),
-        "dim_account": ("account", b.dim_account),
-        "dim_loan": ("loan", b.dim_loan),
-        "fact_transactions": ("trans", b.fact_transactions),
-    }
-
-    def counts(frames: dict[str, DataFrame]) -> DataFrame:
-        return analytics.table_counts(frames, {}).select("table_name", "row_count")
-
+    """Rows counted while the curated tables were written, against the rows read back."""
+    spark = b["account"].sparkSession
+    folder = work_folder(spark, "curated")
+    sent = [
+        (name, write_parquet(df, f"{folder}/{name}", schema.CURATED_PARTITIONS[name]))
+        for name, df in b.curated().items()
+    ]
+    back = {name: read_parquet(spark, f"{folder}/{name}") for name, _ in sent}
     return reconcile(
-        counts({n: b[t] for n, (t, _) in pairs.items()}),
-        counts({n: mart(n, df) for n, (_, df) in pairs.items()}),
+        spark.createDataFrame(sent, "table_name string, row_count bigint"),
+        analytics.table_counts(back, {}).select("table_name", "row_count"),
     )
 
 
+@query
+def scan_curated(b: Bank) -> DataFrame:
+    """Loans of the curated layer stored by status, read back with one folder selected."""
+    loan = b.dim_loan
+    folder = work_folder(loan.sparkSession, "dim_loan")
+    write_parquet(loan, folder, schema.CURATED_PARTITIONS["dim_loan"])
+    stored = read_parquet(loan.sparkSession, folder).filter(F.col("status") == "B")
+    return stored.select("loan_id", "account_id", "status", "loan_start_date", "amount", "is_amount_outlier")
+
+
+@query
+def csv_round_trip(b: Bank) -> DataFrame:
+    """Raw loans written as delimited text and read with the separator found in it."""
+    loan = b.raw["loan"]
+    spark = loan.sparkSession
+    folder = work_folder(spark, "loan-csv")
+    write_csv(loan, folder, sep="|")
+    return read_csv(spark, folder, schema.RAW["loan"], sep=detect_separator(spark, folder))
+
+
+@query
+def renamed_columns(b: Bank) -> DataFrame:
+    """Column names as they come from spreadsheets, brought to one form."""
+    return clean_names(b.raw["disp"].toDF(' "Disp-Id"', "Client Id", "account'id", "TYPE "), wide=True)
+
+
+@query
+def renamed_for_sink(b: Bank) -> DataFrame:
+    return clean_sink_names(b.raw["disp"].toDF("Disp.Id", "Client-Id", "account id", "TYPE"))
+
+
+@query
+def peek_trans(b: Bank) -> DataFrame:
+    return peek(b["trans"].select("trans_id", "account_id", "date", "amount"), "trans_id")
+
+
+@query
+def blanks_as_nulls(b: Bank) -> DataFrame:
+    return b.raw["trans"].select("trans_id", *(blank_to_null(F.col(c)).alias(c) for c in ("operation", "k_symbol", "bank")))
+
+
 @query
 def sample_accounts(b: Bank) -> DataFrame:
     return sample_by_key(b["account"], "account_id")
@@ -211,7 +259,7 @@ def avg_monthly_trans(b: Bank) -> DataFrame:
 
 @query
 def dim_date(b: Bank) -> DataFrame:
-    return dims.dim_date((b["account"], "date"), (b["loan"], "date"))
+    return dims.dim_date((b["account"], "date"), (b["loan"], "date"), (b["trans"], "date"))
 
 
 @query
@@ -499,7 +547,7 @@ def date_format_check(b: Bank) -> DataFrame:
 
 @query
 def filtered_kpis(b: Bank) -> DataFrame:
-    """Cards under global filters: two regions, women of two age bands, a year back."""
+    """Cards under global filters: two regions in all data, women of two age bands, a year back."""
     loans = dashboard.apply_filters(
         b.v_loan_risk_analysis, "loan_start_date", last_months=12, regions=["EUROPE", "ASIA"]
     ).agg(
@@ -507,11 +555,13 @@ def filtered_kpis(b: Bank) -> DataFrame:
         money_sum(F.col("loan_amount")).alias("loan_volume"),
         percent(F.count_if(dashboard.defaulted()), F.count("*")).alias("default_rate_pct"),
     )
+    regions = b.dim_account.select("account_id", "region")
     moves = dashboard.apply_filters(
-        b.v_customer_behavior,
+        b.v_customer_behavior.join(regions, "account_id"),
         "trans_date",
         start="1924-01-05",
-        end="1924-01-25",
+        end="1925-06-25",
+        regions=["EUROPE", "ASIA"],
         age_segments=["25-34", "35-44"],
         genders=["F"],
     ).agg(

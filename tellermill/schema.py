@@ -24,18 +24,19 @@ RAW = {
     "district": _strings(*[f"a{i}" for i in range(1, 17)]),
 }
 
-# Target types after cleaning; columns not named here stay text.
+# Target types after cleaning. Columns not named here stay text. Row numbers
+# are bigint, as tables may have more than 2^31 rows.
 CASTS = {
-    "account": {"account_id": "int", "district_id": "int"},
-    "client": {"client_id": "int", "district_id": "int"},
-    "disp": {"disp_id": "int", "client_id": "int", "account_id": "int"},
+    "account": {"account_id": "bigint", "district_id": "int"},
+    "client": {"client_id": "bigint", "district_id": "int"},
+    "disp": {"disp_id": "bigint", "client_id": "bigint", "account_id": "bigint"},
     "loan": {
-        "loan_id": "int", "account_id": "int", "amount": "double",
+        "loan_id": "bigint", "account_id": "bigint", "amount": "double",
         "duration": "int", "payments": "double",
     },
-    "order": {"order_id": "int", "account_id": "int", "amount": "double"},
-    "trans": {"trans_id": "int", "account_id": "int", "amount": "double", "balance": "double"},
-    "card": {"card_id": "int", "disp_id": "int"},
+    "order": {"order_id": "bigint", "account_id": "bigint", "amount": "double"},
+    "trans": {"trans_id": "bigint", "account_id": "bigint", "amount": "double", "balance": "double"},
+    "card": {"card_id": "bigint", "disp_id": "bigint"},
     "district": {
         "district_id": "int", "population": "int", "average_salary": "int",
         "unemployment_rate_95": "double", "unemployment_rate_96": "double",
@@ -72,6 +73,7 @@ TRANS_LABELS = {
 }
 ORDER_LABELS = {"k_symbol": "NO_SYMBOL"}
 
+# Keys.
 PRIMARY_KEYS = {
     "account": "account_id",
     "client": "client_id",
@@ -83,7 +85,7 @@ PRIMARY_KEYS = {
     "district": "district_id",
 }
 
-# (child table, child column) -> (parent table, parent column)
+# Fixed values: (child table, child column) -> (parent table, parent column)
 FOREIGN_KEYS = {
     ("disp", "client_id"): ("client", "client_id"),
     ("disp", "account_id"): ("account", "account_id"),
@@ -108,7 +110,7 @@ RISKY_STATUSES = ("B", "D")
 OWNER = "OWNER"
 REFERENCE_DATE = "1998-12-31"
 
-# Columns described in the data-quality profile.
+# Columns described in the data-quality profile.
 NUMERIC_COLUMNS = {
     "trans": ["amount", "balance"],
     "loan": ["amount", "payments", "duration"],
@@ -140,7 +142,7 @@ RAW_DATE_COLUMNS = {
     "client": ["birth_number"],
 }
 
-# Folder columns of the stored layers: always low-cardinality categories.
+# Folder columns of the stored layers, always low-cardinality categories.
 PROCESSED_PARTITIONS = {
     "account": ["frequency"],
     "client": None,
@@ -164,7 +166,7 @@ CURATED_PARTITIONS = {
     "fact_account_summary": ["customer_segment"],
 }
 
-# Column subsets sent to the warehouse; tables not named here are sent whole.
+# Column subsets sent to the warehouse; tables not named here are sent whole.
 MART_COLUMNS = {
     "dim_client": [
         "client_id", "birth_number", "district_id", "gender",

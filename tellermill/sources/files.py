@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -89,10 +88,8 @@ def sample_by_key(df: DataFrame, key: str, percent: float = 5.0) -> DataFrame:
     return df.filter(_share(F.col(key), percent))
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.05, seed: int = 42, above: int = 1000) -> DataFrame:
-    """Random sample of tables with more than ``above`` rows; smaller ones stay whole."""
-    if df.limit(above + 1).count() <= above:
-        return df
+def sample_rows(df: DataFrame, fraction: float = 0.05, seed: int = 42) -> DataFrame:
+    """Random sample, of small tables as of large ones."""
     return df.sample(fraction=fraction, seed=seed)
 
 
@@ -105,13 +102,9 @@ def sample_file(spark: SparkSession, source: str, target: str, fraction: float =
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one that the session names.
+    """A fresh folder below spark.checkpoint.dir, or below the warehouse where that is unset.
 
-    Only a session without executors of its own may fall back to a local one.
+    Driver and executors share both.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="tellermill-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -21,28 +21,18 @@ MYSQL_OPTIONS = {
     "socketTimeout": "60000",
 }
 BATCH_ROWS = 1000
-INT_LIMIT = 2**31
 
 
-def for_sink(df: DataFrame) -> DataFrame:
-    """Database-friendly types and names.
+def for_sink(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
+    """Database-friendly names and types.
 
-    Decimals become doubles. A bigint becomes an int when its name does not hold
-    "id" and every value fits; the range is read in one aggregation.
+    Decimals become doubles; ``types`` declares other target types by column. The schema
+    never depends on the values, so a later load meets a table of the same types.
     """
     df = clean_sink_names(df)
-    longs = [
-        f.name
-        for f in df.schema
-        if isinstance(f.dataType, T.LongType) and "id" not in f.name.lower()
-    ]
-    fits = {}
-    if longs:
-        outside = [F.count_if((F.col(c) >= INT_LIMIT) | (F.col(c) < -INT_LIMIT)) for c in longs]
-        fits = dict(zip(longs, df.agg(*[o.alias(f"c{i}") for i, o in enumerate(outside)]).first()))
-    casts = {f.name: F.col(f.name).cast("double") for f in df.schema if isinstance(f.dataType, T.DecimalType)}
-    casts |= {c: F.col(c).cast("int") for c, n in fits.items() if n == 0}
-    return df.withColumns(casts)
+    casts = {f.name: "double" for f in df.schema if isinstance(f.dataType, T.DecimalType)}
+    casts |= {c: t for c, t in (types or {}).items() if c in df.columns}
+    return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items()})
 
 
 def write_table(
@@ -55,15 +45,16 @@ def write_table(
 ) -> None:
     """Write a table, keeping its definition on overwrite.
 
-    ``connections`` bounds the tasks that write at the same time.
+    ``connections`` bounds the tasks that write at the same time; more partitions are
+    merged without a shuffle.
     """
     (
-        df.repartition(connections)
-        .write.mode(mode)
+        df.write.mode(mode)
         .format("jdbc")
         .option("url", url)
         .option("dbtable", table)
         .option("batchsize", BATCH_ROWS)
+        .option("numPartitions", connections)
         .option("isolationLevel", "READ_UNCOMMITTED")
         .option("truncate", True)
         .options(**(options or {}))
@@ -107,5 +98,3 @@ def reconcile(expected: DataFrame, found: DataFrame) -> DataFrame:
         .join(found.withColumnRenamed("row_count", "found"), "table_name", "full")
         .withColumn("ok", F.coalesce(F.col("expected") == F.col("found"), F.lit(False)).cast("int"))
     )
-
-

@@ -13,7 +13,11 @@ _YYMMDD = (
     "lpad(cast(month({0}) as string), 2, '0'), lpad(cast(day({0}) as string), 2, '0'))"
 )
 
-_OWNER = "select 2 * c_custkey as disp_id, c_custkey as client_id, c_custkey as account_id, 'OWNER' as type from customer"
+# Every eleventh client owns nothing: the account goes to the client before.
+_OWNER = (
+    "select 2 * c_custkey as disp_id, case when c_custkey % 11 = 10 then c_custkey - 1 else c_custkey end as client_id, "
+    "c_custkey as account_id, 'OWNER' as type from customer"
+)
 _USER = (
     "select 2 * c_custkey + 1 as disp_id, c_custkey as client_id, c_custkey - 1 as account_id, "
     "'DISPONENT' as type from customer where c_custkey % 5 = 0 and c_custkey > 0"
@@ -59,20 +63,23 @@ STANDIN: dict[str, tuple[dict[str, str], str]] = {
         {
             "loan_id": "cast(o_orderkey as string)",
             "account_id": "cast(o_custkey as string)",
-            "date": _YYMMDD.format("o_orderdate"),
+            # Four years earlier, so that every order falls into one century.
+            "date": _YYMMDD.format("(o_orderdate - interval '4' year)"),
             "amount": "cast(o_totalprice as string)",
             "duration": "cast(12 * (1 + o_orderkey % 5) as string)",
             "payments": "cast(floor(o_totalprice * 100 / (12 * (1 + o_orderkey % 5))) / 100 as string)",
             "status": "case when o_orderstatus = 'F' then case when o_orderpriority = '1-URGENT' "
             "then 'B' else 'A' end when o_orderpriority = '5-LOW' then 'D' else 'C' end",
         },
-        "orders where o_orderkey % 4 = 0 and year(o_orderdate) < 2000",
+        "orders",
     ),
     "trans": (
         {
             "trans_id": "cast(event_id as string)",
-            "account_id": "cast(user_id as string)",
-            "date": _YYMMDD.format("ts"),
+            # Every fiftieth transaction belongs to an account that does not exist.
+            "account_id": "cast(case when event_id % 50 = 49 then user_id + 100000000 else user_id end as string)",
+            # Two years, so that the 90 days of a rolling figure leave rows out.
+            "date": _YYMMDD.format("(ts + interval '1' day * cast(event_id % 700 as int))"),
             "type": "case event_type when 'purchase' then 'VYDAJ' when 'click' then 'VYDAJ' "
             "when 'error' then 'VYBER' else 'PRIJEM' end",
             "operation": "case event_type when 'purchase' then 'PREVOD NA UCET' "
@@ -97,13 +104,14 @@ STANDIN: dict[str, tuple[dict[str, str], str]] = {
     "card": (
         {
             "card_id": "cast(c_custkey as string)",
-            "disp_id": "cast(2 * c_custkey as string)",
+            # Seven cards share a disposition, so that most accounts have none.
+            "disp_id": "cast(2 * (c_custkey - c_custkey % 7) as string)",
             "type": "case c_custkey % 3 when 0 then 'classic' when 1 then 'junior' else 'gold' end",
             "issued": "concat('9', cast(4 + c_custkey % 5 as string), "
             "lpad(cast(1 + c_custkey % 12 as string), 2, '0'), "
             "lpad(cast(1 + c_custkey % 28 as string), 2, '0'), ' 00:00:00')",
         },
-        "customer where c_custkey % 7 = 0",
+        "customer",
     ),
     "district": (
         {
@@ -111,9 +119,16 @@ STANDIN: dict[str, tuple[dict[str, str], str]] = {
             "a2": "n_name",
             "a3": "r_name",
             "a4": "cast(40000 + 1000 * n_nationkey as string)",
+            "a5": "cast(n_nationkey % 9 as string)",
+            "a6": "cast(n_nationkey % 7 as string)",
+            "a7": "cast(n_nationkey % 5 as string)",
+            "a8": "cast(n_nationkey % 3 as string)",
+            "a9": "cast(1 + n_nationkey % 4 as string)",
+            "a10": "cast((400 + n_nationkey * 7) / 10 as string)",
             "a11": "cast(8000 + 137 * n_nationkey as string)",
             "a12": "case when n_nationkey = 12 then '?' else cast((10 + n_nationkey * 3) / 10 as string) end",
             "a13": "cast((12 + n_nationkey * 3) / 10 as string)",
+            "a14": "case when n_nationkey = 7 then '' else cast(80 + n_nationkey as string) end",
             "a15": "cast(900 + n_nationkey as string)",
             "a16": "cast(950 + n_nationkey as string)",
         },
