@@ -22,7 +22,7 @@ SLOTS = 1 << 16
 #: Lines to verify that are sent to all executors; beyond, they are joined by a shuffle.
 BROADCAST_LINES = 500_000
 #: Rarest words by which a line is compared with the earliest line that has them.
-LEADERS = 3
+LEADERS = 2
 
 _HASH_BITS = 57
 _PLACE = ("null_id", "doc_id", "text_key", "line_no")
@@ -147,7 +147,7 @@ def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int])
     """Ids of the sets that match a set of an earlier line.
 
     Many slightly different copies of a line would all match each other. So every set is
-    first compared with the earliest that shares its rarest, second or third rarest word,
+    first compared with the earliest that shares its rarest or second rarest word,
     which settles nearly all of such a group; only sets that found no match there are
     joined with all earlier ones. Nothing is lost: a settled set needs no more matches,
     and it still counts as an earlier line for others.
@@ -156,8 +156,8 @@ def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int])
     slim = sets.filter("n > 3")  # lines of three words match equal ones alone
     near = None
     for k in range(LEADERS):
-        own = slim.select("id", "first", "n", "parity", F.get("prefix", F.lit(k)).alias("word")).filter("word is not null")
-        lead = own.groupBy("word").agg(F.min(F.struct("first", "id", "n", "parity")).alias("e"), F.count(F.lit(1)).alias("c"))
+        own = slim.select("id", order, "n", "parity", F.get("prefix", F.lit(k)).alias("word")).filter("word is not null")
+        lead = own.groupBy("word").agg(F.min(F.struct("order", "id", "n", "parity")).alias("e"), F.count(F.lit(1)).alias("c"))
         lead = lead.filter("c > 1").select("word", "e.id", "e.n", "e.parity")
         both = own.join(lead, "word").filter((own["id"] != lead["id"]) & _plausible(lead, own, similarity))
         both = both.select(lead["id"].alias("x"), own["id"].alias("y"))
