@@ -207,3 +207,58 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
     columns = docs.columns
     return with_quality(docs, "__quality").filter("__quality.kept").select(columns)
+
+
+_SPREAD_ROWS = ", ".join(f"('{m}', {s}, {str(m in TWO_SIDED).lower()})" for m, s in SPREADS.items())
+ORACLE = rf"""
+with word as (
+  select doc_id, lang, source, coalesce(text, '') t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+line as (
+  select doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l from word),
+gram as (
+  select doc_id, i, count(*) over (partition by doc_id, list_slice(w, i, i + {REPEAT_WINDOW - 1})) c
+  from word, unnest(range(1, len(w) - {REPEAT_WINDOW - 2})) g(i) where len(w) >= {REPEAT_WINDOW}),
+hit as (
+  select doc_id, count(distinct p) n from gram, unnest(range(i, i + {REPEAT_WINDOW})) h(p) where c > 1 group by 1),
+counted as (
+  select doc_id, lang, source, len(w) n_words, length(array_to_string(w, '')) word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) n_symbols, len(l) - len(list_distinct(l)) n_dup_lines,
+    coalesce(hit.n, 0) n_repeat_words, len(l) n_lines,
+    length(regexp_replace(array_to_string(w, ''), '[^A-Z]', '', 'g')) n_capitals,
+    length(regexp_replace(array_to_string(w, ''), '[^!?]', '', 'g')) n_marks,
+    len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) n_runs
+  from word join line using (doc_id) left join hit using (doc_id)),
+measured as (
+  select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as failed,
+    {{'word_length': 1000 * word_chars // greatest(n_words, 1), 'symbols': 1000 * n_symbols // greatest(n_words, 1),
+      'capitals': 1000 * n_capitals // greatest(word_chars, 1), 'marks': 1000 * n_marks // greatest(n_words, 1),
+      'line_copies': 1000 * n_dup_lines // greatest(n_lines, 1), 'word_runs': 1000 * n_runs // greatest(n_words, 1)}} m
+  from counted),
+long as (
+  select doc_id, lang, source, failed, unnest(['word_length', 'symbols', 'capitals', 'marks', 'line_copies', 'word_runs']) measure,
+    unnest([m.word_length, m.symbols, m.capitals, m.marks, m.line_copies, m.word_runs])::bigint v from measured),
+sketch as (
+  select level, case when level < 2 then lang end lang, case when level < 1 then source end source, measure,
+    v - v % (1::bigint << greatest(length(bin(v)) - {BITS}, 0)) bucket, count(*) n
+  from long, (values (0), (1), (2)) levels(level) where not failed group by all),
+ranked as (
+  select *, sum(n) over (partition by level, lang, source, measure order by bucket) upto,
+    sum(n) over (partition by level, lang, source, measure) total from sketch),
+quartile as (
+  select level, lang, source, measure, any_value(total) total, min(bucket) filter (where 4 * upto >= total) q1,
+    min(bucket) filter (where 4 * upto >= 3 * total) q3 from ranked group by all),
+fence as (
+  select q.*, case when two_sided then q1 - {REACH} * greatest(q3 - q1, spread) else 0 end low,
+    q3 + {REACH} * greatest(q3 - q1, spread) high
+  from quartile q join (values {_SPREAD_ROWS}) s(measure, spread, two_sided) using (measure)),
+judged as (
+  select x.doc_id, x.measure, arg_min(x.v between f.low and f.high, f.level) inside
+  from long x join fence f on f.measure = x.measure and (f.level = 2 or f.total >= {MIN_GROUP})
+    and (case when f.level < 2 then x.lang end) is not distinct from f.lang
+    and (case when f.level < 1 then x.source end) is not distinct from f.source
+  where not x.failed group by 1, 2),
+verdict as (select doc_id, bool_and(inside) kept from judged group by 1)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed base_failed, coalesce(kept, false) kept
+from measured left join verdict using (doc_id)
+"""

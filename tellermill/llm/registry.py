@@ -33,4 +33,5 @@ _OPERATORS = {
 QUERIES = {name: _sent(query) for name, query in _OPERATORS.items()}
 ORACLES = {
     "op1_decontamination": decontaminate.ORACLE,
+    "op3_quality_rules": quality.ORACLE,
 }
