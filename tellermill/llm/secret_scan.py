@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 from math import log2
 
 import pyarrow as pa
@@ -24,25 +25,41 @@ _HINTS = (b"passw", b"secret", b"token", b"key")
 WINDOW = 20
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
 #: Character classes of a candidate, tried in this order, and the least entropy in bits of
-#: a window that makes it a secret. A window of 20 has 4.32 bits at most.
+#: a window that makes it a secret: what all but about 1 % of random strings over the class
+#: reach. A window of 20 has 4.32 bits at most; 20 random letters of one case have 3.68 on
+#: average, of both cases 3.98, so letters are held to what one case reaches. The class with
+#: digits is set for both cases; 20 digits and letters of one case reach it in three of four.
+LETTERS_LEAST = 3.2
 CLASSES = (
     ("entropy_hex", re.compile(rb"[0-9a-fA-F]+"), 2.9),
-    ("entropy_letters", re.compile(rb"[A-Za-z_-]+"), 4.15),
+    ("entropy_letters", re.compile(rb"[^0-9]+"), LETTERS_LEAST),
     ("entropy_mixed", re.compile(rb".+"), 3.7),
 )
+#: Words reach that entropy as well. They are told by their letter pairs: the letters that
+#: follow each letter in English, German, French and Spanish words.
+FOLLOWERS = {
+    "a": "bcdfgiklmnprstuvwy", "b": "aeilorsuy", "c": "aehikloqrstuy", "d": "adeiorsuy", "e": "abcdefgilmnprstuvwxy",
+    "f": "aefilortu", "g": "aeghilnorsu", "h": "aeilnortu", "i": "abcdefgklmnoprstvz", "j": "aeou", "k": "aeilnorstu",
+    "l": "adefiklmostuvy", "m": "abeimopsuy", "n": "acdefgiknostuvyz", "o": "abcdfgilmnoprstuvwy", "p": "aefhiloprstu",
+    "q": "u", "r": "acdefgiklmnorstuvy", "s": "acehiklmnopqstuwy", "t": "aehilorstuwyz", "u": "abcdefgilmnprstz",
+    "v": "aeiou", "w": "aehinorsu", "x": "aceipt", "y": "aeilmnopst", "z": "aeiotuwz",
+}
+#: A window without digits reads as words if fewer of its letter pairs, in percent, are others.
+ODD_PERCENT = 30
 KINDS = ("assign", "access", "hex", *(name for name, _, _ in CLASSES))
 #: Candidates that look random or long but are no secrets.
 ALLOWED = (
     rb"[0-9]+",  # plain numbers
-    rb"[a-z]+|[A-Z]+|[A-Z][a-z]+",  # words
     rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # identifiers by the UUID scheme
     rb"[=_+/-]+",  # ruled lines
-    rb"[a-z]+([/_-]+[a-z]+)+",  # paths and names of several words
     rb"[0-9]{4}-[0-9]{2}-[0-9]{2}[-_T0-9]*",  # dates
-    rb"(?i:.*(example|sample|placeholder|changeme|x{6}).*)",  # stand-ins in documentation
 )
+#: Stand-ins in documentation. They clear the part between / and = that they are in.
+STAND_IN = re.compile(rb"(?i:example|sample|placeholder|changeme|x{6})")
+_PART = re.compile(rb"[^/=]+")
 
 _SPAN = T.ArrayType(struct(kind=STRING, start=LONG, end=LONG))
+_PAIRS = {(a + b).encode() for a, after in FOLLOWERS.items() for b in after}
 _LOGS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
 
@@ -59,16 +76,46 @@ def window_entropies(text: bytes, width: int = WINDOW) -> Iterator[float]:
             counts[old] -= 1
 
 
+def _running(flags: Iterable[bool]) -> list[int]:
+    return [0, *accumulate(flags)]
+
+
+def _wordlike(word: bytes) -> Callable[[int], bool]:
+    """Whether the window from a place on has no digit and reads as words."""
+    low = word.lower()
+    pairs = [low[i : i + 2] for i in range(len(low) - 1)]
+    digits = _running(48 <= c <= 57 for c in low)
+    letters = _running(p.isalpha() for p in pairs)
+    odd = _running(p.isalpha() and p not in _PAIRS for p in pairs)
+
+    def test(i: int) -> bool:
+        end = i + WINDOW
+        return digits[end] == digits[i] and 100 * (odd[end - 1] - odd[i]) < ODD_PERCENT * (letters[end - 1] - letters[i])
+
+    return test
+
+
 def entropy_spans(text: bytes, allowed: re.Pattern[bytes]) -> Iterator[tuple[str, int, int]]:
-    """Joined windows of enough entropy, as byte offsets."""
+    """Joined windows of enough entropy, as byte offsets.
+
+    Windows without digits are held to the threshold of letters in every candidate. A window
+    is left out if it reads as words, or touches a part between / and = with a stand-in.
+    """
     for found in CANDIDATE.finditer(text):
         word = found[0]
         if allowed.fullmatch(word):
             continue
         kind, _, least = next(c for c in CLASSES if c[1].fullmatch(word))
+        cleared = [m.span() for m in _PART.finditer(word) if STAND_IN.search(m[0])]
+        wordlike = _wordlike(word)
         start = end = None
         for i, entropy in enumerate(window_entropies(word)):
-            if entropy < least:
+            if entropy < min(least, LETTERS_LEAST):
+                continue
+            if kind != "entropy_hex":
+                if wordlike(i) or entropy < least and any(48 <= c <= 57 for c in word[i : i + WINDOW]):
+                    continue
+            if any(a < i + WINDOW and i < b for a, b in cleared):
                 continue
             if end is not None and i > end:
                 yield kind, found.start() + start, found.start() + end
@@ -103,8 +150,9 @@ def with_secrets(docs: DataFrame, name: str = "secrets", allowed: tuple[bytes, .
 
     Offsets are code points, the end is exclusive. The fixed kinds are assign, access and
     hex; the entropy kinds add windows of high entropy that no fixed span contains, except
-    in candidates that an allow-list pattern matches as a whole. A null or empty text has no
-    spans. Work is local to a row: nothing is shuffled.
+    in candidates that an allow-list pattern matches as a whole, windows of letters that read
+    as words, and those in or over a part between / and = with a stand-in such as "example".
+    A null or empty text has no spans. Work is local to a row: nothing is shuffled.
     """
     pattern = re.compile(b"|".join(b"(?:%b)" % p for p in allowed) or b"(?!)")
 

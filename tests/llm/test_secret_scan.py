@@ -64,3 +64,44 @@ def test_rows_and_redaction(make_docs):
     assert [tuple(x) for x in got[9]["secrets"]] == [("assign", 2, 18), ("access", 21, 41)]
     assert got[1]["text"] is None and got[1]["secrets"] == []
     assert s.with_secrets(docs).count() == len(ODD) + 1
+
+
+def entropy_kinds(text):
+    return [k for k, _, _ in s.spans_of(text.encode(), ALLOWED) if k not in s.KINDS[:3]]
+
+
+@pytest.mark.parametrize("letters", ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+@pytest.mark.parametrize("n", [20, 24, 32, 40])
+def test_secrets_of_letters_alone(letters, n):
+    rnd = random.Random(7)
+    found = [entropy_kinds("".join(rnd.choices(letters, k=n))) for _ in range(400)]
+    assert sum(k == ["entropy_letters"] for k in found) >= 380
+    beside = [entropy_kinds(f"v1/{''.join(rnd.choices(letters, k=n))}") for _ in range(400)]
+    assert sum(k == ["entropy_mixed"] for k in beside) >= 380
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Kraftfahrzeughaftpflichtversicherung",
+        "Rechtsschutzversicherungsgesellschaften",
+        "Donaudampfschifffahrtsgesellschaft",
+        "anticonstitutionnellement",
+        "electroencefalografistas",
+        "getElementsByTagNameAndValue",
+        "some_longer_name_of_several_words",
+        "ANOTHER-CONSTANT-NAME-IN-CAPITALS",
+        "v1/path/of/some/longer/names/in/words",
+    ],
+)
+def test_words_are_no_secrets(text):
+    assert entropy_kinds(text) == []
+
+
+def test_stand_ins_clear_their_own_part_only():
+    token = "Zx8Qw2Lk9Vb3Nm7Tp1Rd5Yh4"
+    for before in ("com/sample/v1/", "SAMPLE_KEY=", "example=", "placeholder/"):
+        found = [x for x in s.spans_of((before + token).encode(), ALLOWED) if x[0] not in s.KINDS[:3]]
+        assert [k for k, _, _ in found] == ["entropy_mixed"], before
+        assert found[0][1] <= len(before) and found[0][2] == len(before) + len(token)
+    assert entropy_kinds(f"{token}_sample") == [] and entropy_kinds(f"v1/example-{token}") == []
