@@ -12,6 +12,7 @@ import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,12 +46,20 @@ ENDINGS = {
     ("greek", "n"): ("",),
 }
 
+# Country codes of two digits; those in 1 and 7 have one, all others three.
+CODES = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+
 _EMAIL = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
 _IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)", re.ASCII)
 _CARD = re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])", re.ASCII)
-_PHONE = re.compile(
-    r"(?<![\w.])(?:\+\d{1,3} ?\d{6,12}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]\d{3,4})(?!\w|[.-]\d)",
-    re.ASCII,
+# Groups of digits that may hold telephone numbers; rules tell those from other numbers.
+_GAP = r"[ \u00a0\u202f./()–-]"
+_RUN = re.compile(rf"(?<![\w.+])(?:\+ ?)?\(?[0-9](?:(?:{_GAP}{{0,3}}|{_GAP}{{0,2}}\+)[0-9]){{6,}}(?![^\W_]|_)")
+_GROUP = re.compile(r"(?:\+ ?)?\(?[0-9]+\)?")
+_DATE = re.compile(r"(?<![0-9./-])(?:([0-9]{1,2})([./-])([0-9]{1,2})\2(?:[0-9]{4}|[0-9]{2})|[0-9]{4}([./-])([0-9]{1,2})\4([0-9]{1,2}))(?![0-9]|[./-][0-9])")
+#: Words right before a number that make any 7 to 15 digits a telephone number.
+_CALL = re.compile(
+    r"(?i:\b(?:tel|t[eé]l[eé]phone?|tel[eé]fono?|telefon(?:nummer)?|phone|fon|fax|call|dial|mobile?|m[oó]vil|cell|handy|portable|rufnummer|whatsapp)\b)[ .:)]{0,3}\Z"
 )
 _TITLED = re.compile(
     r"\b(" + "|".join(re.escape(t) for ts in TITLES.values() for t in ts) + r")\.? +((?:[^\W\d_]+[ ]){0,2}[^\W\d_]+)"
@@ -79,6 +88,90 @@ def _script(word: str) -> str:
     return next((s for s in SYLLABLES if name.startswith(s.upper())), "latin")
 
 
+def _is_date(first: str, second: str) -> bool:
+    a, b = sorted((int(first), int(second)))
+    return 1 <= a <= 12 and b <= 31
+
+
+def _is_phone(groups: list[str], gaps: list[str], sign: str, called: bool) -> bool:
+    """Whether groups of digits, the gaps between them and a leading + or ( are a phone number.
+
+    Numbers of other countries need +, 00, or a word such as "Tel." before them. National ones
+    have a trunk 0, an area code in brackets, the American 3-3-4 digits or the Spanish nine.
+    """
+    d, sizes = "".join(groups), [len(g) for g in groups]
+    if not 7 <= len(d) <= 15 or len(set(d)) == 1:
+        return False
+    if sign == "+":
+        return d[0] != "0"
+    if sizes in ([2, 2, 4], [1, 2, 4], [2, 1, 4]) and groups[2][:2] in ("19", "20") and _is_date(*groups[:2]):
+        return False
+    if all(len(g) == 4 and g[:2] in ("19", "20") for g in groups):
+        return False  # years
+    if called:
+        return True
+    if d[:2] == "00":
+        return len(d) >= 9 and d[2] != "0"
+    if d[0] == "0":
+        pairs = len(groups) > 1 and set(sizes) == {2}
+        return d[1] != "0" and 2 <= sizes[0] and len(d) <= (10 if pairs else 12) and (len(groups) > 1 or len(d) >= 9)
+    if sign == "(":
+        return len(groups) > 1 and 2 <= sizes[0] <= 4 and groups[0][:2] not in ("19", "20")[: 2 * (sizes[0] == 4)]
+    american = d[1:] if len(d) == 11 and d[0] == "1" else d
+    if len(groups) == 1:
+        return len(american) == 10 and american[0] in "23456789" and american[3] in "23456789"
+    spanish = len(d) == 9 and d[0] in "6789" and len(groups) > 2 and min(sizes) >= 2
+    if len(set(gaps)) == 1 and sizes[0] <= 3 and set(sizes[1:]) == {3} and (gaps[0] == "." or gaps[0] != "-" and not spanish):
+        return False  # thousands
+    shape = sizes[1:] if d[0] == "1" and sizes[0] == 1 else sizes
+    grouped = len(shape) == 3 and 2 <= shape[0] <= 4 or len(shape) == 2 and 5 <= shape[0] <= 8
+    return spanish or grouped and all(3 <= n <= 4 for n in shape[1:]) and not any("/" in g for g in gaps)
+
+
+def _phones(text: str) -> Iterator[tuple[int, int]]:
+    """Places of telephone numbers.
+
+    A run of groups may hold several, and other numbers. From the left, the longest part is
+    taken that ends with its run or before the next telephone number, or else the longest.
+    """
+    for run in _RUN.finditer(text):
+        days = [m.span() for m in _DATE.finditer(text, *run.span()) if _is_date(*(m[1], m[3]) if m[1] else (m[5], m[6]))]
+        dated = {k for a, b in days for k in range(a, b)}
+        found = [g.span() for g in _GROUP.finditer(text, *run.span()) if g.start() not in dated and g.end() - 1 not in dated]
+
+        def ends(at: int, found: list[tuple[int, int]] = found) -> Iterator[int]:
+            """Ends of telephone numbers that begin with this group, the longest first."""
+            first, stop = found[at][0], at
+            # Right behind a dot, slash or hyphen a number has begun before.
+            if first and text[first - 1] in "./-" and text[first] != "+":
+                return
+            called = bool(_CALL.search(text, max(0, first - 20), first))
+            sign = "+" if text[first] == "+" else "(" if text[first] == "(" and text[found[at][1] - 1] == ")" else ""
+            while stop < len(found) and found[stop][1] - first <= 45 and (stop == at or text[found[stop][0]] != "+"):
+                stop += 1
+            for last in range(stop, at, -1):
+                groups = [_digits(text[a:b]) for a, b in found[at:last]]
+                gaps = [text[a[1] : b[0]] for a, b in pairwise(found[at:last])]
+                end = found[last - 1][1]
+                if re.match(r"[./-][0-9]", text[end : end + 2]) or _DIGIT.search("".join(gaps)):
+                    continue
+                # Two groups without any sign of a telephone number, and more to come.
+                if len(groups) == 2 and last < len(found) and not sign and not called and groups[0][0] != "0":
+                    continue
+                if _is_phone(groups, gaps, sign, called):
+                    yield last
+
+        at = 0
+        while at < len(found):
+            good = list(ends(at))
+            if good:
+                last = next((k for k in good if k == len(found) or next(ends(k), None)), good[0])
+                yield found[at][0], found[last - 1][1]
+                at = last
+            else:
+                at += 1
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and entity of every mention, in order and without overlap.
 
@@ -104,10 +197,8 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             d = _digits(m[0])
             if _luhn(d) or len(d) == 16 and d[0] in "23456":
                 add(*m.span(), "card", d)
-        for m in _PHONE.finditer(text):
-            d = _digits(m[0])
-            if 7 <= len(d) <= 15 and len(d) < len(m[0]):
-                add(*m.span(), "phone", d)
+        for start, end in _phones(text):
+            add(start, end, "phone", _digits(text[start:end]))
     for m in _TITLED.finditer(text):
         words = [w for w in re.finditer(r"\S+", m[2])]
         words = words[: next((k for k, w in enumerate(words) if not w[0][0].isupper()), len(words))]
@@ -169,7 +260,10 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
             return body + str(draw.below(10))
         return next(body + c for c in "0123456789" if _luhn(body + c))
     if kind == "phone":
-        keep = max(0, len(entity) - 10)  # a country code
+        zeros = len(entity[:2]) - len(entity[:2].lstrip("0"))
+        keep = max(zeros, len(entity) - 10)  # a trunk 0 or a country code
+        if len(entity) > 10 and not zeros:
+            keep = max(keep, 1 if entity[0] in "17" else 2 if entity[:2] in CODES else 3)
         rest = "".join(str(draw.below(10)) for _ in entity[keep + 1 :])
         return entity[:keep] + str(2 + draw.below(8)) + rest
     script, gender, word = entity.split(":", 2)
@@ -246,6 +340,8 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     """All rows and columns of docs, the text with surrogates, and n_replaced.
 
+    Telephone numbers are 7 to 15 digits in any grouping with a sign that they are one (see
+    _is_phone); dates, years, thousands, cards and plain numbers are none.
     An entity has the same surrogate wherever it occurs and in whatever format; parts of a
     name are entities of their own, so a surname alone still refers to the same person.
     Null stays null, and texts without personal data stay as they are. Rows that repeat an

@@ -64,3 +64,41 @@ def test_documents(make_docs):
     unchanged = {(r["doc_id"], r["text"]) for r in rows if not r["n_replaced"]}
     assert {t for t in ODD if not pii.mentions(t[1] or "")} <= unchanged
     assert pii.with_surrogates(docs.limit(0), KEY).count() == 0
+
+
+PHONES = """01 23 45 67 89|+33 1 23 45 67 89|+34 612 34 56 78|030 1234567|030/1234567|(030) 1234567|+49 30 1234567|0301 234567
+4465558962|+1 (446) 555-8962|446-555-8962|446.555.8962|+14465558962|1-446-555-8962|+49 (0)30 1234567|0049 30 123 45 67
+01.23.45.67.89|01-23-45-67-89|612 345 678|91 123 45 67|+44 20 7946 0958|(0221) 55 51 23|030 12345-0|+49 30 / 123 45 67"""
+NUMBERS = """2024-01-02|01.02.2024|1/2/2024|01.02.2024 12:30|01 02 2024|2019 2020 2021|12 345 678|1.234.567|1234567|123456789012
+ISBN 978-3-16-148410-0|0.1234567|1700000000|2019-2020|20240102|0000000000|300.100.100.100|born 01.02.1980 - 03.04.2020"""
+
+
+@pytest.mark.parametrize("number", re.split(r"[|\n]", PHONES))
+def test_phone_writings(number):
+    text = f"call me on {number}, or Tel. {number}"
+    digits = "".join(c for c in number if c.isdigit())
+    first, second = pii.mentions(text)
+    assert (text[first[0] : first[1]], first[2:]) == (number, ("phone", digits))
+    assert (text[second[0] : second[1]], second[2:]) == (number, ("phone", digits))
+    new = pii.written("phone", number, pii.surrogate(KEY, "phone", digits, 0))
+    assert new != number and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", number)
+    assert (new[0] == "0") == (number[0] == "0") and (number[0] != "+" or new[:3] == number[:3])
+
+
+@pytest.mark.parametrize("number", re.split(r"[|\n]", NUMBERS))
+def test_other_numbers(number):
+    assert pii.mentions(f"see {number}, ok") == []
+
+
+@pytest.mark.parametrize(
+    ("text", "phones"),
+    [
+        ("01 23 45 67 89 06 12 34 56 78", ["01 23 45 67 89", "06 12 34 56 78"]),
+        ("+49 30 1234567 030 7654321", ["+49 30 1234567", "030 7654321"]),
+        ("D-10115 030 1234567", ["030 1234567"]),
+        ("01.02.2024 030 1234567", ["030 1234567"]),
+        ("Tel.: 1234567", ["1234567"]),
+    ],
+)
+def test_phones_beside_numbers(text, phones):
+    assert [text[a:b] for a, b, kind, _ in pii.mentions(text) if kind == "phone"] == phones
