@@ -11,6 +11,8 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -65,6 +67,7 @@ _TITLED = re.compile(
     r"\b(" + "|".join(re.escape(t) for ts in TITLES.values() for t in ts) + r")\.? +((?:[^\W\d_]+[ ]){0,2}[^\W\d_]+)"
 )
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
+_WORD = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
 _DIGIT = re.compile(r"\d", re.ASCII)
 
 #: Draws for one entity. It takes a few unless a kind has about as many entities as values.
@@ -176,12 +179,15 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and entity of every mention, in order and without overlap.
 
     The entity is one form for all spellings: lower-cased addresses, digits alone, and for
-    names script, gender and the lower-cased word.
+    names script, gender and the lower-cased word. Names are found behind titles; then every
+    other place of the text with such a name as a whole word, capitalized, is a mention too.
     """
     found: list[tuple[int, int, str, str]] = []
+    taken = bytearray(len(text))
 
     def add(start: int, end: int, kind: str, entity: str) -> None:
-        if not any(s < end and start < e for s, e, _, _ in found):
+        if not any(taken[start:end]):
+            taken[start:end] = b"\1" * (end - start)
             found.append((start, end, kind, entity))
 
     if "@" in text:
@@ -207,6 +213,17 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             label = "" if last else _GENDER[m[1]]
             entity = f"{_script(w[0])}:{label}:{w[0].lower()}"
             add(m.start(2) + w.start(), m.start(2) + w.end(), "surname" if last else "given", entity)
+    named = defaultdict(list)  # by word: the titled mentions, in order
+    for m in sorted(found):
+        if m[2] in ("given", "surname"):
+            named[text[m[0] : m[1]].lower()].append(m)
+    if named:
+        for m in _WORD.finditer(text):
+            titled = named.get(m[0].lower())
+            if titled and m[0][0].isupper():
+                # Of several persons, the one named last before this place, or else the first.
+                nearest = titled[max(0, bisect_left(titled, m.span()) - 1)]
+                add(*m.span(), *nearest[2:])
     return sorted(found)
 
 
@@ -343,7 +360,8 @@ def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     Telephone numbers are 7 to 15 digits in any grouping with a sign that they are one (see
     _is_phone); dates, years, thousands, cards and plain numbers are none.
     An entity has the same surrogate wherever it occurs and in whatever format; parts of a
-    name are entities of their own, so a surname alone still refers to the same person.
+    name are entities of their own, so a surname alone still refers to the same person. Names
+    count in the whole of a document that has them behind a title, and in no other.
     Null stays null, and texts without personal data stay as they are. Rows that repeat an
     id and a text are treated alike. Only mentions and texts that have some are shuffled.
     """

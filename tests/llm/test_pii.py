@@ -102,3 +102,23 @@ def test_other_numbers(number):
 )
 def test_phones_beside_numbers(text, phones):
     assert [text[a:b] for a, b, kind, _ in pii.mentions(text) if kind == "phone"] == phones
+
+
+def test_names_without_their_title(make_docs):
+    text = "Ann wrote. Mrs Ann Smith came. Ann said SMITH would pay, as Smith's smithy and Annex did; Ann.Smith, Smith-Ann"
+    kinds = [(text[a:b], kind) for a, b, kind, _ in pii.mentions(text)]
+    given, surname = "given", "surname"
+    assert kinds == [
+        ("Ann", given), ("Ann", given), ("Smith", surname), ("Ann", given), ("SMITH", surname), ("Smith", surname),
+        ("Ann", given), ("Smith", surname), ("Smith", surname), ("Ann", given),
+    ]
+    got = {r["doc_id"]: r["text"] for r in pii.with_surrogates(make_docs([(1, text), (2, "Ann Smith has no title here")]), KEY).collect()}
+    new = re.match(r"(\w+) wrote\. Mrs (\w+) (\w+) came\. (\w+) said (\w+) would pay, as (\w+)'s smithy and Annex did;", got[1])
+    assert new[1] == new[2] == new[4] != "Ann" and new[3].upper() == new[5] and new[3] == new[6] != "Smith"
+    assert not re.search(r"\b(Ann|Smith|SMITH)\b", got[1]) and got[2] == "Ann Smith has no title here"
+
+
+def test_names_of_several_persons():
+    """A word that names two persons goes with the one named last before it."""
+    text = "Kim left. Mr Kim Roe and Kim; then Mrs Kim Poe and Kim"
+    assert [e for _, _, kind, e in pii.mentions(text) if kind == "given"] == ["latin:m:kim"] * 3 + ["latin:f:kim"] * 2
