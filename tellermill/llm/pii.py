@@ -70,7 +70,9 @@ _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _WORD = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
 _DIGIT = re.compile(r"\d", re.ASCII)
 
-#: Draws for one entity. It takes a few unless a kind has about as many entities as values.
+#: After so many draws the surrogates of an entity may come from a wider pool, and again after
+#: as many more, up to longer values or any address; only all IPv4 addresses can then run out.
+WIDEN = 8
 MOST_ATTEMPTS = 500
 
 KINDS = ("email", "domain", "ip", "card", "phone", "given", "surname")
@@ -254,11 +256,14 @@ class _Draw:
 
 
 def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
-    """The surrogate entity, in the same single form; it differs from the entity itself.
+    """The surrogate entity, in the same single form.
 
-    Short values leave little room: after every eight attempts it may grow by a character.
+    Short values and private networks leave little room: after every WIDEN attempts a text
+    grows by a character, an address leaves its network for 10.x.y.z and then for any, a
+    telephone number gives up its country code, then its leading digit, and then grows.
     """
-    draw, more = _Draw(key, kind, entity, attempt), "x" * (attempt // 8)
+    wide = attempt // WIDEN
+    draw, more = _Draw(key, kind, entity, attempt), "x" * wide
     if kind == "email":
         local, _, domain = entity.partition("@")
         return f"{draw.like(local + more)}@{domain}"
@@ -268,11 +273,13 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     if kind == "ip":
         octets = [int(x) for x in entity.split(".")]
         keep = 1 if octets[0] in (10, 127) else 2 if octets[:2] == [192, 168] else 0
+        if wide and keep:
+            octets[0], keep = 10, int(wide == 1)
         first = draw.below(222) + 1
         drawn = [first + (first in (10, 127)), *(draw.below(256) for _ in range(2)), 1 + draw.below(254)]
         return ".".join(map(str, octets[:keep] + drawn[keep:]))
     if kind == "card":
-        body = entity[0] + "".join(str(draw.below(10)) for _ in entity[2:])
+        body = (entity[0] if wide < 2 else str(2 + draw.below(5))) + "".join(str(draw.below(10)) for _ in entity[2:])
         if not _luhn(entity):
             return body + str(draw.below(10))
         return next(body + c for c in "0123456789" if _luhn(body + c))
@@ -281,11 +288,15 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         keep = max(zeros, len(entity) - 10)  # a trunk 0 or a country code
         if len(entity) > 10 and not zeros:
             keep = max(keep, 1 if entity[0] in "17" else 2 if entity[:2] in CODES else 3)
+        if wide:
+            keep = 0
+        if wide > 1:
+            return "".join(str(draw.below(10)) for _ in range(len(entity) + wide - 2))
         rest = "".join(str(draw.below(10)) for _ in entity[keep + 1 :])
         return entity[:keep] + str(2 + draw.below(8)) + rest
     script, gender, word = entity.split(":", 2)
     parts = SYLLABLES[script]
-    n = max(2, (len(word) + 1) // 2) + attempt // 8
+    n = max(2, (len(word) + 1) // 2) + wide
     stem = "".join(parts[draw.below(len(parts))] for _ in range(n))
     endings = ENDINGS[script, gender] if gender else ("", "n") if script == "latin" else ("",)
     return f"{script}:{gender}:{stem}{endings[draw.below(len(endings))]}"
@@ -295,7 +306,7 @@ def written(kind: str, original: str, new: str) -> str:
     """The surrogate entity in the format of the original mention."""
     if kind in ("card", "phone"):
         digits = iter(new)
-        return _DIGIT.sub(lambda _: next(digits), original)
+        return _DIGIT.sub(lambda _: next(digits), original) + "".join(digits)
     if kind == "email":
         new = new.partition("@")[0]
     elif kind in ("given", "surname"):
@@ -330,7 +341,8 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 
     Draws a surrogate for each, keeps those that no other entity has and that are no
     entity themselves, and draws again for the rest. Of several entities that draw the
-    same, the least keeps it, so the result does not depend on the order of rows.
+    same, the least keeps it, so the result does not depend on the order of rows. What finds no
+    free surrogate in the pool of its shape gets one from a wider pool.
     """
 
     @F.arrow_udf(STRING)

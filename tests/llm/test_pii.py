@@ -122,3 +122,30 @@ def test_names_of_several_persons():
     """A word that names two persons goes with the one named last before it."""
     text = "Kim left. Mr Kim Roe and Kim; then Mrs Kim Poe and Kim"
     assert [e for _, _, kind, e in pii.mentions(text) if kind == "given"] == ["latin:m:kim"] * 3 + ["latin:f:kim"] * 2
+
+
+def test_more_addresses_than_their_network_has_left(spark):
+    """45,000 of the 65,024 hosts of 192.168 leave 20,024 surrogates there."""
+    rows = spark.range(45_000).select(
+        F.lit("ip").alias("kind"), F.concat_ws(".", F.lit("192.168"), F.floor(F.col("id") / 254), F.col("id") % 254 + 1).alias("entity")
+    )
+    found = pii.surrogates(rows, KEY).collect()
+    entities, new = {r["entity"] for r in found}, {r["surrogate"] for r in found}
+    assert len(found) == len(entities) == len(new) == 45_000 and not entities & new
+    inside = sum(n.startswith("192.168.") for n in new)
+    assert 15_000 < inside <= 20_024 and sum(n.startswith("10.") for n in new) == 45_000 - inside
+
+
+def test_pools_widen():
+    def some(kind, entity, wide):
+        return {pii.surrogate(KEY, kind, entity, wide * pii.WIDEN + k) for k in range(pii.WIDEN)}
+
+    assert all(x.startswith("192.168.") for x in some("ip", "192.168.1.2", 0))
+    assert all(x.startswith("10.") for x in some("ip", "192.168.1.2", 1))
+    for own in ("192.168.1.2", "10.1.1.1", "127.0.0.1"):
+        assert len({x.split(".")[0] for x in some("ip", own, 2)}) > 3
+    assert {len(x) for x in some("phone", "1234567", 1)} == {7}
+    assert {len(x) for x in some("phone", "1234567", 4)} == {9}
+    assert {x[0] for x in some("phone", "33123456789", 0)} == {"3"} != {x[0] for x in some("phone", "33123456789", 1)}
+    assert len({x[0] for x in some("card", "4012888888881881", 2)}) > 1 and all(map(pii._luhn, some("card", "4012888888881881", 2)))
+    assert pii.written("phone", "123-4567", "987654321") == "987-654321"
