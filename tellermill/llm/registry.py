@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellermill.llm import decontaminate, exact_dedup, katz, line_dedup, packing, pii, quality, secret_scan, sharding, simhash, toxicity
+from tellermill.llm import centroids, decontaminate, exact_dedup, katz, line_dedup, packing, pii, quality, secret_scan, sharding, simhash, toxicity
 from tellermill.llm.common import ship
 
 
@@ -29,11 +29,13 @@ _OPERATORS = {
     "op8_pii_surrogates": pii.op8,
     "op9_toxicity": toxicity.op9,
     "op10_katz_scores": katz.op10,
+    "op11_centroids": centroids.op11,
     "op12_exact_dedup": exact_dedup.op12,
 }
 QUERIES = {name: _sent(query) for name, query in _OPERATORS.items()}
 ORACLES = {
     "op1_decontamination": decontaminate.ORACLE,
     "op3_quality_rules": quality.ORACLE,
+    "op11_centroids": centroids.ORACLE,
     "op12_exact_dedup": exact_dedup.ORACLE,
 }
