@@ -277,10 +277,10 @@ ORACLE = (
     f"""
 with kept as (
     select row_number() over () as row_id, vec_id, sha256('{SEED}:' || vec_id) as hash,
-           list_transform(embedding, x -> cast(floor({SCALE} * cast(x as double)) as bigint)) as vector
+           [cast(floor({SCALE} * cast(x as double)) as bigint) for x in embedding] as vector
     from embeddings
     where len(embedding) = {DIM}
-      and len(list_filter(embedding, x -> x is not null and isfinite(x))) = {DIM}
+      and len([x for x in embedding if x is not null and isfinite(x)]) = {DIM}
 ),
 v as materialized (
     select row_id, unnest(range({DIM})) as j, unnest(vector) as x from kept
