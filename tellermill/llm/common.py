@@ -20,6 +20,7 @@ ALNUM_ONLY = bytes(
     for b in range(256)
 )
 LONG, INT, DOUBLE, STRING, BOOLEAN = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.BooleanType()
+BINARY = T.BinaryType()
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 

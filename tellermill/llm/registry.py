@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellermill.llm import centroids, decontaminate, exact_dedup, katz, line_dedup, packing, pii, quality, secret_scan, sharding, simhash, toxicity
+from tellermill.llm import centroids, decontaminate, exact_dedup, katz, line_dedup, packing, pii, quality, role_repair, secret_scan, sharding, simhash, toxicity
 from tellermill.llm.common import ship
 
 
@@ -31,6 +31,7 @@ _OPERATORS = {
     "op10_katz_scores": katz.op10,
     "op11_centroids": centroids.op11,
     "op12_exact_dedup": exact_dedup.op12,
+    "op13_role_repair": role_repair.op13,
 }
 QUERIES = {name: _sent(query) for name, query in _OPERATORS.items()}
 ORACLES = {

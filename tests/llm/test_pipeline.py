@@ -3,7 +3,7 @@ from tellermill.llm.registry import ORACLES, QUERIES
 
 
 def test_names():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 13)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLES) <= set(QUERIES)
 
 
