@@ -12,11 +12,11 @@ from __future__ import annotations
 import os
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Callable, Iterator
-from struct import pack as packed_ints
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +32,15 @@ ROUNDS = 8
 #: A bin with at most this part of its capacity free counts as full.
 NEARLY = 64
 
-#: A worker keeps the ids of so many words and then starts anew; this only saves time.
-_MEMO_WORDS = 1_000_000
-_CHUNK_BYTES = 1 << 20
+#: A worker keeps the ids of words up to about so many bytes; then only those of its last
+#: texts stay. This only saves time.
+_MEMO_BYTES = 96 << 20
+_ENTRY_BYTES = 200
+_CHUNK_BYTES = 4 << 20
+_LEARN_WORDS = 1000
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_MARKS = frozenset(_PUNCTUATION)
+_WORD_END = "</w>"
 _PIECES = T.ArrayType(struct(piece=INT, start=LONG, length=LONG, ids_crc32=LONG))
 _PIECES_ARROW = pa.list_(
     pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -54,53 +59,89 @@ class _WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self.keep({b""})
+
+    def keep(self, words: Iterable[bytes]) -> None:
+        """Forget all words but these."""
+        kept = {w: self[w] for w in words if w in self} | {b"": b""}
+        self.clear()
+        self.update(kept)
+        self.size = sum(len(w) + len(ids) + _ENTRY_BYTES for w, ids in kept.items())
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def learn(self, words: set[bytes]) -> None:
+    def _put(self, words: list[bytes], ids: list[bytes]) -> None:
+        self.update(zip(words, ids, strict=True))
+        self.size += sum(map(len, words)) + sum(map(len, ids)) + _ENTRY_BYTES * len(words)
+
+    def learn(self, words: Iterable[bytes]) -> None:
         """Take in words; punctuation behind a letter is always split off by the tokenizer."""
-        tails, cores = {}, set(words)
+        ended, parts, cores = [], [], set()
         for w in words:
-            core = w.rstrip(_PUNCTUATION)
-            if core and len(core) < len(w) and (core[-1:].isalpha() or core.decode()[-1].isalpha()) and b"<|" not in w:
-                tails[w] = core, w[len(core) :]
-        cores = cores.difference(tails).union(*tails.values()).difference(self)
-        # On small ASCII letters the steps before the model do nothing; bytes.isalpha() is ASCII.
-        small = [w for w in cores if w.isalpha() and w.islower()]
-        pieces = self.tokenizer.model.tokenize
-        self.update((w, packed_ints(f"<{len(p)}I", *[t.id for t in p])) for w, p in zip(small, map(pieces, map(bytes.decode, small)), strict=True))
-        cores = cores.difference(small)
-        plain = [w for w in cores if w.decode().isalpha()]
-        self._learn_letters(plain)
-        for w in cores.difference(plain):
-            self[w] = self._ids(w.decode()).tobytes()
-        for w, (core, tail) in tails.items():
-            self[w] = self[core] + self[tail]
+            if w[-1] in _MARKS and b"<|" not in w:
+                core = w.rstrip(_PUNCTUATION)
+                if core[-1:].isalpha() or core and core[-1] >= 128 and core.decode()[-1].isalpha():
+                    ended.append(w)
+                    parts.append((core, w[len(core) :]))
+                    cores.update(parts[-1])
+                    continue
+            cores.add(w)
+        cores.difference_update(self.keys() & cores)
+        letters = [w for w in cores if w.decode().isalpha()]
+        for k in range(0, len(letters), 64 * _LEARN_WORDS):
+            self._learn_letters(letters[k : k + 64 * _LEARN_WORDS])
+        self._learn_singly(list(cores.difference(letters)))
+        self._put(ended, [self[core] + self[tail] for core, tail in parts])
+
+    def _learn_singly(self, words: list[bytes]) -> None:
+        self._put(words, [self._ids(w.decode()).tobytes() for w in words])
 
     def _learn_letters(self, words: list[bytes]) -> None:
-        """Take in words of letters alone, encoded at once: each is one word to the tokenizer."""
-        if not words:
-            return
-        found = self.tokenizer.encode(" ".join(w.decode() for w in words), add_special_tokens=False)
-        ids, owner = np.array(found.ids, "<u4"), np.array(found.word_ids)
-        cuts = 4 * np.searchsorted(owner, np.arange(len(words) + 1))
-        if owner[-1] + 1 != len(words):  # its letters are not quite ours
-            self.update((w, self._ids(w.decode()).tobytes()) for w in words)
-            return
-        data = ids.tobytes()
-        self.update((w, data[a:b]) for w, a, b in zip(words, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        """Take in words of letters alone, many at once: each is one word to the tokenizer, with one last token."""
+        texts = [b" ".join(words[k : k + _LEARN_WORDS]).decode() for k in range(0, len(words), _LEARN_WORDS)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in found])
+        cuts = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(cuts) != len(words):  # its letters are not quite ours
+            return self._learn_singly(words)
+        data, cuts = ids.tobytes(), cuts.tolist()
+        self._put(words, [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)])
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text; each distinct word of all of them is looked up once."""
+        given = pa.array(texts, pa.large_binary()).cast(pa.large_string())
         # Special tokens are told by their case, other text is not.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        if len(self) > _MEMO_WORDS:
-            self.clear()
-        new = set().union(*split).difference(self)
+        lowered = pc.if_else(pc.match_substring(given, "<|"), given, pc.ascii_lower(given))
+        words = pc.ascii_split_whitespace(lowered)  # blank ends of a text give empty words
+        coded = words.flatten().dictionary_encode()
+        distinct = _slices(coded.dictionary)
+        if self.size > _MEMO_BYTES:
+            self.keep(distinct)
+        new = [w for w in distinct if w not in self]
         if new:
             self.learn(new)
-        for words in split:
-            yield b"".join(map(self.__getitem__, words))
+        ids = list(map(self.__getitem__, distinct))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        each = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        data = each.take(coded.indices).flatten().to_numpy().tobytes() if len(ids) else b""
+        cuts = np.concatenate(([0], np.cumsum(lengths[coded.indices.to_numpy()])))[words.offsets.to_numpy()] * 4
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield data[a:b]
+
+
+def _slices(strings: pa.Array) -> list[bytes]:
+    """The values of a large string array without nulls."""
+    _, offsets, data = strings.buffers()
+    if not len(strings):
+        return []
+    cuts = np.frombuffer(offsets, np.int64)[strings.offset : strings.offset + len(strings) + 1].tolist()
+    raw = data.to_pybytes() if data else b""
+    return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _MEMO: dict[str, _WordIds] = {}

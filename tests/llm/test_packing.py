@@ -97,3 +97,24 @@ def test_packing(make_docs, tokenizer, partition_pieces):
     bound = packing.lower_bound(np.array([r["length"] for r in got]), 4096)
     assert len(bins) <= bound + (1 if partition_pieces > 40 else 3)
     assert packing.packed_documents(docs.limit(0)).count() == 0
+
+
+def test_words_that_are_forgotten_are_learned_again(tokenizer, monkeypatch):
+    """Little memory changes no ids; blank ends, odd letters and special tokens included."""
+    monkeypatch.setattr(packing, "_MEMO_BYTES", 2000)
+    memo = packing._WordIds(public_tokenizers.path(packing.TOKENIZER))
+    rnd = random.Random(3)
+    words = [f"w{k}" for k in range(300)] + ["été,", "İstanbul", "ﬀ!", "क़लम", "ΟΔΟΣ", "<|endoftext|>.", "l'eau", "a_b", "..."]
+    for _ in range(20):
+        texts = ["".join(rnd.choice(words) + rnd.choice([" ", "\n", "\t \v", "\f\r"]) for _ in range(rnd.randint(0, 80))) for _ in range(9)]
+        texts += ["", " ", " lead", "trail "]
+        got = [np.frombuffer(g, "<u4").tolist() for g in memo.encode([t.encode() for t in texts])]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert memo.size < 2000 + 120_000
+
+
+def test_a_text_of_a_megabyte(tokenizer):
+    texts = ["x" * 100_000, "word " * 200_000, "é," * 50_000, "1 2 " * 100_000]
+    got = [np.frombuffer(g, "<u4").tolist() for g in MEMO.encode([t.encode() for t in texts])]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(MEMO.encode([])) == []
