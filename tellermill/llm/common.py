@@ -99,6 +99,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with underscores behind it until no column is called so in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_key(text: str = "text") -> Column:
     """Hash that, beside the id, tells rows of the same id apart."""
     return F.xxhash64(F.col(text))

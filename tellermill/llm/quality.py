@@ -4,10 +4,17 @@ Each text is measured once. The measures of every language and source go into a
 sketch: a histogram whose buckets keep six significant bits, so a quantile is at most one
 part in 32 too low, and sketches merge by adding counts. Fences around the quartiles
 replace fixed cutoffs; documents are then joined with the fences of their group.
+
+A fence is as far from the quartiles as a multiple of the group's spread: the distance of
+its quartiles, or what one more occurrence changes in a short text of the group, whichever
+is more. Both come from sketches. A group's figures are mixed with its language's, and
+those with the figures of all, by numbers of documents; so a group gets its own thresholds
+gradually as it grows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from itertools import pairwise
 
@@ -27,18 +34,28 @@ from tellermill.llm.common import (
     struct,
     table,
     text_bytes,
+    unused,
 )
 
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: Sketches of fewer documents hand over to the language's, and that to the one of all.
-MIN_GROUP = 100
-#: A fence lies this many interquartile ranges outside the quartiles.
-REACH = 4
-#: Measures in thousandths, with the least spread that counts as an interquartile range:
-#: where half of a group has the very same value, the quartiles alone would reject the rest.
-SPREADS = {"word_length": 250, "symbols": 100, "capitals": 40, "marks": 60, "line_copies": 150, "word_runs": 60}
+#: A fence lies this many spreads outside the quartiles.
+REACH = 8
+#: The figures of the language count as much as so many documents of the group.
+PRIOR = 20
+#: A short text of a group: this percentage of its texts are not longer.
+SHORT_PERCENT = 5
+#: Measures in thousandths: a count and what it is a share of.
+MEASURES = {
+    "word_length": ("word_chars", "n_words"),
+    "symbols": ("n_symbols", "n_words"),
+    "capitals": ("n_capitals", "word_chars"),
+    "marks": ("n_marks", "n_words"),
+    "line_copies": ("n_dup_lines", "n_lines"),
+    "word_runs": ("n_runs", "n_words"),
+}
+WHOLES = tuple(dict.fromkeys(whole for _, whole in MEASURES.values()))
 #: Measures for which small values are suspicious as well.
 TWO_SIDED = ("word_length",)
 #: Significant bits of a sketch bucket.
@@ -95,18 +112,9 @@ def _counts(text: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c) for c in rows.T], _COUNTS)
 
 
-def _measures(c: Column) -> dict[str, Column]:
-    def share(part: str, whole: str) -> Column:
-        return F.floor(1000 * c[part] / F.greatest(c[whole], F.lit(1)))
-
-    return {
-        "word_length": share("word_chars", "n_words"),
-        "symbols": share("n_symbols", "n_words"),
-        "capitals": share("n_capitals", "word_chars"),
-        "marks": share("n_marks", "n_words"),
-        "line_copies": share("n_dup_lines", "n_lines"),
-        "word_runs": share("n_runs", "n_words"),
-    }
+def _measure(name: str, c: Column) -> Column:
+    part, whole = MEASURES[name]
+    return F.floor(1000 * c[part] / F.greatest(c[whole], F.lit(1)))
 
 
 def sketch_bucket(value: Column) -> Column:
@@ -116,100 +124,107 @@ def sketch_bucket(value: Column) -> Column:
     return value - F.pmod(value, scale)
 
 
-def fences(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def _percentile(percent: int) -> Column:
+    """Of ranked buckets: the first that has so many of the group's documents up to it."""
+    return F.min(F.when(100 * F.col("up_to") >= percent * F.col("total"), F.col("bucket")))
+
+
+def fences(measured: DataFrame) -> DataFrame:
     """Lowest and highest accepted value of every measure, a row for each language and source.
 
-    `measured` has lang, source and a struct `counts` for every document that counts. Only
-    bucket counts are shuffled, added up on the map side, so a hot source costs no more.
+    `measured` has lang, source and a struct `counts` for every document that counts. The
+    columns are of_lang, of_source and a struct `fence`. Only bucket counts are shuffled,
+    added up on the map side, so a hot source costs no more.
     """
-    values = F.array(
-        *(F.struct(F.lit(k).alias("measure"), sketch_bucket(v).alias("bucket")) for k, v in _measures(F.col("counts")).items())
-    )
+    counts = F.col("counts")
+    values = {m: _measure(m, counts) for m in MEASURES} | {w: counts[w] for w in WHOLES}
+    entries = F.array(*(F.struct(F.lit(k).alias("measure"), sketch_bucket(v).alias("bucket")) for k, v in values.items()))
     sketches = (
-        measured.select("lang", "source", F.explode(values).alias("v"))
+        measured.select("lang", "source", F.explode(entries).alias("v"))
         .groupBy("lang", "source", "v.measure", "v.bucket")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # A group's own sketch, its language's and the one of all, each a sum of sketches.
     levels = F.explode(F.array(*(F.lit(k) for k in range(3)))).alias("level")
-    own_lang = F.when(F.col("level") < 2, F.col("lang")).alias("__of_lang")
-    own_source = F.when(F.col("level") < 1, F.col("source")).alias("__of_source")
-    level_keys = ["level", "__of_lang", "__of_source"]
-    merged = (
-        sketches.select("*", levels)
-        .groupBy("level", own_lang, own_source, "measure", "bucket")
-        .agg(F.sum("n").alias("n"))
-    )
-    whole = Window.partitionBy(*level_keys, "measure")
+    own_lang = F.when(F.col("level") < 2, F.col("lang")).alias("at_lang")
+    own_source = F.when(F.col("level") < 1, F.col("source")).alias("at_source")
+    keys = ["level", "at_lang", "at_source"]
+    merged = sketches.select("*", levels).groupBy("level", own_lang, own_source, "measure", "bucket").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy(*keys, "measure")
     ranked = merged.withColumn("up_to", F.sum("n").over(whole.orderBy("bucket"))).withColumn("total", F.sum("n").over(whole))
-    quartile = [F.min(F.when(4 * F.col("up_to") >= k * F.col("total"), F.col("bucket"))) for k in (1, 3)]
-    limits = ranked.groupBy(*level_keys, "measure").agg(
-        F.first("total").alias("total"), quartile[0].alias("q1"), quartile[1].alias("q3")
-    )
-    spread = reduce(lambda rest, kv: F.when(F.col("measure") == kv[0], kv[1]).otherwise(rest), SPREADS.items(), F.lit(0))
-    reach = REACH * F.greatest(F.col("q3") - F.col("q1"), spread)
-    low = F.when(F.col("measure").isin(*TWO_SIDED), F.col("q1") - reach).otherwise(F.lit(0))
-    bounds = limits.groupBy(*level_keys).agg(
-        F.first("total").alias("total"),
-        *(
-            F.first(F.when(F.col("measure") == m, F.struct(low.alias("low"), (F.col("q3") + reach).alias("high"))), True).alias(m)
-            for m in SPREADS
-        ),
+    points = ranked.groupBy(*keys, "measure").agg(
+        F.first("total").alias("total"), _percentile(SHORT_PERCENT).alias("short"), _percentile(25).alias("q1"), _percentile(75).alias("q3")
     )
+
+    def of(measure: str, point: str) -> Column:
+        return F.first(F.when(F.col("measure") == measure, F.col(point)), True).alias(f"{measure}_{point}")
+
+    wanted = [(m, point) for m in MEASURES for point in ("q1", "q3")] + [(w, "short") for w in WHOLES]
+    figures = points.groupBy(*keys).agg(F.first("total").alias("total"), *(of(*w) for w in wanted))
+
     groups = sketches.select("lang", "source").distinct().select("*", levels).select("*", own_lang, own_source)
-    b = bounds.alias("b")
-    fits = [groups[k].eqNullSafe(F.col(f"b.{k}")) for k in level_keys]
-    usable = (F.col("b.total") >= min_group) | (F.col("b.level") == 2)
-    best = F.min_by(F.struct(*(F.col(f"b.{m}") for m in SPREADS)), F.when(usable, F.col("b.level")))
-    return (
-        groups.join(b, reduce(Column.__and__, fits))
-        .groupBy(groups["lang"].alias("__of_lang"), groups["source"].alias("__of_source"))
-        .agg(best.alias("__fence"))
+    b = figures.alias("b")
+    three = groups.join(b, reduce(Column.__and__, [groups[k].eqNullSafe(F.col(f"b.{k}")) for k in keys]))
+    row = F.struct("b.total", *(F.col(f"b.{m}_{point}") for m, point in wanted))
+    three = three.groupBy(groups["lang"].alias("of_lang"), groups["source"].alias("of_source")).agg(
+        *(F.first(F.when(groups["level"] == k, row), True).alias(f"level{k}") for k in range(3))
     )
 
+    def mixed(name: str) -> Column:
+        """A figure of the group, of its language and of all, weighed by their documents."""
+        value = F.col("level2")[name]
+        for level in (F.col("level1"), F.col("level0")):
+            value = F.floor((level["total"] * level[name] + PRIOR * value) / (level["total"] + PRIOR))
+        return value
+
+    limits = []
+    for m, (_, whole_count) in MEASURES.items():
+        q1, q3 = mixed(f"{m}_q1"), mixed(f"{m}_q3")
+        one = F.floor(1000 / F.greatest(mixed(f"{whole_count}_short"), F.lit(1)))
+        reach = REACH * F.greatest(q3 - q1, one)
+        low = q1 - reach if m in TWO_SIDED else F.lit(0)
+        limits.append(F.struct(low.cast("long").alias("low"), (q3 + reach).alias("high")).alias(m))
+    return three.select("of_lang", "of_source", F.struct(*limits).alias("fence"))
 
-def with_quality(docs: DataFrame, name: str = "quality", min_group: int = MIN_GROUP) -> DataFrame:
-    """All rows and columns of docs, and a struct column with counts and the verdict.
+
+def with_quality(docs: DataFrame, name: str = "quality", carry: Sequence[str] | None = None) -> DataFrame:
+    """All rows of docs with a struct column of counts and the verdict.
 
     The struct has the counts, base_failed and kept. A text of fewer than 20 words, or more
     than 30 % of them in repeated 8-word windows, fails the base rule and is not kept; so a
     null, empty or blank text is never kept. Other documents are kept if every measure lies
     inside the fences of their language and source. A null language or source is a group
-    like any other. An empty table gives an empty result.
+    like any other; equal rows are judged alike. Texts of any length are read whole, once:
+    counts are stored with the columns named in `carry`, all by default. A column of the
+    given name is replaced, other names may be anything. An empty table gives an empty result.
     """
-    measured = docs.withColumn("__c", _counts(F.col("text")))
-    failed = (F.col("__c.n_words") < MIN_WORDS) | (
-        100 * F.col("__c.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("__c.n_words")
-    )
-    sound = measured.filter(~failed).select("lang", "source", F.col("__c").alias("counts"))
+    carry = [c for c in (docs.columns if carry is None else carry) if c != name]
+    rows = docs.select(F.struct(*(docs[c] for c in carry)).alias("of"), "lang", "source", _counts("text").alias("counts"))
+    rows = stored(rows, "counts")
+    counts = F.col("counts")
+    failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
     # Written first: its true size decides whether Spark sends it to all executors or shuffles.
-    limits = stored(fences(sound, min_group), "fences")
-    inside = [
-        value.between(F.col("__fence")[m]["low"], F.col("__fence")[m]["high"])
-        for m, value in _measures(F.col("__c")).items()
-    ]
+    limits = stored(fences(rows.filter(~failed)), "fences")
+    inside = [_measure(m, counts).between(F.col("fence")[m]["low"], F.col("fence")[m]["high"]) for m in MEASURES]
     verdict = ~failed & F.coalesce(reduce(Column.__and__, inside), F.lit(False))
-    same = measured["lang"].eqNullSafe(limits["__of_lang"]) & measured["source"].eqNullSafe(limits["__of_source"])
-    return (
-        measured.join(limits, same, "left")
-        .withColumn(name, F.struct("__c.*", failed.alias("base_failed"), verdict.alias("kept")))
-        .drop("__c", "__of_lang", "__of_source", "__fence")
-    )
+    same = rows["lang"].eqNullSafe(limits["of_lang"]) & rows["source"].eqNullSafe(limits["of_source"])
+    judged = rows.join(limits, same, "left")
+    return judged.select("of.*", F.struct("counts.*", failed.alias("base_failed"), verdict.alias("kept")).alias(name))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return with_quality(docs).select("doc_id", *(f"quality.{c}" for c in columns))
+    return with_quality(docs, carry=["doc_id"]).select("doc_id", *(f"quality.{c}" for c in columns))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep."""
-    columns = docs.columns
-    return with_quality(docs, "__quality").filter("__quality.kept").select(columns)
+    """Documents that the rules keep, with all their columns; see with_quality for odd rows."""
+    name = unused("quality", docs.columns)
+    return with_quality(docs, name).filter(F.col(f"{name}.kept")).select(docs.columns)
 
 
-_SPREAD_ROWS = ", ".join(f"('{m}', {s}, {str(m in TWO_SIDED).lower()})" for m, s in SPREADS.items())
+_MEASURE_ROWS = ", ".join(f"('{m}', '{whole}', {str(m in TWO_SIDED).lower()})" for m, (_, whole) in MEASURES.items())
 ORACLE = rf"""
 with word as (
   select doc_id, lang, source, coalesce(text, '') t,
@@ -236,8 +251,10 @@ measured as (
       'line_copies': 1000 * n_dup_lines // greatest(n_lines, 1), 'word_runs': 1000 * n_runs // greatest(n_words, 1)}} m
   from counted),
 long as (
-  select doc_id, lang, source, failed, unnest(['word_length', 'symbols', 'capitals', 'marks', 'line_copies', 'word_runs']) measure,
-    unnest([m.word_length, m.symbols, m.capitals, m.marks, m.line_copies, m.word_runs])::bigint v from measured),
+  select doc_id, lang, source, failed, unnest(['word_length', 'symbols', 'capitals', 'marks', 'line_copies', 'word_runs',
+      'n_words', 'word_chars', 'n_lines']) measure,
+    unnest([m.word_length, m.symbols, m.capitals, m.marks, m.line_copies, m.word_runs, n_words, word_chars, n_lines])::bigint v
+  from measured),
 sketch as (
   select level, case when level < 2 then lang end lang, case when level < 1 then source end source, measure,
     v - v % (1::bigint << greatest(length(bin(v)) - {BITS}, 0)) bucket, count(*) n
@@ -245,19 +262,27 @@ sketch as (
 ranked as (
   select *, sum(n) over (partition by level, lang, source, measure order by bucket) upto,
     sum(n) over (partition by level, lang, source, measure) total from sketch),
-quartile as (
-  select level, lang, source, measure, any_value(total) total, min(bucket) filter (where 4 * upto >= total) q1,
-    min(bucket) filter (where 4 * upto >= 3 * total) q3 from ranked group by all),
+point as (
+  select level, lang, source, measure, any_value(total)::bigint total, min(bucket) filter (where 100 * upto >= {SHORT_PERCENT} * total) short,
+    min(bucket) filter (where 100 * upto >= 25 * total) q1, min(bucket) filter (where 100 * upto >= 75 * total) q3
+  from ranked group by all),
+of_language as (
+  select l.lang, l.measure, (l.total * l.short + {PRIOR} * a.short) // (l.total + {PRIOR}) short,
+    (l.total * l.q1 + {PRIOR} * a.q1) // (l.total + {PRIOR}) q1, (l.total * l.q3 + {PRIOR} * a.q3) // (l.total + {PRIOR}) q3
+  from point l join point a on l.level = 1 and a.level = 2 and l.measure = a.measure),
+mixed as (
+  select g.lang, g.source, g.measure, (g.total * g.short + {PRIOR} * l.short) // (g.total + {PRIOR}) short,
+    (g.total * g.q1 + {PRIOR} * l.q1) // (g.total + {PRIOR}) q1, (g.total * g.q3 + {PRIOR} * l.q3) // (g.total + {PRIOR}) q3
+  from point g join of_language l on g.level = 0 and g.measure = l.measure and g.lang is not distinct from l.lang),
 fence as (
-  select q.*, case when two_sided then q1 - {REACH} * greatest(q3 - q1, spread) else 0 end low,
-    q3 + {REACH} * greatest(q3 - q1, spread) high
-  from quartile q join (values {_SPREAD_ROWS}) s(measure, spread, two_sided) using (measure)),
+  select q.lang, q.source, q.measure, two_sided, q.q1, q.q3, greatest(q.q3 - q.q1, 1000 // greatest(w.short, 1)) spread
+  from mixed q join (values {_MEASURE_ROWS}) s(measure, whole, two_sided) using (measure)
+    join mixed w on w.measure = s.whole and q.lang is not distinct from w.lang and q.source is not distinct from w.source),
 judged as (
-  select x.doc_id, x.measure, arg_min(x.v between f.low and f.high, f.level) inside
-  from long x join fence f on f.measure = x.measure and (f.level = 2 or f.total >= {MIN_GROUP})
-    and (case when f.level < 2 then x.lang end) is not distinct from f.lang
-    and (case when f.level < 1 then x.source end) is not distinct from f.source
-  where not x.failed group by 1, 2),
+  select x.doc_id, x.measure,
+    x.v between (case when two_sided then q1 - {REACH} * spread else 0 end) and q3 + {REACH} * spread as inside
+  from long x join fence f on f.measure = x.measure and x.lang is not distinct from f.lang and x.source is not distinct from f.source
+  where not x.failed),
 verdict as (select doc_id, bool_and(inside) kept from judged group by 1)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed base_failed, coalesce(kept, false) kept
 from measured left join verdict using (doc_id)

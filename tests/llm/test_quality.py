@@ -49,12 +49,15 @@ def corpus():
 
 
 def test_junk_goes_and_prose_stays(spark, make_docs, tmp_path):
-    docs = make_docs(corpus()).withColumn("fence", F.lit(1))
+    docs = make_docs(corpus())
+    for name in ("fence", "of", "counts", "of_lang", "of_source", "level", "bucket", "quality", "quality_"):
+        docs = docs.withColumn(name, F.lit(name))
     got = {r["doc_id"]: r["quality"] for r in quality.with_quality(docs).collect()}
     assert len(got) == 400
     assert [k for k, q in got.items() if not q["kept"]] == [k for k in got if k % 20 < 2]
     kept = quality.stage(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and kept.count() == 360
+    assert kept.filter("fence = 'fence' and of = 'of' and quality = 'quality'").count() == 360
 
 
 def test_thresholds_follow_the_group(spark, make_docs):
@@ -75,3 +78,39 @@ def test_odd_rows(make_docs):
     assert len(found) == len(ODD)
     assert all(r["quality"]["base_failed"] and not r["quality"]["kept"] for r in found)
     assert quality.with_quality(docs.limit(0)).count() == 0
+
+
+def fence_rows(docs):
+    rows = docs.select("lang", "source", quality._counts("text").alias("counts"))
+    return {(r["of_lang"], r["of_source"]): r["fence"].asDict(True) for r in quality.fences(rows).collect()}
+
+
+def test_small_groups_move_gradually(make_docs):
+    """No count of documents is a step: each further one of a source shifts its fences a little."""
+    rnd = random.Random(5)
+    rows = [(k, " ".join("x" * rnd.randint(3, 7) for _ in range(50)), "en", "big", 0) for k in range(1500)]
+    more = [(2000 + k, " ".join("x" * rnd.randint(9, 13) for _ in range(50)), "en", "new", 0) for k in range(300)]
+    lows = [fence_rows(make_docs(rows + more[:n]))["en", "new"]["word_length"]["low"] for n in (1, 20, 99, 100, 101, 300)]
+    assert lows[0] < lows[1] < lows[2] < lows[5] and lows[5] - lows[0] > 2000
+    assert abs(lows[3] - lows[2]) < 60 and abs(lows[4] - lows[3]) < 60
+
+
+def test_fences_come_from_the_group(make_docs):
+    """Sources with other habits and other lengths have other fences, for every measure."""
+    rnd = random.Random(6)
+    rows = []
+    for k in range(600):
+        loud = k % 2 == 0
+        words = ["".join(rnd.choices("abcde", k=rnd.randint(2, 9 if loud else 6))) for _ in range(rnd.randint(30, 40) * (6 if loud else 1))]
+        if loud:
+            words = [rnd.choice([w, w, w.upper(), w + "!", w + "#"]) for w in words]
+            words = [w for w in words for _ in range(rnd.choice([1, 1, 1, 2]))]
+        lines = [" ".join(words[j : j + 5]) for j in range(0, len(words), 5)]
+        rows.append((k, "\n".join(lines), "en", "loud" if loud else "calm", 0))
+    found = fence_rows(make_docs(rows))
+    for m in quality.MEASURES:
+        assert found["en", "loud"][m] != found["en", "calm"][m], m
+
+
+def test_a_very_long_text():
+    assert quality.counts_of(b"a b c d\n" * 250_000)[:5] == (1_000_000, 1_000_000, 0, 249_999, 1_000_000)
