@@ -239,6 +239,12 @@ sql(
     "select loan_id, account_id, status, loan_start_date, amount, is_amount_outlier from dim_loan where status = 'B'",
 )
 sql("csv_round_trip", "select * from raw_loan")
+sql(
+    "csv_rejects",
+    "select case cast(loan_id as bigint) % 8 when 1 then 'too few fields' when 2 then 'too many fields' "
+    "when 3 then 'no key' when 4 then 'key is no number' else 'accepted' end as outcome, count(*) as lines from raw_loan group by 1",
+)
+sql("csv_accepted", "select * from loan where loan_id % 8 not in (1, 2, 3, 4)")
 sql("renamed_columns", "select disp_id, client_id, account_id as accountid, type from raw_disp")
 sql("renamed_for_sink", "select disp_id, client_id, account_id, type from raw_disp")
 sql("peek_trans", "select trans_id, account_id, date, amount from trans order by trans_id limit 5")
@@ -257,6 +263,8 @@ sql(
     "sink_types",
     "select * exclude (stddev_transaction_amount), cast(1 as double) as share from activity",
 )
+sql("incremental_history", "select * exclude (is_amount_outlier) from fact_transactions")
+sql("incremental_activity", "select * from activity")
 sql("parse_dates", "select account_id, date from account")
 sql("impute_labels", "select trans_id, operation, k_symbol, bank, account from trans")
 sql("clean_trans", "select * from trans")

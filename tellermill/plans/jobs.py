@@ -17,6 +17,7 @@ from tellermill.plans.marts import mart
 from tellermill.sources import jdbc
 from tellermill.sources.catalog import register
 from tellermill.sources.files import read_csv, read_parquet, write_parquet
+from tellermill.sources.quarantine import Loaded, load_checked
 
 SUMMARY = T.StructType(
     [
@@ -84,6 +85,25 @@ def raw_to_processed(spark: SparkSession, raw: str, processed: str, sep: str = "
     return _each(spark, {t: lambda t=t: run(t) for t in schema.RAW})
 
 
+def raw_to_processed_checked(
+    spark: SparkSession, raw: str, processed: str, quarantine: str, sep: str = ";"
+) -> DataFrame:
+    """Like raw_to_processed, with unusable lines set aside: lines, accepted, rejected and
+    lost values of each table."""
+    counts: dict[str, Loaded] = {}
+
+    def run(table: str) -> int:
+        counts[table] = load_checked(
+            spark, table, f"{raw}/{table}.csv", f"{processed}/{table}", f"{quarantine}/{table}", sep
+        )
+        return counts[table].accepted
+
+    _each(spark, {t: lambda t=t: run(t) for t in schema.RAW})
+    rows = [(t, n.lines, n.accepted, n.rejected, n.lost_values) for t, n in counts.items()]
+    names = "table_name string, lines bigint, accepted bigint, rejected bigint, lost_values bigint"
+    return spark.createDataFrame(rows, names)
+
+
 def processed_to_curated(spark: SparkSession, processed: str, curated: str) -> DataFrame:
     """Build the ten star-schema tables.
 

@@ -15,8 +15,10 @@ from tellermill.functions.text import blank_to_null, clean_names, clean_sink_nam
 from tellermill.operators import integrity, profile
 from tellermill.operators.outliers import iqr_summary
 from tellermill.operators.quantiles import quantiles
-from tellermill.plans import analytics, dashboard, dims, facts
+from tellermill.plans import analytics, dashboard, dims, facts, incremental
+from tellermill.plans.clean import clean
 from tellermill.plans.marts import mart
+from tellermill.sources import quarantine
 from tellermill.sources.files import (
     detect_separator,
     peek,
@@ -89,6 +91,27 @@ def csv_round_trip(b: Bank) -> DataFrame:
     return read_csv(spark, folder, schema.RAW["loan"], sep=detect_separator(spark, folder))
 
 
+def _checked_loans(b: Bank) -> DataFrame:
+    """Raw loans written as text with planted faults, read back line by line."""
+    loan = b.raw["loan"]
+    folder = work_folder(loan.sparkSession, "spoiled-csv")
+    quarantine.with_planted_faults(loan, "loan_id").write.text(folder)
+    return quarantine.with_reason("loan", quarantine.read_checked(loan.sparkSession, folder, loan.columns))
+
+
+@query
+def csv_rejects(b: Bank) -> DataFrame:
+    """Lines by what became of them; together they are all lines of the file."""
+    df = _checked_loans(b)
+    return df.groupBy(F.coalesce(quarantine.REASON, F.lit("accepted")).alias("outcome")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def csv_accepted(b: Bank) -> DataFrame:
+    """Typed loans of the lines that are usable."""
+    return clean("loan", quarantine.accepted(_checked_loans(b)))
+
+
 @query
 def renamed_columns(b: Bank) -> DataFrame:
     """Column names as they come from spreadsheets, brought to one form."""
@@ -121,6 +144,28 @@ def sink_types(b: Bank) -> DataFrame:
     return for_sink(activity.withColumn("share", F.lit(1).cast("decimal(10,2)")))
 
 
+# Incremental loads
+
+
+def _loaded_in_parts(b: Bank) -> incremental.TransactionStore:
+    trans = b["trans"]
+    store = incremental.TransactionStore(trans.sparkSession, work_folder(trans.sparkSession, "store"), trans.schema)
+    incremental.in_two_loads(store, trans)
+    return store
+
+
+@query
+def incremental_history(b: Bank) -> DataFrame:
+    """All transactions with their history, loaded in two batches with corrections."""
+    return _loaded_in_parts(b).history.read()
+
+
+@query
+def incremental_activity(b: Bank) -> DataFrame:
+    """Activity of all accounts, kept up to date over the same batches."""
+    return profile.rounded(_loaded_in_parts(b).activity.read(), 4, "stddev_transaction_amount")
+
+
 # Cleaning
 
 
