@@ -3,7 +3,7 @@
 A key belongs to the next virtual node clockwise. A shard takes no more than its share of
 the rows; keys that find it full go on clockwise to the next virtual node whose shard has
 room. Which rows go on is decided from the number of keys on each arc of the ring, a table
-of fixed size, so rows are placed without a serial pass.
+of fixed size, and from the order of keys on an arc, so rows are placed without a serial pass.
 """
 
 from __future__ import annotations
@@ -14,15 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from tellermill.llm.common import INT, stored, table
 
 SHARDS = 16
 #: Virtual nodes of a shard. The ring, and so every table on the driver, has SHARDS * REPLICAS.
 REPLICAS = 128
-#: Rows of an arc that one task ranks; larger arcs are ranked in several cells.
-CELL_ROWS = 100_000
+#: Rows that one task sorts.
+TASK_ROWS = 1_000_000
 
 
 def ring(shards: int, replicas: int = REPLICAS) -> tuple[np.ndarray, list[int]]:
@@ -67,14 +67,18 @@ def with_shards(
     key: Column | None = None,
     shards: int = SHARDS,
     replicas: int = REPLICAS,
-    cell_rows: int = CELL_ROWS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """All rows and columns of docs, with (new) shard and slot, a gapless number inside the shard.
 
     Shards hold row counts that differ by one at most, whatever the keys: rows of one key,
-    null included, spread clockwise over as many shards as they need. Rows are written
-    once to fix their order; then only arcs and cells are counted, and a window ranks the
-    rows of one cell. An empty table gives an empty result.
+    null included, spread clockwise over as many shards as they need. The keys of an arc
+    are placed in the order of their positions on the ring, and rows of one position by a
+    hash of all their columns, so the same rows get the same places however they are
+    stored. Equal rows take places of each other. Rows are sorted over all tasks, a hot key over
+    several; only arcs and tasks are counted. Texts are not looked at but for that hash.
+    Columns called shard or slot are replaced, other names may be anything. An empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     positions, owners = ring(shards, replicas)
@@ -84,35 +88,47 @@ def with_shards(
         at = np.searchsorted(positions, hashed.to_numpy(zero_copy_only=False))
         return pa.array((at % len(positions)).astype(np.int32))
 
-    hashed = F.xxhash64(F.col("doc_id") if key is None else key)
-    rows = stored(docs.select("*", F.monotonically_increasing_id().alias("__row"), arc(hashed).alias("__arc")), "ring")
-    found = rows.groupBy("__arc").count().collect()  # a row for each virtual node at most
+    columns = [c for c in docs.columns if c not in ("shard", "slot")]
+    hashable = [docs[f.name] for f in docs.schema if not isinstance(f.dataType, T.MapType)]
+    place = F.xxhash64(F.col("doc_id") if key is None else key)
+    rows = docs.select(
+        F.struct(*(docs[c] for c in columns)).alias("of"),
+        place.alias("place"),
+        F.xxhash64(*hashable).alias("tie"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    # The last arc goes over the end of the positions, so its keys come in two runs.
+    rows = stored(rows.withColumn("arc", arc("place")), "ring")
+    found = rows.groupBy("arc").count().collect()  # a row for each virtual node at most
     counts = [0] * len(owners)
     for r in found:
-        counts[r["__arc"]] = r["count"]
+        counts[r["arc"]] = r["count"]
     plan = ring_plan(counts, owners, shards)
-    arcs = spark.createDataFrame([(a, -(-n // cell_rows)) for a, n in enumerate(counts) if n] or [(0, 1)], "__arc int, __cells long")
-    plan_rows = spark.createDataFrame(
-        plan or [(0, 0, 0, 0, 0)], "__to_arc int, __from_rank long, __end_rank long, __shard int, __first_slot long"
-    )
 
-    # Both tables have a bounded number of rows: the virtual nodes, and at most one more
-    # for each time that a shard fills up or a node's keys go on.
-    cell = F.pmod(F.xxhash64("__row"), F.col("__cells"))
-    celled = rows.join(F.broadcast(arcs), "__arc").withColumn("__cell", cell).drop("__cells")
-    sizes = celled.groupBy("__arc", "__cell").count()
-    before = Window.partitionBy("__arc").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__arc", "__cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy("__arc", "__cell").orderBy("__row")
-    ranked = celled.withColumn("__in", F.row_number().over(inside) - 1).join(starts, ["__arc", "__cell"])
-    rank = F.col("__start") + F.col("__in")
-    there = (F.col("__arc") == F.col("__to_arc")) & (rank >= F.col("__from_rank")) & (rank < F.col("__end_rank"))
-    return (
-        ranked.join(F.broadcast(plan_rows), there)
-        .withColumn("__slot", F.col("__first_slot") + rank - F.col("__from_rank"))
-        .select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")), F.col("__shard").alias("shard"), "__slot")
-        .withColumnRenamed("__slot", "slot")
+    behind = F.when(F.col("place") > int(positions[-1]), 0).otherwise(1)
+    order = ["arc", behind, "place", "tie", "row"]
+    tasks = max(1, -(-sum(counts) // task_rows))
+    sorted_rows = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    sorted_rows = stored(sorted_rows.select("of", "arc", F.monotonically_increasing_id().alias("at")), "sorted")
+    task = F.shiftright("at", 33)
+    sizes = sorted_rows.groupBy(task.alias("task")).count().orderBy("task").collect()  # a row for each task
+    first, starts = 0, []
+    for r in sizes:
+        starts.append((r["task"], first - (r["task"] << 33)))
+        first += r["count"]
+    starts_rows = spark.createDataFrame(starts or [(0, 0)], "task long, shift long")
+    before = [0, *np.cumsum(counts).tolist()]
+    plan_rows = spark.createDataFrame(
+        [(a, before[a] + low, before[a] + high, shard, slot) for a, low, high, shard, slot in plan] or [(0, 0, 0, 0, 0)],
+        "to_arc int, low long, high long, shard int, first_slot long",
     )
+    # Both tables have a bounded number of rows: the tasks, and the virtual nodes with one
+    # more for each time that a shard fills up or a node's keys go on.
+    numbered = sorted_rows.join(F.broadcast(starts_rows), task == F.col("task"))
+    numbered = numbered.select("of", "arc", (F.col("at") + F.col("shift")).alias("number"))
+    there = (F.col("arc") == F.col("to_arc")) & (F.col("number") >= F.col("low")) & (F.col("number") < F.col("high"))
+    slot = (F.col("first_slot") + F.col("number") - F.col("low")).alias("slot")
+    return numbered.join(F.broadcast(plan_rows), there).select("of.*", "shard", slot)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
