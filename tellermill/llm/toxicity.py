@@ -1,19 +1,21 @@
 """Toxicity by two Kneser-Ney models of word spelling, one for each label.
 
-Each model predicts the letters of a word from the four before. Only these longest counts
+Each model predicts the letters of a word from the eight before. Only these longest counts
 belong to a label; below them both models back off to the same Kneser-Ney counts, so a
 rare expression, which neither has seen, is equally likely in both. A toxic text is taken
 as an ordinary one in which one word in 200 comes from the toxic model instead, so that
 differences in subject or language between the labels count for little. A document's
 score compares its two log-likelihoods for each word.
+
+Sequences of letters are rows of code points and the models sorted arrays of 64-bit hashes,
+so a model of a million sequences takes 12 MB.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -23,143 +25,182 @@ from pyspark.sql import functions as F
 from tellermill.llm.common import DOUBLE, INT, LONG, STRING, alnum_words, struct, table, text_bytes
 
 #: Letters before the predicted one.
-CONTEXT = 4
+CONTEXT = 8
 #: Labelled rows of each label that the models learn from: those of the least hash.
-TRAIN_ROWS = 6_000
+TRAIN_ROWS = 4_000
 #: One in so many of them is kept apart to turn the comparison into a probability.
 CALIBRATION = 4
 THRESHOLD = 0.7
 #: Share of a toxic text's words that the toxic model writes.
 MIXTURE = 0.005
 #: Words added to a text's length, so that one rare word does not decide a very short text.
-EXTRA_WORDS = 10
+EXTRA_WORDS = 30
 _START, _END = "\x02", "\x03"
 _MEMO_WORDS = 400_000
+_LEARN_WORDS = 20_000
+_TEXTS = 256
+
+
+def _codes(texts: Sequence[str], width: int) -> np.ndarray:
+    """Code points of texts of one length, a row for each."""
+    return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).reshape(len(texts), width)
+
+
+def spelled(words: Sequence[str], context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
+    """Every letter and the end of each word behind its context, as rows of code points; and
+    where the rows of each word begin."""
+    padded = [_START * context + w + _END for w in words]
+    codes = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    starts = np.concatenate(([0], np.cumsum(lengths)))
+    first = np.concatenate(([0], np.cumsum(lengths + context)))[:-1]
+    rows = np.repeat(first - starts[:-1], lengths) + np.arange(starts[-1])
+    return np.lib.stride_tricks.sliding_window_view(codes, context + 1)[rows], starts[:-1]
 
 
-def spelling(word: str, context: int = CONTEXT) -> Iterator[str]:
-    """Every letter and the end of the word, each behind its context."""
-    padded = _START * context + word + _END
-    for i in range(len(word) + 1):
-        yield padded[i : i + context + 1]
+def _hashed(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row, the same in every process."""
+    h = np.zeros(len(rows), np.uint64)
+    for column in rows.T:
+        h = (h ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
 
 
-def _discount(counts: Iterator[int]) -> float:
+def _unique(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows, and for each given row its number among them."""
+    width = rows.shape[1]
+    if not width:
+        return rows[:1], np.zeros(len(rows), np.int64)
+    whole = np.ascontiguousarray(rows).view([("", np.uint32)] * width).ravel()
+    found, back = np.unique(whole, return_inverse=True)
+    return found.view(np.uint32).reshape(-1, width), back
+
+
+def _discount(counts: np.ndarray) -> float:
     """n1 / (n1 + 2 n2), kept inside (0, 1)."""
-    of = Counter(c for c in counts if c < 3)
-    return min(max(of[1] / (of[1] + 2 * of[2]), 0.1), 0.9) if of[1] else 0.5
+    one, two = int((counts == 1).sum()), int((counts == 2).sum())
+    return min(max(one / (one + 2 * two), 0.1), 0.9) if one else 0.5
+
 
+def _interpolated(counts: np.ndarray, before: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of sequences from their counts, contexts and shorter probabilities; and
+    for each context the share that it leaves to the shorter ones (1 if it has no counts)."""
+    discount = _discount(counts)
+    total = np.bincount(before, counts)
+    kinds = np.bincount(before, counts > 0)
+    known = total > 0
+    left = np.where(known, discount * kinds / np.where(known, total, 1), 1.0)
+    own = np.maximum(counts - discount, 0) / np.where(known, total, 1)[before]
+    return own + left[before] * below, left
 
-class Shared:
-    """Kneser-Ney probabilities of all orders below the longest.
 
-    The count of a sequence is the number of different letters seen before it.
+def shared_probabilities(grams: np.ndarray) -> np.ndarray:
+    """Kneser-Ney probability of the last letter of each different row behind all but its first.
+
+    The count of a shorter sequence is the number of different letters seen before it.
     """
+    if grams.shape[1] == 1:
+        return np.full(len(grams), 1 / (len(grams) + 1))  # as likely as a letter that never occurred
+    shorter, back = _unique(grams[:, 1:])
+    below = shared_probabilities(shorter)
+    _, before = _unique(shorter[:, :-1])
+    found, _ = _interpolated(np.bincount(back), before, below)
+    return found[back]
 
-    def __init__(self, grams: set[str]):
-        self.levels: list[dict[str, float]] = []
-        self.left: list[dict[str, float]] = []
-        counts = []
-        level = grams
-        for _ in range(len(next(iter(grams))) - 1):
-            seen = Counter(g[1:] for g in level)
-            counts.append(seen)
-            level = set(seen)
-        self.unseen = 1 / (len(level) + 1)
-        for seen in reversed(counts):
-            discount = _discount(iter(seen.values()))
-            total, kinds = Counter(), Counter()
-            for g, n in seen.items():
-                total[g[:-1]] += n
-                kinds[g[:-1]] += 1
-            left = {c: discount * kinds[c] / total[c] for c in total}
-            values = {g: (n - discount) / total[g[:-1]] + left[g[:-1]] * self.probability(g[1:]) for g, n in seen.items()}
-            self.levels.append(values)
-            self.left.append(left)
-
-    def probability(self, gram: str) -> float:
-        """Of the last letter behind the others; '' is a letter that never occurred."""
-        if not gram:
-            return self.unseen
-        values, left = self.levels[len(gram) - 1], self.left[len(gram) - 1]
-        found = values.get(gram)
-        return found if found is not None else left.get(gram[:-1], 1.0) * self.probability(gram[1:])
+
+@dataclass
+class Table:
+    """Numbers by hashed key."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, rows: np.ndarray, values: np.ndarray) -> Table:
+        keys = _hashed(rows)
+        order = np.argsort(keys, kind="stable")
+        return cls(keys[order], values[order].astype(np.float32))
+
+    def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of rows, and which of them are known."""
+        if not len(self.keys):
+            return np.zeros(len(rows)), np.zeros(len(rows), bool)
+        wanted = _hashed(rows)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        known = self.keys[at] == wanted
+        return np.where(known, self.values[at], 0.0).astype(float), known
 
 
 @dataclass
 class Model:
     """Differences of the two models' log-probabilities, and the calibration."""
 
-    seen: dict[str, float]
-    context: dict[str, float]
+    seen: Table
+    context: Table
     offset: float = 0.0
     slope: float = 1.0
+    unit: float = 1.0
 
-    def word(self, word: str) -> float:
-        """Log-likelihood of a word in a toxic text less that in an ordinary one.
+    def words(self, words: Sequence[str]) -> np.ndarray:
+        """Log-likelihood of each word in a toxic text less that in an ordinary one.
 
         Behind a known context an unknown letter gets the context's share of backing off
         in each model, times the same probability, which cancels out.
         """
-        total = 0.0
-        for g in spelling(word):
-            found = self.seen.get(g)
-            total += self.context.get(g[:-1], 0.0) if found is None else found
-        return log(1 - MIXTURE + MIXTURE * exp(min(total, 500.0)))
-
-    def per_word(self, words: list[bytes], memo: dict[bytes, float]) -> float:
-        """Difference for each word; 0 for a text without words."""
+        if not words:
+            return np.zeros(0)
+        rows, starts = spelled(words)
+        found, known = self.seen.get(rows)
+        found[~known] = self.context.get(rows[~known][:, :-1])[0]
+        total = np.add.reduceat(found, starts)
+        return np.log(1 - MIXTURE + MIXTURE * np.exp(np.minimum(total, 500.0)))
+
+    def per_word(self, texts: Sequence[bytes], memo: dict[bytes, float]) -> np.ndarray:
+        """Difference for each word of each text; 0 for a text without words."""
+        split = [alnum_words(t) for t in texts]
         if len(memo) > _MEMO_WORDS:
             memo.clear()
-        total = 0.0
-        for w in words:
-            value = memo.get(w)
-            if value is None:
-                value = memo[w] = self.word(w.decode())
-            total += value
-        return total / (len(words) + EXTRA_WORDS)
-
-    def score(self, per_word: float) -> float:
-        return 1 / (1 + exp(-max(-500.0, min(500.0, self.offset + self.slope * per_word))))
-
-
-def build(counts: tuple[dict[str, int], dict[str, int]]) -> Model:
-    """The two models from the counts of ordinary and toxic letter sequences."""
-    if not counts[0] or not counts[1]:
-        return Model({}, {}, offset=-30.0)  # nothing to compare
-    shared = Shared(set(counts[0]) | set(counts[1]))
-    totals, shares, discounts = [], [], []
-    for own in counts:
-        total, kinds = defaultdict(int), defaultdict(int)
-        for g, n in own.items():
-            total[g[:-1]] += n
-            kinds[g[:-1]] += 1
-        discounts.append(_discount(iter(own.values())))
-        totals.append(total)
-        shares.append({c: discounts[-1] * kinds[c] / total[c] for c in total})
-
-    def likelihood(label: int, gram: str, below: float) -> float:
-        before = gram[:-1]
-        if before not in totals[label]:
-            return below
-        own = max(counts[label].get(gram, 0) - discounts[label], 0) / totals[label][before]
-        return own + shares[label][before] * below
-
-    seen = {}
-    for g in set(counts[0]) | set(counts[1]):
-        below = shared.probability(g[1:])
-        seen[g] = log(likelihood(1, g, below)) - log(likelihood(0, g, below))
-    context = {c: log(shares[1].get(c, 1.0)) - log(shares[0].get(c, 1.0)) for c in set(totals[0]) | set(totals[1])}
-    return Model(seen, context)
-
-
-def calibrate(per_word: np.ndarray, labels: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Offset and slope of a logistic curve, both labels weighing the same, by Newton steps."""
+        new = list(set().union(*split).difference(memo))
+        for k in range(0, len(new), _LEARN_WORDS):
+            part = new[k : k + _LEARN_WORDS]
+            memo.update(zip(part, self.words([w.decode() for w in part]).tolist(), strict=True))
+        return np.array([sum(map(memo.__getitem__, words)) / (len(words) + EXTRA_WORDS) for words in split])
+
+    def score(self, per_word: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.offset + self.slope * np.arcsinh(np.asarray(per_word) / self.unit), -500, 500)))
+
+
+def build(grams: Sequence[str], ordinary: np.ndarray, toxic: np.ndarray) -> Model:
+    """The two models from different letter sequences and how often each label has them."""
+    none = np.zeros((0, 1), np.uint32)
+    if not len(grams) or not ordinary.any() or not toxic.any():
+        return Model(Table.of(none, np.zeros(0)), Table.of(none, np.zeros(0)), offset=-30.0, slope=0.0)  # nothing to compare
+    rows = _codes(grams, CONTEXT + 1)
+    below = shared_probabilities(rows)
+    contexts, before = _unique(rows[:, :-1])
+    likely, left = zip(*(_interpolated(np.asarray(n), before, below) for n in (ordinary, toxic)), strict=True)
+    return Model(
+        Table.of(rows, np.log(likely[1]) - np.log(likely[0])),
+        Table.of(contexts, np.log(left[1]) - np.log(left[0])),
+    )
+
+
+def calibrate(per_word: np.ndarray, labels: np.ndarray, ridge: float = 1e-3) -> tuple[float, float, float]:
+    """Offset and slope of a logistic curve over the squashed comparison, by Newton steps, and
+    the unit of that.
+
+    Beyond the unit, the median size among ordinary texts, the comparison counts by its
+    logarithm, so a few extreme texts don't set the slope. Labels weigh as the root of
+    their rarity.
+    """
     if not len(labels) or labels.min() == labels.max():
-        return -30.0, 0.0
-    unit = np.std(per_word) or 1.0
-    x = np.column_stack((np.ones(len(labels)), per_word / unit))
-    weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
+        return -30.0, 0.0, 1.0
+    unit = float(np.median(np.abs(per_word[labels == 0]))) or 1.0
+    squashed = np.arcsinh(per_word / unit)
+    scale = np.std(squashed) or 1.0
+    x = np.column_stack((np.ones(len(labels)), squashed / scale))
+    weight = np.sqrt(np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())))
     beta = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
@@ -169,11 +210,12 @@ def calibrate(per_word: np.ndarray, labels: np.ndarray, ridge: float = 1e-3) ->
         beta += step
         if np.abs(step).max() < 1e-9:
             break
-    return float(beta[0]), float(beta[1] / unit)
+    return float(beta[0]), float(beta[1] / scale), unit
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Letter sequences of a batch of labelled texts, with how often each occurs."""
+    schema = pa.schema([("toxic", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
     for batch in batches:
         words: tuple[Counter, Counter] = (Counter(), Counter())
         for text, label in zip(text_bytes(batch["text"]), batch["toxic"].to_pylist(), strict=True):
@@ -181,12 +223,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for label in (0, 1):
             grams: Counter = Counter()
             for word, n in words[label].items():
-                for g in spelling(word.decode()):
-                    grams[g] += n
+                padded = _START * CONTEXT + word.decode() + _END
+                for k in range(len(padded) - CONTEXT):
+                    grams[padded[k : k + CONTEXT + 1]] += n
             rows = {"toxic": [label] * len(grams), "gram": list(grams), "n": list(grams.values())}
-            yield pa.RecordBatch.from_pydict(
-                rows, pa.schema([("toxic", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
-            )
+            yield pa.RecordBatch.from_pydict(rows, schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -209,17 +250,15 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         sample.filter(~apart)
         .select("text", "toxic")
         .mapInArrow(_counted, struct(toxic=INT, gram=STRING, n=LONG))
-        .groupBy("toxic", "gram")
-        .agg(F.sum("n").alias("n"))
+        .groupBy("gram")
+        .agg(*(F.sum(F.when(F.col("toxic") == label, F.col("n")).otherwise(0)).alias(f"n{label}") for label in (0, 1)))
     )
-    counts: tuple[dict[str, int], dict[str, int]] = ({}, {})
-    for r in grams.toLocalIterator():  # bounded by the sample
-        counts[r["toxic"]][r["gram"]] = r["n"]
-    model = build(counts)
-    if model.seen:
+    counts = grams.toArrow()  # bounded by the sample
+    model = build(counts["gram"].to_pylist(), counts["n0"].to_numpy(), counts["n1"].to_numpy())
+    if len(model.seen.keys):
         found = sample.filter(apart).select("toxic", per_word(model)(F.col("text")).alias("x")).collect()
         x, y = np.array([r["x"] for r in found]), np.array([r["toxic"] for r in found])
-        model.offset, model.slope = calibrate(x, y)
+        model.offset, model.slope, model.unit = calibrate(x, y)
     return model
 
 
@@ -230,7 +269,9 @@ def per_word(model: Model):
     @F.arrow_udf(DOUBLE)
     def compare(text: pa.Array) -> pa.Array:
         known = shared.value
-        return pa.array([known.per_word(alnum_words(t), memo) for t in text_bytes(text)], pa.float64())
+        texts = list(text_bytes(text))
+        parts = [known.per_word(texts[k : k + _TEXTS], memo) for k in range(0, len(texts), _TEXTS)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
     return compare
 
@@ -239,14 +280,17 @@ def with_toxicity(docs: DataFrame, model: Model, name: str = "toxicity") -> Data
     """All rows and columns of docs, and a struct column (per_word, score, predicted).
 
     Only the text decides. A null, empty or wordless text compares as 0, neither likelier
-    toxic nor ordinary, and gets the score of that.
+    toxic nor ordinary, and gets the score of that. Texts of any length are read whole, and
+    equal texts score alike. A column of the given name is replaced, other names may be
+    anything. An empty table gives an empty result.
     """
-    x = per_word(model)(F.col("text"))
-    value = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), model.offset + model.slope * F.col("__x")))))
-    scored = docs.withColumn("__x", x).withColumn("__s", value)
-    predicted = (F.col("__s") >= THRESHOLD).cast("int")
-    both = F.struct(F.col("__x").alias("per_word"), F.col("__s").alias("score"), predicted.alias("predicted"))
-    return scored.withColumn(name, both).drop("__x", "__s")
+    columns = [c for c in docs.columns if c != name]
+    rows = docs.select(F.struct(*(docs[c] for c in columns)).alias("of"), per_word(model)(docs["text"]).alias("x"))
+    squashed = F.asinh(F.col("x") / F.lit(model.unit))
+    value = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), model.offset + model.slope * squashed))))
+    scored = rows.select("of", "x", value.alias("score"))
+    predicted = (F.col("score") >= THRESHOLD).cast("int")
+    return scored.select("of.*", F.struct(F.col("x").alias("per_word"), "score", predicted.alias("predicted")).alias(name))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
