@@ -9,6 +9,7 @@ the corpus: surrogates that collide are drawn again, over the table of distinct
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 import unicodedata
 from bisect import bisect_left
@@ -51,7 +52,9 @@ ENDINGS = {
 # Country codes of two digits; those in 1 and 7 have one, all others three.
 CODES = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 
-_EMAIL = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
+_AT_DOMAIN = re.compile(r"@[\w-]+(?:\.[\w-]+)+")
+_IBAN = re.compile(r"(?<![^\W_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![^\W_])")
+_IP6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]{1,38}(?![\w:]|\.\d)")
 _IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)", re.ASCII)
 _CARD = re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])", re.ASCII)
 # Groups of digits that may hold telephone numbers; rules tell those from other numbers.
@@ -63,9 +66,11 @@ _DATE = re.compile(r"(?<![0-9./-])(?:([0-9]{1,2})([./-])([0-9]{1,2})\2(?:[0-9]{4
 _CALL = re.compile(
     r"(?i:\b(?:tel|t[eé]l[eé]phone?|tel[eé]fono?|telefon(?:nummer)?|phone|fon|fax|call|dial|mobile?|m[oó]vil|cell|handy|portable|rufnummer|whatsapp)\b)[ .:)]{0,3}\Z"
 )
-_TITLED = re.compile(
-    r"\b(" + "|".join(re.escape(t) for ts in TITLES.values() for t in ts) + r")\.? +((?:[^\W\d_]+[ ]){0,2}[^\W\d_]+)"
-)
+# Small words inside names, which stay.
+PARTICLES = "von van de der den del della di da du des la le zu zur ten ter y".split()
+_NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*\.?"
+_TITLED = re.compile(r"\b(" + "|".join(re.escape(t) for ts in TITLES.values() for t in ts) + r")\.? +")
+_NAMED = re.compile(rf"(?:{_NAME} ){{0,5}}{_NAME}")
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _WORD = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
 _DIGIT = re.compile(r"\d", re.ASCII)
@@ -75,7 +80,7 @@ _DIGIT = re.compile(r"\d", re.ASCII)
 WIDEN = 8
 MOST_ATTEMPTS = 500
 
-KINDS = ("email", "domain", "ip", "card", "phone", "given", "surname")
+KINDS = ("email", "domain", "ip", "ip6", "iban", "card", "phone", "given", "surname")
 _MENTION = T.ArrayType(struct(start=INT, end=INT, kind=STRING, entity=STRING))
 
 
@@ -152,7 +157,12 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
                 return
             called = bool(_CALL.search(text, max(0, first - 20), first))
             sign = "+" if text[first] == "+" else "(" if text[first] == "(" and text[found[at][1] - 1] == ")" else ""
-            while stop < len(found) and found[stop][1] - first <= 45 and (stop == at or text[found[stop][0]] != "+"):
+            head = "".join(_digits(text[a:b]) for a, b in found[at : at + 3])[:3]
+            if not sign and not called and head[:1] == "0" and (head == "000" or _digits(text[first : found[at][1]]) == "0" and head[:2] != "00"):
+                return
+            # Numbers of more than four groups begin with a sign, a word or a 0.
+            most = len(found) if sign or called or text[first] in "(0" else at + 4
+            while stop < min(most, len(found)) and found[stop][1] - first <= 45 and (stop == at or text[found[stop][0]] != "+"):
                 stop += 1
             for last in range(stop, at, -1):
                 groups = [_digits(text[a:b]) for a, b in found[at:last]]
@@ -177,6 +187,42 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
                 at += 1
 
 
+def _iban_rest(text: str) -> int:
+    """Of a number whose check digits are right: 1."""
+    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
+
+
+def _ip6(text: str) -> str | None:
+    """The one form of an IPv6 address with an eight-part or shortened writing."""
+    try:
+        return str(ipaddress.IPv6Address(text)) if text.count(":") > 1 and len(text) > 3 else None
+    except ValueError:
+        return None
+
+
+def _name_parts(text: str, start: int) -> list[tuple[int, int, bool]]:
+    """Places of the words of a name behind a title, and whether each belongs to the surname.
+
+    The name ends before a word that is neither capitalized nor a particle, and behind a word
+    with a full stop that is more than an initial. Hyphens and apostrophes part words.
+    """
+    words = []
+    for w in re.finditer(r"\S+", text):
+        bare = w[0].rstrip(".")
+        if bare in PARTICLES or bare in _GENDER:
+            continue
+        if not bare[0].isupper():
+            break
+        words.append((w.start(), bare))
+        if w[0][-1] == "." and len(bare) > 1:
+            break
+    return [
+        (start + at + part.start(), start + at + part.end(), k == len(words) - 1)
+        for k, (at, bare) in enumerate(words)
+        for part in re.finditer(r"[^\W\d_]+", bare)
+    ]
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and entity of every mention, in order and without overlap.
 
@@ -193,28 +239,39 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             found.append((start, end, kind, entity))
 
     if "@" in text:
-        for m in _EMAIL.finditer(text):
-            at = m[0].index("@")
-            add(m.start(), m.start() + at, "email", m[0].lower())
-            add(m.start() + at + 1, m.end(), "domain", m[0][at + 1 :].lower())
+        low = 0  # what lies before belongs to another address; so every character is looked at once
+        for m in _AT_DOMAIN.finditer(text):
+            start = m.start()
+            while start > low and (text[start - 1].isalnum() or text[start - 1] in "_.+-"):
+                start -= 1
+            if start < m.start():
+                low = m.end()
+                add(start, m.start(), "email", text[start : m.end()].lower())
+                add(m.start() + 1, m.end(), "domain", m[0][1:].lower())
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
             if all(int(x) < 256 for x in m[0].split(".")):
                 add(*m.span(), "ip", ".".join(str(int(x)) for x in m[0].split(".")))
+        for m in _IBAN.finditer(text):
+            plain = m[0].replace(" ", "")
+            if _iban_rest(plain) == 1:
+                add(*m.span(), "iban", plain)
         for m in _CARD.finditer(text):
             d = _digits(m[0])
             if _luhn(d) or len(d) == 16 and d[0] in "23456":
                 add(*m.span(), "card", d)
         for start, end in _phones(text):
             add(start, end, "phone", _digits(text[start:end]))
+    if "::" in text or text.count(":") > 6:
+        for m in _IP6.finditer(text):
+            if address := _ip6(m[0]):
+                add(*m.span(), "ip6", address)
     for m in _TITLED.finditer(text):
-        words = [w for w in re.finditer(r"\S+", m[2])]
-        words = words[: next((k for k, w in enumerate(words) if not w[0][0].isupper()), len(words))]
-        for k, w in enumerate(words):
-            last = k == len(words) - 1
+        name = _NAMED.match(text, m.end())
+        for start, end, last in _name_parts(name[0], m.end()) if name else ():
+            word = text[start:end]
             label = "" if last else _GENDER[m[1]]
-            entity = f"{_script(w[0])}:{label}:{w[0].lower()}"
-            add(m.start(2) + w.start(), m.start(2) + w.end(), "surname" if last else "given", entity)
+            add(start, end, "surname" if last else "given", f"{_script(word)}:{label}:{word.lower()}")
     named = defaultdict(list)  # by word: the titled mentions, in order
     for m in sorted(found):
         if m[2] in ("given", "surname"):
@@ -278,6 +335,13 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         first = draw.below(222) + 1
         drawn = [first + (first in (10, 127)), *(draw.below(256) for _ in range(2)), 1 + draw.below(254)]
         return ".".join(map(str, octets[:keep] + drawn[keep:]))
+    if kind == "ip6":
+        old = int(ipaddress.IPv6Address(entity))
+        net = old >> 112 if old >> 112 in (0xFE80, 0xFD00) and not wide else 0x2001 if not wide else 0x2000 + draw.below(0x1000)
+        return str(ipaddress.IPv6Address((net << 112) + (draw.below(1 << 56) << 56) + draw.below(1 << 56)))
+    if kind == "iban":
+        rest = "".join(str(draw.below(10)) if c.isdigit() else chr(65 + draw.below(26)) for c in entity[4:])
+        return f"{entity[:2]}{98 - _iban_rest(entity[:2] + '00' + rest):02d}{rest}"
     if kind == "card":
         body = (entity[0] if wide < 2 else str(2 + draw.below(5))) + "".join(str(draw.below(10)) for _ in entity[2:])
         if not _luhn(entity):
@@ -307,10 +371,17 @@ def written(kind: str, original: str, new: str) -> str:
     if kind in ("card", "phone"):
         digits = iter(new)
         return _DIGIT.sub(lambda _: next(digits), original) + "".join(digits)
+    if kind == "iban":
+        signs = iter(new)
+        return "".join(c if c == " " else next(signs) for c in original)
+    if kind == "ip6":
+        return new.upper() if original.isupper() else new
     if kind == "email":
         new = new.partition("@")[0]
     elif kind in ("given", "surname"):
         new = new.rsplit(":", 1)[1]
+        if len(original) == 1:
+            new = new[0]  # an initial
     if original.isupper():
         return new.upper()
     return new.capitalize() if original[:1].isupper() else new
@@ -361,7 +432,7 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         good = stored(first.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "entity", "surrogate"), "surrogates")
         done = good if done is None else done.unionAll(good)
         taken = taken.unionAll(good.select("kind", "surrogate"))
-        left = left.join(good, ["kind", "entity"], "left_anti")
+        left = stored(left.join(good, ["kind", "entity"], "left_anti"), "left")
         attempt += 1
     return entities.select("kind", "entity", F.lit("").alias("surrogate")) if done is None else done
 

@@ -1,3 +1,5 @@
+import time
+import random
 import re
 
 import pytest
@@ -149,3 +151,63 @@ def test_pools_widen():
     assert {x[0] for x in some("phone", "33123456789", 0)} == {"3"} != {x[0] for x in some("phone", "33123456789", 1)}
     assert len({x[0] for x in some("card", "4012888888881881", 2)}) > 1 and all(map(pii._luhn, some("card", "4012888888881881", 2)))
     assert pii.written("phone", "123-4567", "987654321") == "987-654321"
+
+
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [
+        ("Mr. J. Smith came. Smith left.", ["J", "Smith", "Smith"]),
+        ("Mrs Ann-Marie O'Brien; Marie, O'Brien", ["Ann", "Marie", "O", "Brien", "Marie", "O", "Brien"]),
+        ("Herr von der Berg ging, Berg kam", ["Berg", "Berg"]),
+        ("Dr Ludwig van Beethoven-Meyer spielt", ["Ludwig", "Beethoven", "Meyer"]),
+        ("Mr Smith. The end", ["Smith"]),
+        ("Mme D’Arc. Elle", ["D", "Arc"]),
+        ("Prof said nothing", []),
+    ],
+)
+def test_names_in_all_their_parts(text, names):
+    found = pii.mentions(text)
+    assert [text[a:b] for a, b, *_ in found] == names
+    new = {(k, e): pii.surrogate(b"key", k, e, 0) for _, _, k, e in found}
+    changed = pii.replaced(text, found, new)
+    assert not any(n in changed for n in names if len(n) > 2)
+    if "J. " in text:
+        assert re.match(r"Mr\. [A-Z]\. [A-Z][a-z]+ came\. ", changed)
+
+
+def test_bank_and_six_part_addresses():
+    text = "IBAN DE89 3704 0044 0532 0130 00, GB82WEST12345698765432, not DE00 3704 0044 0532 0130 00. Host 2001:db8::1 or FE80::1FF:FE23:4567:890A at 12:30:45"
+    found = pii.mentions(text)
+    assert [(k, text[a:b]) for a, b, k, _ in found if k in ("iban", "ip6")] == [
+        ("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB82WEST12345698765432"),
+        ("ip6", "2001:db8::1"), ("ip6", "FE80::1FF:FE23:4567:890A"),
+    ]
+    for a, b, kind, entity in found:
+        if kind == "iban":
+            new = pii.surrogate(b"key", kind, entity, 0)
+            assert pii._iban_rest(new) == 1 and new[:2] == entity[:2] and new != entity
+            assert [c == " " for c in pii.written(kind, text[a:b], new)] == [c == " " for c in text[a:b]]
+        if kind == "ip6":
+            new = pii.surrogate(b"key", kind, entity, 0)
+            assert pii._ip6(new) == new and new[:4] == entity[:4]
+
+
+def old_emails(text):
+    """The places by one pattern, which takes time with the square of a run."""
+    return [m.span() for m in re.finditer(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", text)]
+
+
+def test_addresses_as_one_pattern_finds_them():
+    rnd = random.Random(11)
+    for _ in range(3000):
+        text = "".join(rnd.choices("ab1._+-@ é\n", weights=[3, 3, 1, 2, 1, 1, 1, 3, 1, 1, 1], k=rnd.randint(0, 40)))
+        spans = [(a, b) for a, b, k, _ in pii.mentions(text) if k == "email"]
+        hosts = [(a, b) for a, b, k, _ in pii.mentions(text) if k == "domain"]
+        assert [(a, d) for (a, _), (_, d) in zip(spans, hosts, strict=True)] == old_emails(text), text
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " @ x", "a@" * 500_000, "1 " * 100_000, "ab:" * 300_000, "Mr A" + "'a" * 100_000, "AB12" * 250_000])
+def test_long_texts_take_little_time(text):
+    start = time.process_time()
+    pii.mentions(text)
+    assert time.process_time() - start < 20
