@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate
 from math import log2
@@ -109,13 +110,16 @@ def entropy_spans(text: bytes, allowed: re.Pattern[bytes]) -> Iterator[tuple[str
         cleared = [m.span() for m in _PART.finditer(word) if STAND_IN.search(m[0])]
         wordlike = _wordlike(word)
         start = end = None
+        near = 0  # parts before this one end before the window
         for i, entropy in enumerate(window_entropies(word)):
             if entropy < min(least, LETTERS_LEAST):
                 continue
             if kind != "entropy_hex":
                 if wordlike(i) or entropy < least and any(48 <= c <= 57 for c in word[i : i + WINDOW]):
                     continue
-            if any(a < i + WINDOW and i < b for a, b in cleared):
+            while near < len(cleared) and cleared[near][1] <= i:
+                near += 1
+            if near < len(cleared) and cleared[near][0] < i + WINDOW:
                 continue
             if end is not None and i > end:
                 yield kind, found.start() + start, found.start() + end
@@ -137,11 +141,15 @@ def spans_of(text: bytes, allowed: re.Pattern[bytes]) -> list[tuple[str, int, in
     if extra or re.search(rb"[0-9a-f]{24}", text):
         base += [("hex", *m.span()) for m in HEX.finditer(text.decode())]
     found = list(base)
-    for kind, start, end in extra:
-        a = len(text[:start].decode())
-        b = a + end - start  # candidates are ASCII
-        if not any(s <= a and b <= e for _, s, e in base):
-            found.append((kind, a, b))
+    starts = sorted((s, e) for _, s, e in base)
+    reach = list(accumulate((e for _, e in starts), max))  # of the base spans up to each
+    byte = place = 0
+    for kind, start, end in extra:  # in order, so each part of the text is counted once
+        place += len(text[byte:start].decode())
+        byte, b = start, place + end - start  # candidates are ASCII
+        at = bisect_right(starts, (place, len(text) + 1))
+        if not at or reach[at - 1] < b:
+            found.append((kind, place, b))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from math import log2
 
 import pytest
@@ -105,3 +106,13 @@ def test_stand_ins_clear_their_own_part_only():
         assert [k for k, _, _ in found] == ["entropy_mixed"], before
         assert found[0][1] <= len(before) and found[0][2] == len(before) + len(token)
     assert entropy_kinds(f"{token}_sample") == [] and entropy_kinds(f"v1/example-{token}") == []
+
+
+def test_many_stand_ins_take_little_time():
+    """A long candidate with many cleared parts: windows and parts are gone through once."""
+    text = ("/sample" + "k3J9xQ2mZ7pL5vT8wR1n/" * 2) * 20_000
+    start = time.process_time()
+    found = s.spans_of(text.encode(), ALLOWED)
+    assert time.process_time() - start < 25
+    small = s.spans_of(text[: 49 * 3].encode(), ALLOWED)
+    assert found[: len(small) - 1] == small[: len(small) - 1]
