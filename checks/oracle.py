@@ -613,6 +613,10 @@ sql(
     + ", ".join(f"{rnd(f'quantile_cont(value, {p})', 4)} as {n}" for n, p in CUTS.items())
     + " from numbers group by 1, 2",
 )
+sql(
+    "sketched_quantiles",
+    "select table_name, column_name, count(value) as non_null, 1 as within_error from numbers group by 1, 2 having count(value) > 0",
+)
 sql(
     "numeric_shape",
     f"select table_name, column_name, {rnd('(max(value) - min(value))', 4)} as value_range, "
@@ -641,6 +645,15 @@ sql(
     + ", ".join(f"{rnd(c, 4)} as {c}" for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound"))
     + f", total_rows, outliers, negative_outliers, min_outlier, max_outlier, max_value, {pct('outliers', 'total_rows')} as outlier_pct from outside",
 )
+sql(
+    "sketched_distinct",
+    " union all ".join(
+        f"select '{t}' as table_name, '{c}' as column_name, count({c}) as non_null, "
+        f"count(distinct {c}) as distinct_values, 1 as within_error from {_cte(t)}"
+        for t, cols in COLUMNS.items()
+        for c in cols
+    ),
+)
 sql(
     "column_profile",
     " union all ".join(

@@ -87,6 +87,14 @@ def null_profile(tables: Mapping[str, DataFrame], tokens: Sequence[str] = NULL_T
     )
 
 
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A column as text, equal values as equal text."""
+    value = F.col(name)
+    if isinstance(df.schema[name].dataType, T.DoubleType):
+        value = value + F.lit(0.0)  # -0.0 is 0.0
+    return value.cast("string").alias(name)
+
+
 def _value_counts(
     tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]]
 ) -> DataFrame:
@@ -96,7 +104,7 @@ def _value_counts(
     """
     texts = [
         tables[t]
-        .select(*[F.col(c).cast("string").alias(c) for c in columns[t]])
+        .select(*[_as_text(tables[t], c) for c in columns[t]])
         .unpivot([], list(columns[t]), "column_name", "value")
         .select(F.lit(t).alias("table_name"), "*")
         for t in columns
@@ -107,28 +115,26 @@ def _value_counts(
 def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Type, nulls, distinct values and an example for every column.
 
-    One aggregation for each table. Distinct values are shuffled as what they are, after
-    being combined on the map side, and never as text.
+    One aggregation by column and value for all tables; a frequent value is combined on the
+    map side, and no task holds the distinct values of a column.
     """
-    parts = []
-    for name, df in tables.items():
-        figures = [F.count(F.lit(1)).alias("n")]
-        for i, c in enumerate(df.columns):
-            text = F.min(F.col(c).cast("string")).alias(f"example{i}")
-            figures += [F.count(c).alias(f"present{i}"), F.count_distinct(c).alias(f"distinct{i}"), text]
-        rows = [
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col(f"present{i}").alias("non_null"),
-                (F.col("n") - F.col(f"present{i}")).alias("nulls"),
-                F.col(f"distinct{i}").alias("distinct_values"),
-                F.col(f"example{i}").alias("example"),
-            )
-            for i, f in enumerate(df.schema)
-        ]
-        parts.append(df.agg(*figures).select(F.lit(name).alias("table_name"), F.inline(F.array(*rows))))
-    return union_all(parts).select(
+    spark = next(iter(tables.values())).sparkSession
+    known = [(t, f.name, f.dataType.simpleString()) for t, df in tables.items() for f in df.schema]
+    columns = spark.createDataFrame(known, "table_name string, column_name string, data_type string")
+    value, n = F.col("value"), F.col("n")
+    figures = (
+        _value_counts(tables, {t: df.columns for t, df in tables.items()})
+        .groupBy(*KEYS)
+        .agg(
+            F.sum(F.when(value.isNotNull(), n).otherwise(0)).alias("non_null"),
+            F.sum(F.when(value.isNull(), n).otherwise(0)).alias("nulls"),
+            F.count("value").alias("distinct_values"),
+            F.min("value").alias("example"),
+        )
+    )
+    # A table without rows has no values to count, but its columns are listed.
+    found = columns.join(figures, KEYS, "left").fillna(0, ["non_null", "nulls", "distinct_values"])
+    return found.select(
         *KEYS,
         "data_type",
         "non_null",

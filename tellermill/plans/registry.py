@@ -12,7 +12,7 @@ from tellermill.bank import Bank
 from tellermill.functions import rules
 from tellermill.functions.money import money_sum, percent
 from tellermill.functions.text import blank_to_null, clean_names, clean_sink_names
-from tellermill.operators import integrity, profile
+from tellermill.operators import integrity, profile, sketches
 from tellermill.operators.outliers import iqr_summary
 from tellermill.operators.quantiles import quantiles
 from tellermill.plans import analytics, dashboard, dims, facts, incremental
@@ -540,6 +540,36 @@ def column_profile(b: Bank) -> DataFrame:
     return profile.column_profile(b.processed)
 
 
+def _stored_sketches(b: Bank) -> DataFrame:
+    """Sketches of all processed tables by month or folder, stored and read back."""
+    parts = {t: F.date_format("date", "yyyy-MM") for t in ("account", "loan", "trans")}
+    rows = [sketches.column_sketches(t, b[t], parts.get(t)) for t in schema.RAW]
+    spark = b["account"].sparkSession
+    folder = work_folder(spark, "sketches")
+    write_parquet(profile.union_all(rows), folder)
+    return read_parquet(spark, folder)
+
+
+@query
+def sketched_distinct(b: Bank) -> DataFrame:
+    """Distinct values of every column, and whether merged sketches come close enough."""
+    estimates = sketches.distinct_estimates(sketches.merged(_stored_sketches(b)))
+    exact = profile.column_profile(b.processed).select(*profile.KEYS, "non_null", "distinct_values")
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= sketches.DISTINCT_ERROR * F.col("distinct_values")
+    return exact.join(estimates.drop("non_null"), profile.KEYS).select(
+        *profile.KEYS, "non_null", "distinct_values", near.cast("int").alias("within_error")
+    )
+
+
+@query
+def sketched_quantiles(b: Bank) -> DataFrame:
+    """Nine quantiles of every number column from merged sketches, held against true ranks."""
+    estimates = sketches.quantile_estimates(sketches.merged(_stored_sketches(b)), profile.PERCENTILES)
+    values = profile.numeric_values(b.processed, schema.NUMERIC_COLUMNS)
+    errors = sketches.rank_errors(values, estimates, profile.PERCENTILES)
+    return errors.select(*profile.KEYS, "non_null", (F.col("rank_error") <= sketches.RANK_ERROR).cast("int").alias("within_error"))
+
+
 @query
 def null_profile(b: Bank) -> DataFrame:
     return profile.null_profile(b.raw)
