@@ -263,14 +263,19 @@ def top_anomalous_accounts(risk: DataFrame, k: int = 20) -> DataFrame:
 def kpi_changes(loan: DataFrame) -> DataFrame:
     """Loans per year and per month, with the change against the period before."""
     started = loan.filter(F.col("loan_start_date").isNotNull())
-    parts = []
-    for unit in ("year", "month"):
-        period = started.groupBy(F.trunc("loan_start_date", unit).alias("period")).agg(
-            F.count("*").alias("loans"),
-            money_sum(F.col("amount")).alias("volume"),
-            percent(F.count_if(defaulted()), F.count("*")).alias("default_rate_pct"),
-        )
-        parts.append(period.select(F.lit(unit).alias("unit"), "*"))
+    monthly = started.groupBy(F.trunc("loan_start_date", "month").alias("month")).agg(
+        F.count("*").alias("n"),
+        F.sum(cents(F.col("amount")).cast("decimal(18,0)")).alias("cents"),
+        F.count_if(defaulted()).alias("defaults"),
+    )
+    # Years are made of months, so the loans are read and shuffled once.
+    units = monthly.select("*", F.explode(F.array(F.lit("year"), F.lit("month"))).alias("unit"))
+    start = F.when(F.col("unit") == "year", F.trunc("month", "year")).otherwise(F.col("month"))
+    periods = units.groupBy("unit", start.alias("period")).agg(
+        F.sum("n").alias("loans"),
+        (F.sum("cents").cast("double") / 100).alias("volume"),
+        percent(F.sum("defaults"), F.sum("n")).alias("default_rate_pct"),
+    )
     # At most one row per calendar year or month.
     before = Window.partitionBy("unit").orderBy("period")
 
@@ -278,7 +283,7 @@ def kpi_changes(loan: DataFrame) -> DataFrame:
         last = F.lag(c).over(before)
         return percent(F.col(c) - last, last)
 
-    return union_all(parts).withColumns(
+    return periods.withColumns(
         {
             "loans_change_pct": grown("loans"),
             "volume_change_pct": grown("volume"),
