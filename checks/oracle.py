@@ -263,6 +263,27 @@ sql(
     "sink_types",
     "select * exclude (stddev_transaction_amount), cast(1 as double) as share from activity",
 )
+sql(
+    "load_summary",
+    " union all ".join(
+        f"select '{m}' as table_name, {n} as row_count, '{o}' as outcome"
+        for m, n, o in [
+            *(
+                (m, f"(select count(*) from {t})", "written")
+                for m, t in {
+                    "dim_client": "client", "dim_account": "account", "dim_loan": "loan", "dim_district": "district",
+                    "dim_disp": "disp", "dim_order": "orders_", "fact_transactions": "trans", "fact_account_transactions": "activity",
+                }.items()
+            ),
+            ("dim_card", "null", "failed"),
+            ("fact_account_summary", "null", "skipped"),
+        ]
+    ),
+)
+sql(
+    "crawled_loans",
+    "select loan_id, account_id, status, amount, case when status not in ('A', 'C') then is_amount_outlier end as is_amount_outlier from dim_loan",
+)
 sql("incremental_history", "select * exclude (is_amount_outlier) from fact_transactions")
 sql("incremental_activity", "select * from activity")
 sql("parse_dates", "select account_id, date from account")

@@ -43,7 +43,7 @@ class StepFailed(RuntimeError):
         self.summary = summary
 
 
-def _each(
+def run_each(
     spark: SparkSession,
     work: Mapping[str, Callable[[], int]],
     inputs: Mapping[str, tuple[str, ...]] | None = None,
@@ -82,7 +82,7 @@ def raw_to_processed(spark: SparkSession, raw: str, processed: str, sep: str = "
             clean(table, df), f"{processed}/{table}", schema.PROCESSED_PARTITIONS[table]
         )
 
-    return _each(spark, {t: lambda t=t: run(t) for t in schema.RAW})
+    return run_each(spark, {t: lambda t=t: run(t) for t in schema.RAW})
 
 
 def raw_to_processed_checked(
@@ -98,7 +98,7 @@ def raw_to_processed_checked(
         )
         return counts[table].accepted
 
-    _each(spark, {t: lambda t=t: run(t) for t in schema.RAW})
+    run_each(spark, {t: lambda t=t: run(t) for t in schema.RAW})
     rows = [(t, n.lines, n.accepted, n.rejected, n.lost_values) for t, n in counts.items()]
     names = "table_name string, lines bigint, accepted bigint, rejected bigint, lost_values bigint"
     return spark.createDataFrame(rows, names)
@@ -144,7 +144,7 @@ def processed_to_curated(spark: SparkSession, processed: str, curated: str) -> D
             ),
         ),
     }
-    return _each(spark, work, STORED_INPUTS)
+    return run_each(spark, work, STORED_INPUTS)
 
 
 def register_curated(spark: SparkSession, curated: str, database: str = "default") -> None:
@@ -169,7 +169,7 @@ def curated_to_warehouse(
             raise ValueError(f"{sent} rows sent, {found} found")
         return found
 
-    return _each(spark, {n: lambda n=n: run(n) for n in schema.CURATED_PARTITIONS})
+    return run_each(spark, {n: lambda n=n: run(n) for n in schema.CURATED_PARTITIONS})
 
 
 def verify_warehouse(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +16,10 @@ from tellermill.functions.text import blank_to_null, clean_names, clean_sink_nam
 from tellermill.operators import integrity, profile, sketches
 from tellermill.operators.outliers import iqr_summary
 from tellermill.operators.quantiles import quantiles
-from tellermill.plans import analytics, dashboard, dims, facts, incremental
+from tellermill.plans import analytics, dashboard, dims, facts, incremental, jobs
 from tellermill.plans.clean import clean
 from tellermill.plans.marts import mart
-from tellermill.sources import quarantine
+from tellermill.sources import catalog, quarantine
 from tellermill.sources.files import (
     detect_separator,
     peek,
@@ -144,6 +145,40 @@ def sink_types(b: Bank) -> DataFrame:
     return for_sink(activity.withColumn("share", F.lit(1).cast("decimal(10,2)")))
 
 
+@query
+def load_summary(b: Bank) -> DataFrame:
+    """A step over the curated tables in which one fails: the others go on, what needs it is skipped."""
+    spark = b["account"].sparkSession
+    folder = work_folder(spark, "curated")
+
+    def save(name: str, df: DataFrame) -> int:
+        if name == "dim_card":
+            raise ValueError("planted")
+        return write_parquet(df, f"{folder}/{name}", schema.CURATED_PARTITIONS[name])
+
+    try:
+        summary = jobs.run_each(spark, {n: partial(save, n, df) for n, df in b.curated().items()}, jobs.STORED_INPUTS)
+    except jobs.StepFailed as failure:
+        summary = failure.summary
+    outcome = F.when(F.col("error").isNull(), "written").when(F.col("error").startswith("skipped"), "skipped").otherwise("failed")
+    return summary.select("table_name", summary["rows"].alias("row_count"), outcome.alias("outcome"))
+
+
+@query
+def crawled_loans(b: Bank) -> DataFrame:
+    """Loans read by name from the catalog, after their folder has gained partitions and a column."""
+    loan = b.dim_loan
+    spark = loan.sparkSession
+    folder = work_folder(spark, "crawled")
+    name = f"loans_{folder.rpartition('-')[2]}"
+    first = F.col("status").isin("A", "C")
+    write_parquet(loan.filter(first).drop("is_amount_outlier"), folder, ["status"])
+    catalog.crawl(spark, name, folder, ["status"])
+    loan.filter(~first).write.mode("append").partitionBy("status").parquet(folder)
+    catalog.crawl(spark, name, folder, ["status"])
+    return spark.table(name).select("loan_id", "account_id", "status", "amount", "is_amount_outlier")
+
+
 # Incremental loads
 
 

@@ -137,3 +137,34 @@ def test_dates_survive_the_database(spark):
     df = spark.createDataFrame([(dt.date(1998, 12, 31),)], "d date")
     jdbc.write_table(df, url, "days", DERBY, connections=1)
     assert jdbc.read_table(spark, url, "days", DERBY).first()[0] == dt.date(1998, 12, 31)
+
+
+def test_crawl_follows_the_folder(spark, tmp_path):
+    """New partitions and columns reach the entry; statistics are there; a changed type is an error."""
+    path, name = str(tmp_path / "crawled"), "default.crawled"
+    rows = spark.createDataFrame([(1, 10, "a"), (2, 20, "b")], "id long, n int, part string")
+    rows.write.partitionBy("part").parquet(path)
+    first = catalog.crawl(spark, name, path, ["part"])
+    assert first.created and first.added_partitions == 2
+    assert catalog.crawl(spark, name, path, ["part"]) == catalog.Crawled()
+    rows.selectExpr("id + 5 as id", "n", "1.5D as extra", "'c' as part").write.mode("append").partitionBy("part").parquet(path)
+    second = catalog.crawl(spark, name, path, ["part"])
+    assert (second.created, second.added_columns, second.added_partitions) == (False, ["extra"], 1)
+    found = {tuple(r) for r in spark.table(name).select("id", "n", "extra", "part").collect()}
+    assert found == {(1, 10, None, "a"), (2, 20, None, "b"), (6, 10, 1.5, "c"), (7, 20, 1.5, "c")}
+    plan = spark.sql(f"select * from {name} where part = 'c'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+    stats = {r["info_name"]: r["info_value"] for r in spark.sql(f"describe extended {name} id").collect()}
+    assert stats["distinct_count"] == "4" and stats["max"] == "7"
+    rows.selectExpr("id", "cast(n as string) as n", "part").write.mode("overwrite").partitionBy("part").parquet(path)
+    with pytest.raises(ValueError, match="changed their type"):
+        catalog.crawl(spark, name, path, ["part"])
+    spark.sql(f"drop table {name}")
+
+
+def test_crawl_without_partitions(spark, tmp_path):
+    path, name = str(tmp_path / "flat"), "default.flat"
+    spark.range(3).write.parquet(path)
+    assert catalog.crawl(spark, name, path, statistics=False) == catalog.Crawled(True, [], 0)
+    assert spark.table(name).count() == 3
+    spark.sql(f"drop table {name}")
