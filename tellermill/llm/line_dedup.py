@@ -4,6 +4,10 @@ A line is the set of its words. Words are ordered by rarity, and a line is only
 with lines that share one of its few rarest words (prefix filter), have a similar number
 of words (length filter), can still reach the overlap behind that word (positional filter)
 and agree in enough bits of a parity signature. What is left is verified on the words.
+
+A line goes if it matches any earlier line, so one match is enough. Where a word is shared
+by many lines, these are first compared with a sample of them, then with larger samples;
+only lines that found no match there are compared with all.
 """
 
 from __future__ import annotations
@@ -13,20 +17,21 @@ from math import log2
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellermill.llm.common import stored, table, text_key
+from tellermill.llm.common import stored, table, text_key, unused
 
 #: Least Jaccard similarity of matching lines, as a fraction; 4/5 by default.
 SIMILARITY = (4, 5)
 #: Rarity is counted by hash slot, so its table has a fixed size; words of a slot share it.
 SLOTS = 1 << 16
-#: Lines to verify that are sent to all executors; beyond, they are joined by a shuffle.
-BROADCAST_LINES = 500_000
-#: Rarest words by which a line is compared with the earliest line that has them.
-LEADERS = 2
+#: Places of lines to verify that are sent to all executors, in bytes; beyond, by a shuffle.
+BROADCAST_BYTES = 32 << 20
+#: Lines that share a prefix word and are all compared at once. Where there are more, they
+#: are first compared with about SAMPLE of them, then with samples SAMPLE times larger.
+GROUP_LINES = 1024
+SAMPLE = 16
 
 _HASH_BITS = 57
 _PLACE = ("null_id", "doc_id", "text_key", "line_no")
-_LAST = (1 << 63) - 1
 
 
 def _words(text: Column) -> Column:
@@ -48,7 +53,9 @@ def rarity(docs: DataFrame) -> Column:
 
 def lines(docs: DataFrame) -> DataFrame:
     """A row for each line of docs: doc_id, text_key, line_no and line."""
-    return docs.select("doc_id", text_key().alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # The key is computed before the texts are cut; else every line would carry its text.
+    cut = docs.select("doc_id", text_key().alias("text_key"), F.split("text", "\n").alias("every"))
+    return cut.select("doc_id", "text_key", F.posexplode("every").alias("line_no", "line"))
 
 
 def _keys(line: Column, classes: Column) -> Column:
@@ -69,8 +76,8 @@ def _ceil_div(a: Column, b: int) -> Column:
 def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The distinct word sets of all lines.
 
-    id, first (the place of the earliest line that has it), n (words), parity, signature
-    (four more words of parity) and prefix: 32-bit hashes of the rarest words, one of which
+    id, first (the place of the earliest line that has it), n (words), even and odd (128
+    parities of the words) and prefix: 32-bit hashes of the rarest words, one of which
     every match of fewer words must have. Equal hashes of different words only add pairs
     to verify.
     """
@@ -80,16 +87,12 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     n = F.size("keys")
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
-    def bit(key: Column) -> Column:
-        return F.call_function("shiftleft", one, key.bitwiseAND(F.lit(63)).cast("int"))
-
-    def parity_of(keys: Column) -> Column:
-        return F.aggregate(keys, none, lambda bits, key: bits.bitwiseXOR(bit(key)))
+    def parity(half: int) -> Column:
+        def bit(key: Column) -> Column:
+            own = F.call_function("shiftleft", one, key.bitwiseAND(F.lit(63)).cast("int"))
+            return F.when(F.shiftright(key, 6).bitwiseAND(F.lit(1)) == half, own).otherwise(none)
 
-    def part(k: int) -> Column:
-        """Parity, by other bits, of the words whose hash falls into a quarter."""
-        own = F.filter("keys", lambda key: F.shiftright(key, 6).bitwiseAND(F.lit(3)) == k)
-        return parity_of(F.transform(own, lambda key: F.shiftright(key, 8)))
+        return F.aggregate("keys", none, lambda bits, key: bits.bitwiseXOR(bit(key)))
 
     prefix = F.slice("keys", 1, n - _ceil_div(p * n, q) + 1)
     small = F.transform(prefix, lambda key: F.shiftright(F.shiftleft(key, 32), 32).cast("int"))
@@ -99,8 +102,8 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         "place",
         F.struct(
             n.alias("n"),
-            parity_of(F.col("keys")).alias("parity"),
-            F.array(*map(part, range(4))).alias("signature"),
+            parity(0).alias("even"),
+            parity(1).alias("odd"),
             small.alias("prefix"),
         ).alias("of"),
     )
@@ -114,23 +117,21 @@ def _most_apart(together: Column, similarity: tuple[int, int]) -> Column:
     return together - 2 * _ceil_div(p * together, p + q)
 
 
-def _plausible(x: DataFrame, y: DataFrame, similarity: tuple[int, int]) -> Column:
-    """Whether two sets pass the length filter and agree in enough bits of the parity."""
+def _plausible(x: _Side, y: _Side, similarity: tuple[int, int]) -> Column:
+    """Whether two sets pass the length filter and agree in enough of the parities."""
     p, q = similarity
-    apart = _most_apart(x["n"] + y["n"], similarity)
-    return (q * F.least(x["n"], y["n"]) >= p * F.greatest(x["n"], y["n"])) & (
-        F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= apart
-    )
+    differ = sum(F.bit_count(x[c].bitwiseXOR(y[c])) for c in ("even", "odd"))
+    return (q * F.least(x["n"], y["n"]) >= p * F.greatest(x["n"], y["n"])) & (differ <= _most_apart(x["n"] + y["n"], similarity))
 
 
-def _reachable(x: DataFrame, y: DataFrame, similarity: tuple[int, int]) -> Column:
+def _reachable(x: _Side, y: _Side, similarity: tuple[int, int]) -> Column:
     """Prefix and positional filter for two sets that share the word at their places `pos`.
 
     The set of fewer words needs fewer of its rarest words for the prefix filter.
     """
     p, q = similarity
 
-    def indexed(s: DataFrame) -> Column:
+    def indexed(s: _Side) -> Column:
         return s["pos"] <= s["n"] - _ceil_div(2 * p * s["n"], p + q)
 
     common = F.least(x["n"] - x["pos"], y["n"] - y["pos"])
@@ -138,19 +139,38 @@ def _reachable(x: DataFrame, y: DataFrame, similarity: tuple[int, int]) -> Colum
     return F.when(x["n"] <= y["n"], indexed(x)).otherwise(indexed(y)) & (common >= _ceil_div(p * together, p + q))
 
 
+class _Side:
+    """Columns of one side of a self-join."""
+
+    def __init__(self, name: str):
+        self.name = name
+
+    def __getitem__(self, column: str) -> Column:
+        return F.col(f"{self.name}.{column}")
+
+
+def _pairs(some: DataFrame, others: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (x, y) of sets that share a prefix word and may match, one of them open."""
+    x, y = _Side("x"), _Side("y")
+    fits = (x["word"] == y["word"]) & (x["open"] | y["open"]) & _reachable(x, y, similarity) & _plausible(x, y, similarity)
+    once = x["id"] < y["id"] if some is others else x["id"] != y["id"]
+    found = some.alias("x").join(others.alias("y"), fits & once)
+    return found.select(F.least(x["id"], y["id"]).alias("x"), F.greatest(x["id"], y["id"]).alias("y")).distinct()
+
+
+def _sent_whole(rows: DataFrame, bytes_each: Column) -> DataFrame:
+    """Stored rows, marked to go to all executors if they are few bytes altogether."""
+    size = rows.agg(F.sum(bytes_each)).first()[0] or 0
+    return F.broadcast(rows) if size <= BROADCAST_BYTES else rows
+
+
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Ids that come later in a pair (x, y) of sets whose words have the similarity."""
     p, q = similarity
-    pairs = pairs.distinct()
-    for c in "xy":
-        pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}")), c)
-    differ = F.zip_with("s_x", "s_y", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
-    least = F.aggregate(differ, F.lit(0), lambda total, d: total + d)
-    pairs = stored(pairs.filter(least <= _most_apart(F.col("n_x") + F.col("n_y"), similarity)).select("x", "y"), "pairs")
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    pairs = stored(pairs, "pairs")
+    ids = pairs.select(F.col("x").alias("id")).unionAll(pairs.select("y")).distinct()
     wanted = stored(sets.join(ids, "id", "left_semi").select("id", "first"), "wanted")
-    if wanted.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
+    wanted = _sent_whole(wanted, 64 + F.octet_length(F.coalesce(F.col("first.doc_id").cast("string"), F.lit(""))))
     own = lines(docs)
     same = own["doc_id"].eqNullSafe(wanted["first.doc_id"])
     for c in _PLACE[2:]:
@@ -170,46 +190,40 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tu
 def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Ids of the sets that match a set of an earlier line.
 
-    Many slightly different copies of a line would all match each other. So every set is
-    first compared with the earliest that shares its rarest or second rarest word,
-    which settles nearly all of such a group; only sets that found no match there are
-    joined with all earlier ones. Nothing is lost: a settled set needs no more matches,
-    and it still counts as an earlier line for others.
+    Many slightly different copies of a line would match each other in pairs without number.
+    So where more than GROUP_LINES sets share a prefix word, they are first compared with
+    about SAMPLE of them, chosen by a hash, then with samples that are SAMPLE times larger
+    each time. A set that found its match is settled: it needs no more, and still counts as
+    an earlier line for others. A set that is left after a sample has few matches in the
+    next one, as about one in SAMPLE of those was in the sample before.
     """
-    order = F.coalesce("first.doc_id", F.lit(_LAST)).alias("order")
-    slim = sets.filter("n > 3")  # lines of three words match equal ones alone
-    near = None
-    for k in range(LEADERS):
-        own = slim.select("id", order, "n", "parity", F.get("prefix", F.lit(k)).alias("word")).filter("word is not null")
-        lead = own.groupBy("word").agg(F.min(F.struct("order", "id", "n", "parity")).alias("e"), F.count(F.lit(1)).alias("c"))
-        lead = lead.filter("c > 1").select("word", "e.id", "e.n", "e.parity")
-        both = own.join(lead, "word").filter((own["id"] != lead["id"]) & _plausible(lead, own, similarity))
-        both = both.select(lead["id"].alias("x"), own["id"].alias("y"))
-        near = both if near is None else near.unionAll(both)
-    settled = stored(_verified(docs, sets, near, similarity), "settled")
-
-    flagged = slim.join(settled, slim["id"] == settled["later"], "left")
-    rows = flagged.select("id", order, "n", "parity", F.col("later").isNull().alias("open"), F.posexplode("prefix").alias("pos", "word"))
+    p, q = similarity
+    slim = sets.filter(F.col("n") * (q - p) >= p)  # smaller sets match equal ones alone
+    slim = slim.select("id", "even", "odd", "n", "prefix")
+
+    def by_word(own: DataFrame) -> DataFrame:
+        return own.select("id", "even", "odd", "open", "n", F.posexplode("prefix").alias("pos", "word"))
+
+    rows = by_word(slim.withColumn("open", F.lit(True)))
+    shared = stored(rows.groupBy("word").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > GROUP_LINES), "shared")
+    hot = stored(rows.join(_sent_whole(shared, F.lit(32)), "word"), "hot")
+    most = shared.agg(F.max("c")).first()[0] or 0
+    settled, sample = None, SAMPLE
+    while sample < most:
+        still = hot
+        chosen = still.filter(F.pmod(F.xxhash64("id"), "c") < sample)
+        if settled is not None:
+            still = still.join(_sent_whole(settled, F.lit(16)), still["id"] == settled["later"], "left_anti")
+        found = _verified(docs, sets, _pairs(chosen, still, similarity), similarity)
+        settled = stored(found if settled is None else settled.unionAll(found).distinct(), "settled")
+        sample *= SAMPLE
+
+    if settled is not None:
+        flagged = slim.join(settled, slim["id"] == settled["later"], "left")
+        rows = by_word(flagged.withColumn("open", F.col("later").isNull()))
     # Both sides are the same rows, so one shuffle serves both.
-    rows = rows.select("word", "id", "order", "parity", "open", "n", "pos")
-    x, y = _Side("x"), _Side("y")
-    later = (x["order"] < y["order"]) | ((x["order"] == y["order"]) & (x["id"] != y["id"]))
-    pairs = rows.alias("x").join(
-        rows.alias("y"),
-        (x["word"] == y["word"]) & y["open"] & later & _reachable(x, y, similarity) & _plausible(x, y, similarity),
-    )
-    rest = _verified(docs, sets, pairs.select(x["id"].alias("x"), y["id"].alias("y")), similarity)
-    return settled.unionAll(rest).distinct()
-
-
-class _Side:
-    """Columns of one side of a self-join."""
-
-    def __init__(self, name: str):
-        self.name = name
-
-    def __getitem__(self, column: str) -> Column:
-        return F.col(f"{self.name}.{column}")
+    rest = _verified(docs, sets, _pairs(rows, rows, similarity), similarity)
+    return rest if settled is None else settled.unionAll(rest).distinct()
 
 
 def without_repeated_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -220,29 +234,35 @@ def without_repeated_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILA
     Earlier means a smaller doc_id (null ids last), then a smaller hash of the text, then a
     smaller line number; rows that repeat both id and text count as one and keep the same
     lines. Lines without words never go. Null texts stay null. `lines` has n_lines (with
-    words) and n_removed. An empty table gives an empty result.
+    words) and n_removed; a column of that name is replaced, other names may be anything.
+    Texts and lines of any length are taken whole. An empty table gives an empty result.
     """
+    if not 0 < similarity[0] <= similarity[1]:
+        raise ValueError("the similarity must lie above 0 and not above 1")
     source = docs.select("doc_id", "text")
     sets = line_sets(source, similarity)
     gone = stored(later_matches(source, sets, similarity), "gone")
     kept = (
         sets.join(gone, sets["id"] == gone["later"], "left_anti")
-        .groupBy(F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key"))
-        .agg(F.collect_set("first.line_no").alias("__kept"))
+        .groupBy(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key"))
+        .agg(F.collect_set("first.line_no").alias("kept"))
     )
     kept = stored(kept, "kept")
-    same = docs["doc_id"].eqNullSafe(kept["__id"]) & (text_key() == kept["__key"])
-    joined = docs.join(kept, same, "left").withColumn("__all", F.split("text", "\n"))
-    numbered = F.transform("__all", lambda line, i: F.struct(line.alias("line"), i.alias("i"), (F.size(_words(line)) > 0).alias("worded")))
-    mine = F.coalesce(F.col("__kept"), F.array().cast("array<int>"))
-    stays = F.filter(numbered, lambda s: ~s["worded"] | F.array_contains(mine, s["i"]))
-    n = F.coalesce(F.size(F.filter(F.col("__all"), lambda line: F.size(_words(line)) > 0)), F.lit(0))
+    columns = [c for c in docs.columns if c != "lines"]
+    rows = docs.select(F.struct(*(docs[c] for c in columns)).alias("of"))
+    text = F.col("of.text")
+    joined = rows.join(kept, F.col("of.doc_id").eqNullSafe(kept["id"]) & (F.xxhash64(text) == kept["key"]), "left")
+
+    # Step by step, as what stands inside a lambda is computed for each line.
+    mine = F.coalesce("kept", F.array().cast("array<int>")).alias("mine")
+    joined = joined.select("of", mine, F.split(text, "\n").alias("every"))
+    numbers = F.transform("every", lambda line, i: F.when(F.trim(line, F.lit(" \t\v\f\r")) == "", i))
+    joined = joined.select("*", F.filter(numbers, lambda i: i.isNotNull()).alias("blank"))
+    n, mine = F.coalesce(F.size("every") - F.size("blank"), F.lit(0)), F.col("mine")
+    left = F.array_join(F.transform(F.array_sort(F.concat(mine, "blank")), lambda i: F.get("every", i)), "\n")
     figures = F.struct(n.cast("long").alias("n_lines"), (n - F.size(mine)).cast("long").alias("n_removed"))
-    return (
-        joined.withColumn("lines", figures)
-        .withColumn("text", F.array_join(F.transform(stays, lambda s: s["line"]), "\n"))
-        .drop("__id", "__key", "__kept", "__all")
-    )
+    new = F.when(n == F.size(mine), text).otherwise(left).alias("text")
+    return joined.select(*(new if c == "text" else F.col("of")[c].alias(c) for c in columns), figures.alias("lines"))
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +271,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated lines; one that has lost all of its lines goes."""
-    columns = docs.columns
-    left = without_repeated_lines(docs).filter((F.col("lines.n_lines") == 0) | (F.col("lines.n_removed") < F.col("lines.n_lines")))
+    """Documents without repeated lines; one that has lost all of its lines goes.
+
+    See without_repeated_lines for odd rows. A column `lines` of the input is given back.
+    """
+    name = unused("lines_before", docs.columns)
+    columns = [F.col(name if c == "lines" else c).alias(c) for c in docs.columns]
+    renamed = docs.withColumnRenamed("lines", name) if "lines" in docs.columns else docs
+    left = without_repeated_lines(renamed).filter((F.col("lines.n_lines") == 0) | (F.col("lines.n_removed") < F.col("lines.n_lines")))
+    if "n_chars" not in docs.columns:
+        return left.select(columns)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(columns)

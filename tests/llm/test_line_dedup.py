@@ -12,7 +12,7 @@ def word_set(line):
     return frozenset(re.findall(r"[^\x20\x09-\x0D]+", line))
 
 
-def brute(rows):
+def brute(rows, similarity=(4, 5)):
     """Rows: doc_id, text, text_key. Every line against all earlier ones."""
     seen, out = [], {}
     for doc_id, text, key in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2])):
@@ -25,7 +25,7 @@ def brute(rows):
                 kept.append(line)
                 continue
             n += 1
-            if any(5 * len(w & v) >= 4 * len(w | v) for v in seen):
+            if any(similarity[1] * len(w & v) >= similarity[0] * len(w | v) for v in seen):
                 gone += 1
             else:
                 kept.append(line)
@@ -53,18 +53,64 @@ def corpus(seed):
     return rows + ODD
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+def results(found):
+    return sorted((repr(r["doc_id"]), repr(r["text"]), r["lines"]["n_lines"], r["lines"]["n_removed"]) for r in found)
+
+
+def expected(keyed, similarity=(4, 5)):
+    want = brute(keyed, similarity)
+    return sorted((repr(d), repr(want[d, k][0]), *want[d, k][1:]) for d, _, k in keyed)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
 def test_against_all_pairs(make_docs, monkeypatch, seed):
-    if seed == 2:
-        monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
-    docs = make_docs(corpus(seed)).withColumn("__kept", F.lit(1)).withColumn("lines", F.lit("mine")).drop("__kept")
+    """Also with a shuffle in place of a broadcast, and with samples for shared words."""
+    if seed > 1:
+        monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(line_dedup, "GROUP_LINES", seed)
+        monkeypatch.setattr(line_dedup, "SAMPLE", seed)
+    docs = make_docs(corpus(seed))
+    for name in ("lines", "kept", "id", "key", "of", "first", "word", "order", "__kept", "__id"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    keyed = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
+    found = line_dedup.without_repeated_lines(docs)
+    assert found.columns == [*(c for c in docs.columns if c != "lines"), "lines"]
+    got = found.collect()
+    assert results(got) == expected(keyed) and {r["kept"] for r in got} == {"mine"}
+
+
+@pytest.mark.parametrize("similarity", [(1, 2), (2, 3), (9, 10), (1, 1)])
+def test_other_similarities(make_docs, similarity):
+    docs = make_docs(corpus(4) + [(900, "a"), (901, "a b"), (902, "b c"), (903, "c d e"), (904, "c e")])
     keyed = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
-    got = line_dedup.without_repeated_lines(docs.drop("lines")).withColumn("k", F.xxhash64("text")).collect()
-    expected = brute(keyed)
-    assert len(got) == docs.count()
-    mine = sorted((repr(r["doc_id"]), repr(r["text"]), r["lines"]["n_lines"], r["lines"]["n_removed"]) for r in got)
-    theirs = sorted((repr(d), repr(expected[d, k][0]), *expected[d, k][1:]) for d, _, k in keyed)
-    assert mine == theirs
+    assert results(line_dedup.without_repeated_lines(docs, similarity).collect()) == expected(keyed, similarity)
+
+
+def test_many_copies_make_few_pairs(make_docs, monkeypatch):
+    """Thousands of slightly different copies: far fewer rows than their pairs, and whole results."""
+    rnd = random.Random(9)
+    base = [f"b{k}" for k in range(40)]
+    rows = []
+    for k in range(1500):
+        line = list(base)
+        for _ in range(3):
+            line[rnd.randrange(40)] = f"x{rnd.randint(0, 10**6)}"
+        rows.append((k, " ".join(line)))
+    made = []
+    verified = line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda d, s, pairs, q: made.append(pairs.count()) or verified(d, s, pairs, q))
+    docs = make_docs(rows)
+    keyed = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
+    assert results(line_dedup.without_repeated_lines(docs).collect()) == expected(keyed)
+    assert len(made) > 1 and sum(made) < 1500 * 1499 / 2 / 4
+
+
+def test_a_text_of_many_lines(make_docs):
+    """A megabyte in one text: half of its lines repeat."""
+    text = "\n".join(f"line {k % 15_000} of a long text" for k in range(30_000))
+    got = line_dedup.without_repeated_lines(make_docs([(1, text + "\n"), (2, "own words here")])).collect()
+    assert {r["doc_id"]: tuple(r["lines"]) for r in got} == {1: (30_000, 15_000), 2: (1, 0)}
+    assert next(r["text"] for r in got if r["doc_id"] == 1) == text[: len(text) // 2 + 1].rsplit("\n", 1)[0] + "\n"
 
 
 def test_stage_drops_documents_without_lines(spark, make_docs, tmp_path):
