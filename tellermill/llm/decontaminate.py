@@ -31,6 +31,7 @@ from tellermill.llm.common import (
     table,
     text_bytes,
     text_key,
+    unused,
 )
 
 WINDOW = 13
@@ -192,7 +193,8 @@ def with_contamination(
     A benchmark item shorter than a window is itself one window. A null or wordless text
     has no words and is clean; a null or wordless item matches nothing; an item without id
     hits words but is not listed; rows that repeat an item id count as one item. An empty
-    benchmark leaves every document clean. Documents are scanned once for each benchmark
+    benchmark leaves every document clean. A column of the given name is replaced, other
+    names may be anything. Texts of any length are read whole. Documents are scanned once for each benchmark
     block, and only hits leave the scan when there are several.
     """
     if not 0 < gram <= window:
@@ -208,19 +210,20 @@ def with_contamination(
     ]
     if blocks == 1:
         return docs.withColumn(name, _report(F.array(matchers[0](F.col("text")))))
-    own = docs.withColumn("__key", text_key())
+    key, id_, of = (unused(c, [*docs.columns, name]) for c in ("__key", "__id", "__of"))
+    own = docs.drop(name).withColumn(key, text_key())
     hits = reduce(
         DataFrame.unionAll,
-        (own.select("doc_id", "__key", m(F.col("text")).alias("hit")) for m in matchers),
+        (own.select("doc_id", F.col(key).alias("key"), m(F.col("text")).alias("hit")) for m in matchers),
     )
     merged = (
         hits.distinct()
-        .groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__of"))
+        .groupBy(F.col("doc_id").alias(id_), F.col("key").alias(of))
         .agg(F.collect_list("hit").alias("hits"))
-        .select("__id", "__of", _report("hits").alias(name))
+        .select(id_, of, _report("hits").alias(name))
     )
-    same = own["doc_id"].eqNullSafe(merged["__id"]) & (own["__key"] == merged["__of"])
-    return own.join(merged, same).drop("__key", "__id", "__of")
+    same = own["doc_id"].eqNullSafe(merged[id_]) & (own[key] == merged[of])
+    return own.join(merged, same).drop(key, id_, of)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,10 +233,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated."""
+    """Documents that are not contaminated; see with_contamination for odd rows."""
     columns = docs.columns
-    found = with_contamination(docs, table(spark, sf_dir, "benchmark"), "__found")
-    return found.filter(~F.col("__found.contaminated")).select(columns)
+    name = unused("__found", columns)
+    found = with_contamination(docs, table(spark, sf_dir, "benchmark"), name)
+    return found.filter(~F.col(f"{name}.contaminated")).select(columns)
 
 
 ORACLE = r"""

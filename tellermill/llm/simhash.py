@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellermill.llm.common import LONG, stored, struct, table, text_bytes, text_key
+from tellermill.llm.common import LONG, stored, struct, table, text_bytes, text_key, unused
 from tellermill.llm.graph import components
 
 SHINGLE = 3
@@ -248,16 +248,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id, then the smallest text hash."""
+    """One document of each group: the one with the smallest id, then the smallest text hash.
+
+    See near_duplicates for odd rows. Other columns may have any names.
+    """
     found = stored(near_duplicates(docs.select("doc_id", "text")), "groups")
-    own = found.select(F.col("root").alias("__root"), F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    order = F.struct(F.col("__id").isNull(), "__id", "__key")
-    first = own.groupBy("__root").agg(F.min(order).alias("first")).select("__root", "first.__id", "first.__key")
+    root, id_, key = (unused(c, docs.columns) for c in ("__root", "__id", "__key"))
+    own = found.select(F.col("root").alias(root), F.col("doc_id").alias(id_), F.col("text_key").alias(key))
+    order = F.struct(F.col(id_).isNull(), id_, key)
+    first = own.groupBy(root).agg(F.min(order).alias("first")).select(root, f"first.{id_}", f"first.{key}")
     first = stored(first, "kept")
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]) & (text_key() == first["__key"]))
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first[id_]) & (text_key() == first[key]))
     # Rows that repeat both id and text are rare; only those are grouped whole.
-    again = own.groupBy("__root", "__id", "__key").count().filter("count > 1").select("__root").distinct()
+    again = own.groupBy(root, id_, key).count().filter("count > 1").select(root).distinct()
     again = stored(again, "again")
-    single = kept.join(again, "__root", "left_anti")
-    repeated = kept.join(again, "__root", "left_semi").dropDuplicates(["__root"])
+    single = kept.join(again, root, "left_anti")
+    repeated = kept.join(again, root, "left_semi").dropDuplicates([root])
     return single.unionByName(repeated).select(docs.columns)

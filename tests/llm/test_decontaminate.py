@@ -66,3 +66,25 @@ def test_empty_tables_and_other_columns(spark, make_docs):
     assert found.columns == [*docs.columns, "contamination"]
     assert found.first()["contamination"]["contaminated"] is False
     assert decontaminate.with_contamination(docs.limit(0), none).count() == 0
+
+
+def test_clashing_names(spark, make_docs):
+    """In one block and in several, a column of the name is replaced and others stay."""
+    passage = " ".join(f"w{k}" for k in range(20))
+    docs = make_docs([(1, passage), (2, "clean words only"), (2, "clean words only"), (None, None)])
+    for name in ("__found", "__key", "__id", "__of", "hits", "key", "contamination"):
+        docs = docs.withColumn(name, F.lit(name))
+    bench = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    for more in ({}, {"block_bytes": 10}):
+        found = decontaminate.with_contamination(docs, bench, **more)
+        assert sorted(found.columns) == sorted(docs.columns)
+        assert {r["__key"] for r in found.collect()} == {"__key"}
+        assert sorted(r["contamination"]["contaminated"] for r in found.collect()) == [False, False, False, True]
+
+
+def test_a_text_of_a_megabyte(spark, make_docs):
+    passage = " ".join(f"w{k}" for k in range(40))
+    docs = make_docs([(1, "x y z " * 150_000 + passage + " a" * 100_000)])
+    bench = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    found = decontaminate.with_contamination(docs, bench).first()["contamination"]
+    assert (found["n_words"], found["n_hit"], found["contaminated"]) == (550_040, 40, False)

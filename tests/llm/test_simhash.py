@@ -91,3 +91,12 @@ def test_groups_and_stage(spark, make_docs, tmp_path):
     assert kept.columns == docs.columns
     assert kept.count() == len(set(classes))
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_stage_with_clashing_names(make_docs, tmp_path):
+    docs = make_docs([(1, "a b c d"), (2, "a b c d"), (3, "other words in here"), (3, "other words in here")])
+    for name in ("__root", "__id", "__key", "first", "count", "root", "print"):
+        docs = docs.withColumn(name, F.lit(name))
+    kept = simhash.stage(docs.sparkSession, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["__root"], r["__id"]) for r in kept.collect()) == [(1, "__root", "__id"), (3, "__root", "__id")]
