@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tellermill.llm.common import INT, STRING, stored, struct, table, text_key
+from tellermill.llm.common import INT, STRING, stored, struct, table, text_key, unused
 
 # Titles before a name, by the gender they tell.
 TITLES = {
@@ -446,32 +446,34 @@ def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     name are entities of their own, so a surname alone still refers to the same person. Names
     count in the whole of a document that has them behind a title, and in no other.
     Null stays null, and texts without personal data stay as they are. Rows that repeat an
-    id and a text are treated alike. Only mentions and texts that have some are shuffled.
+    id and a text are treated alike. A column n_replaced is replaced, other names may be
+    anything. Texts of any length are read whole. An empty table gives an empty result. Only mentions and texts that have some are shuffled.
     """
-    found = docs.withColumn("__found", _mentions("text"))
-    mention = found.select("doc_id", text_key().alias("__key"), F.explode("__found").alias("m"))
-    own = stored(mention.select("doc_id", "__key", "m.kind", "m.entity").distinct(), "mentions")
+    spans, id_, of, fresh = (unused(c, [*docs.columns, "n_replaced"]) for c in ("__found", "__id", "__of", "__new"))
+    found = docs.drop("n_replaced").withColumn(spans, _mentions("text"))
+    mention = found.select("doc_id", text_key().alias("key"), F.explode(spans).alias("m"))
+    own = stored(mention.select("doc_id", "key", "m.kind", "m.entity").distinct(), "mentions")
     table_ = stored(surrogates(own.select("kind", "entity").distinct(), key), "table")
     new = (
         own.join(table_, ["kind", "entity"])
-        .groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__of"))
-        .agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias("__new"))
+        .groupBy(F.col("doc_id").alias(id_), F.col("key").alias(of))
+        .agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias(fresh))
     )
 
     @F.arrow_udf(STRING)
-    def written_anew(text: pa.Array, spans: pa.Array, pairs: pa.Array) -> pa.Array:
+    def written_anew(text: pa.Array, places: pa.Array, pairs: pa.Array) -> pa.Array:
         out = []
-        for t, found_, known in zip(text.to_pylist(), spans.to_pylist(), pairs.to_pylist(), strict=True):
+        for t, found_, known in zip(text.to_pylist(), places.to_pylist(), pairs.to_pylist(), strict=True):
             spans_ = [(m["start"], m["end"], m["kind"], m["entity"]) for m in found_]
             out.append(replaced(t, spans_, {(p["kind"], p["entity"]): p["surrogate"] for p in known}))
         return pa.array(out, pa.string())
 
-    n = F.coalesce(F.size("__found"), F.lit(0)).cast("long")
-    plain = found.filter(F.size("__found") == 0).withColumn("n_replaced", n).drop("__found")
-    some = found.filter(F.size("__found") > 0).withColumn("n_replaced", n)
-    same = some["doc_id"].eqNullSafe(new["__id"]) & (text_key() == new["__of"])
-    changed = some.join(new, same).withColumn("text", written_anew("text", "__found", "__new"))
-    return plain.unionByName(changed.drop("__found", "__id", "__of", "__new"))
+    n = F.coalesce(F.size(spans), F.lit(0)).cast("long")
+    plain = found.filter(F.size(spans) == 0).withColumn("n_replaced", n).drop(spans)
+    some = found.filter(F.size(spans) > 0).withColumn("n_replaced", n)
+    same = some["doc_id"].eqNullSafe(new[id_]) & (text_key() == new[of])
+    changed = some.join(new, same).withColumn("text", written_anew("text", spans, fresh))
+    return plain.unionByName(changed.drop(spans, id_, of, fresh))
 
 
 #: The key of the registered query. Real runs pass a secret of their own.

@@ -160,7 +160,10 @@ def with_secrets(docs: DataFrame, name: str = "secrets", allowed: tuple[bytes, .
     hex; the entropy kinds add windows of high entropy that no fixed span contains, except
     in candidates that an allow-list pattern matches as a whole, windows of letters that read
     as words, and those in or over a part between / and = with a stand-in such as "example".
-    A null or empty text has no spans. Work is local to a row: nothing is shuffled.
+    A null or empty text has no spans, equal texts have equal ones, and texts of any length
+    are read whole, in time that grows with them. A column of the given name is replaced,
+    other names may be anything. Work is local to a row: nothing is shuffled. An empty table
+    gives an empty result.
     """
     pattern = re.compile(b"|".join(b"(?:%b)" % p for p in allowed) or b"(?!)")
 

@@ -211,3 +211,14 @@ def test_long_texts_take_little_time(text):
     start = time.process_time()
     pii.mentions(text)
     assert time.process_time() - start < 20
+
+
+def test_clashing_names(make_docs):
+    docs = make_docs([(1, "write to a.b@c.de"), (2, "nothing"), (None, None)])
+    for name in ("__found", "__id", "__of", "__new", "key", "kind", "entity", "m"):
+        docs = docs.withColumn(name, F.lit(name))
+    found = pii.with_surrogates(docs.withColumn("n_replaced", F.lit("old")), KEY)
+    assert sorted(found.columns) == sorted([*docs.columns, "n_replaced"])
+    rows = {r["doc_id"]: r for r in found.collect()}
+    assert rows[1]["n_replaced"] == 2 and "a.b@c.de" not in rows[1]["text"] and rows[2]["__of"] == "__of" and rows[None]["text"] is None
+    assert pii.with_surrogates(docs.limit(0), KEY).count() == 0
