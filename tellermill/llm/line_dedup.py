@@ -5,9 +5,11 @@ with lines that share one of its few rarest words (prefix filter), have a simila
 of words (length filter), can still reach the overlap behind that word (positional filter)
 and agree in enough bits of a parity signature. What is left is verified on the words.
 
-A line goes if it matches any earlier line, so one match is enough. Where a word is shared
-by many lines, these are first compared with a sample of them, then with larger samples;
-only lines that found no match there are compared with all.
+A line goes if it matches any earlier line, so one match is enough, and sets are numbered
+in the order of their first lines. Where a word is shared by some lines, these are first
+compared with the earliest ones of them; where it is shared by many, with a sample as well,
+then with larger samples. Only lines that found no match there are compared with all
+earlier ones.
 """
 
 from __future__ import annotations
@@ -25,17 +27,22 @@ SIMILARITY = (4, 5)
 SLOTS = 1 << 16
 #: Places of lines to verify that are sent to all executors, in bytes; beyond, by a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Lines that share a prefix word and are not compared with the earliest of them beforehand;
+#: these are LEADERS lines, the first of each class by a hash.
+FEW_LINES = 16
+LEADERS = 4
 #: Lines that share a prefix word and are all compared at once. Where there are more, they
 #: are first compared with about SAMPLE of them, then with samples SAMPLE times larger.
 GROUP_LINES = 1024
 SAMPLE = 16
 
 _HASH_BITS = 57
+_BLANKS = " \t\v\f\r"
 _PLACE = ("null_id", "doc_id", "text_key", "line_no")
 
 
 def _words(text: Column) -> Column:
-    for blank in "\t\v\f\r":
+    for blank in _BLANKS[1:]:
         text = F.replace(text, F.lit(blank), F.lit(" "))
     return F.array_remove(F.split(text, " "), "")
 
@@ -79,11 +86,13 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     id, first (the place of the earliest line that has it), n (words), even and odd (128
     parities of the words) and prefix: 32-bit hashes of the rarest words, one of which
     every match of fewer words must have. Equal hashes of different words only add pairs
-    to verify.
+    to verify. A smaller id means an earlier place.
     """
     p, q = similarity
     place = F.struct(F.col("doc_id").isNull().alias("null_id"), *(F.col(c) for c in _PLACE[1:]))
-    keyed = lines(docs).select(place.alias("place"), _keys(F.col("line"), rarity(docs)).alias("keys"))
+    # Lines without words go first, and by their text: a filter on the keys computes them twice.
+    worded = lines(docs).filter(F.trim("line", F.lit(_BLANKS)) != "")
+    keyed = worded.select(place.alias("place"), _keys(F.col("line"), rarity(docs)).alias("keys"))
     n = F.size("keys")
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
@@ -96,7 +105,7 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
 
     prefix = F.slice("keys", 1, n - _ceil_div(p * n, q) + 1)
     small = F.transform(prefix, lambda key: F.shiftright(F.shiftleft(key, 32), 32).cast("int"))
-    found = keyed.filter(n > 0).select(
+    found = keyed.select(
         F.xxhash64("keys").alias("set_a"),
         F.xxhash64(F.lit("b"), "keys").alias("set_b"),
         "place",
@@ -108,7 +117,8 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         ).alias("of"),
     )
     sets = found.groupBy("set_a", "set_b").agg(F.min("place").alias("first"), F.any_value("of").alias("of"))
-    return stored(sets.select(F.monotonically_increasing_id().alias("id"), "first", "of.*"), "sets")
+    # Rising numbers by partition and row, so they follow the sort.
+    return stored(sets.orderBy("first").select(F.monotonically_increasing_id().alias("id"), "first", "of.*"), "sets")
 
 
 def _most_apart(together: Column, similarity: tuple[int, int]) -> Column:
@@ -149,13 +159,22 @@ class _Side:
         return F.col(f"{self.name}.{column}")
 
 
-def _pairs(some: DataFrame, others: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (x, y) of sets that share a prefix word and may match, one of them open."""
+def _pairs(earlier: DataFrame, later: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (x, y) of sets that share a prefix word and may match, x earlier and y open."""
     x, y = _Side("x"), _Side("y")
-    fits = (x["word"] == y["word"]) & (x["open"] | y["open"]) & _reachable(x, y, similarity) & _plausible(x, y, similarity)
-    once = x["id"] < y["id"] if some is others else x["id"] != y["id"]
-    found = some.alias("x").join(others.alias("y"), fits & once)
-    return found.select(F.least(x["id"], y["id"]).alias("x"), F.greatest(x["id"], y["id"]).alias("y")).distinct()
+    fits = (x["word"] == y["word"]) & y["open"] & (x["id"] < y["id"]) & _reachable(x, y, similarity) & _plausible(x, y, similarity)
+    found = earlier.alias("x").join(later.alias("y"), fits)
+    return found.select(x["id"].alias("x"), y["id"].alias("y")).distinct()
+
+
+def _led(rows: DataFrame, slim: DataFrame, shared: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (x, y) that may match of leaders x of a shared word and later sets y with it."""
+    leaders = shared.select("word", F.explode(F.array_compact("leaders")).alias("id"))
+    leaders = slim.drop("prefix").join(_sent_whole(leaders, F.lit(32)), "id")
+    leaders = _sent_whole(stored(leaders, "leaders"), F.lit(64))
+    x, y = _Side("x"), _Side("y")
+    fits = (x["word"] == y["word"]) & (x["id"] < y["id"]) & _plausible(x, y, similarity)
+    return rows.alias("y").join(leaders.alias("x"), fits).select(x["id"].alias("x"), y["id"].alias("y")).distinct()
 
 
 def _sent_whole(rows: DataFrame, bytes_each: Column) -> DataFrame:
@@ -165,7 +184,7 @@ def _sent_whole(rows: DataFrame, bytes_each: Column) -> DataFrame:
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Ids that come later in a pair (x, y) of sets whose words have the similarity."""
+    """Ids y of the pairs (x, y) of sets whose words have the similarity."""
     p, q = similarity
     pairs = stored(pairs, "pairs")
     ids = pairs.select(F.col("x").alias("id")).unionAll(pairs.select("y")).distinct()
@@ -176,26 +195,28 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tu
     for c in _PLACE[2:]:
         same = same & (own[c] == wanted[f"first.{c}"])
     # Words as 64-bit hashes: as exact as any hash join, and a third of their size.
-    words = F.array_distinct(F.transform(_words(F.col("line")), lambda word: F.xxhash64(word))).alias("words")
+    words = F.array_distinct(F.transform(_words(F.col("line")), lambda word: F.xxhash64(word)))
     # Rows that repeat both id and text give the same line again.
-    found = own.join(wanted, same).groupBy("id").agg(F.any_value(F.struct("first", words)).alias("of"))
+    found = own.join(wanted, same).groupBy("id").agg(F.any_value(words).alias("words"))
     found = stored(found, "words")
-    x, y = (found.select(F.col("id").alias(c), F.col("of").alias(f"of_{c}")) for c in "xy")
-    common = F.size(F.array_intersect("of_x.words", "of_y.words"))
-    either = F.size("of_x.words") + F.size("of_y.words") - common
-    later = F.when(F.col("of_x.first") < F.col("of_y.first"), F.col("y")).otherwise(F.col("x"))
-    return pairs.join(x, "x").join(y, "y").filter(q * common >= p * either).select(later.alias("later")).distinct()
+    x, y = (found.select(F.col("id").alias(c), F.col("words").alias(f"of_{c}")) for c in "xy")
+    common = F.size(F.array_intersect("of_x", "of_y"))
+    either = F.size("of_x") + F.size("of_y") - common
+    matching = pairs.join(x, "x").join(y, "y").filter(q * common >= p * either)
+    return matching.select(F.col("y").alias("later")).distinct()
 
 
 def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Ids of the sets that match a set of an earlier line.
 
     Many slightly different copies of a line would match each other in pairs without number.
-    So where more than GROUP_LINES sets share a prefix word, they are first compared with
-    about SAMPLE of them, chosen by a hash, then with samples that are SAMPLE times larger
-    each time. A set that found its match is settled: it needs no more, and still counts as
-    an earlier line for others. A set that is left after a sample has few matches in the
-    next one, as about one in SAMPLE of those was in the sample before.
+    So where more than FEW_LINES sets share a prefix word, they are first compared with the
+    LEADERS earliest of them, by classes of a hash. Where more than GROUP_LINES share it,
+    they are also compared with about SAMPLE of them, chosen by a hash, then with samples
+    that are SAMPLE times larger each time. A set that found its match is settled: it needs
+    no more, and still counts as an earlier line for others. A set that is left after a
+    sample has few matches in the next one, as about one in SAMPLE of those was in the
+    sample before.
     """
     p, q = similarity
     slim = sets.filter(F.col("n") * (q - p) >= p)  # smaller sets match equal ones alone
@@ -205,25 +226,34 @@ def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int])
         return own.select("id", "even", "odd", "open", "n", F.posexplode("prefix").alias("pos", "word"))
 
     rows = by_word(slim.withColumn("open", F.lit(True)))
-    shared = stored(rows.groupBy("word").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > GROUP_LINES), "shared")
-    hot = stored(rows.join(_sent_whole(shared, F.lit(32)), "word"), "hot")
-    most = shared.agg(F.max("c")).first()[0] or 0
+    drawn = F.pmod(F.xxhash64("id"), F.lit(LEADERS))
+    leaders = F.array(*(F.min(F.when(drawn == k, F.col("id"))) for k in range(LEADERS))).alias("leaders")
+    counts = rows.groupBy("word").agg(F.count(F.lit(1)).alias("c"), leaders)
+    shared = stored(counts.filter(F.col("c") > min(FEW_LINES, GROUP_LINES)), "shared")
+    pairs = _led(rows, slim, shared, similarity)
+    common = shared.filter(F.col("c") > GROUP_LINES).select("word", "c")
+    most = common.agg(F.max("c")).first()[0] or 0
+    hot = stored(rows.join(_sent_whole(common, F.lit(32)), "word"), "hot") if most else None
     settled, sample = None, SAMPLE
-    while sample < most:
-        still = hot
-        chosen = still.filter(F.pmod(F.xxhash64("id"), "c") < sample)
-        if settled is not None:
-            still = still.join(_sent_whole(settled, F.lit(16)), still["id"] == settled["later"], "left_anti")
-        found = _verified(docs, sets, _pairs(chosen, still, similarity), similarity)
+    while True:
+        if sample < most:
+            still = hot
+            if settled is not None:
+                still = still.join(_sent_whole(settled, F.lit(16)), still["id"] == settled["later"], "left_anti")
+            chosen = hot.filter(F.pmod(F.xxhash64("id"), "c") < sample)
+            drawn = _pairs(chosen, still, similarity)
+            pairs = drawn if settled is not None else pairs.unionAll(drawn).distinct()
+        elif settled is not None:
+            break
+        found = _verified(docs, sets, pairs, similarity)
         settled = stored(found if settled is None else settled.unionAll(found).distinct(), "settled")
         sample *= SAMPLE
 
-    if settled is not None:
-        flagged = slim.join(settled, slim["id"] == settled["later"], "left")
-        rows = by_word(flagged.withColumn("open", F.col("later").isNull()))
+    flagged = slim.join(settled, slim["id"] == settled["later"], "left")
+    rows = by_word(flagged.withColumn("open", F.col("later").isNull()))
     # Both sides are the same rows, so one shuffle serves both.
     rest = _verified(docs, sets, _pairs(rows, rows, similarity), similarity)
-    return rest if settled is None else settled.unionAll(rest).distinct()
+    return settled.unionAll(rest).distinct()
 
 
 def without_repeated_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -256,7 +286,7 @@ def without_repeated_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILA
     # Step by step, as what stands inside a lambda is computed for each line.
     mine = F.coalesce("kept", F.array().cast("array<int>")).alias("mine")
     joined = joined.select("of", mine, F.split(text, "\n").alias("every"))
-    numbers = F.transform("every", lambda line, i: F.when(F.trim(line, F.lit(" \t\v\f\r")) == "", i))
+    numbers = F.transform("every", lambda line, i: F.when(F.trim(line, F.lit(_BLANKS)) == "", i))
     joined = joined.select("*", F.filter(numbers, lambda i: i.isNotNull()).alias("blank"))
     n, mine = F.coalesce(F.size("every") - F.size("blank"), F.lit(0)), F.col("mine")
     left = F.array_join(F.transform(F.array_sort(F.concat(mine, "blank")), lambda i: F.get("every", i)), "\n")

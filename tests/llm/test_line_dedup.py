@@ -105,6 +105,27 @@ def test_many_copies_make_few_pairs(make_docs, monkeypatch):
     assert len(made) > 1 and sum(made) < 1500 * 1499 / 2 / 4
 
 
+def test_pairs_grow_with_the_copies(make_docs, monkeypatch):
+    """Groups of copies below GROUP_LINES: four times the copies make no more than six times the pairs."""
+    rnd = random.Random(10)
+    made = []
+    verified = line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda d, s, pairs, q: made.append(pairs.count()) or verified(d, s, pairs, q))
+    sums = []
+    for copies in (200, 800):
+        rows = []
+        for k in range(copies):
+            line = [f"b{j}" for j in range(40)]
+            line[rnd.randrange(40)] = f"x{k}"
+            rows.append((k, " ".join(line)))
+        docs = make_docs(rows)
+        keyed = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
+        assert results(line_dedup.without_repeated_lines(docs).collect()) == expected(keyed)
+        sums.append(sum(made))
+        made.clear()
+    assert sums[1] <= 6 * sums[0]
+
+
 def test_a_text_of_many_lines(make_docs):
     """A megabyte in one text: half of its lines repeat."""
     text = "\n".join(f"line {k % 15_000} of a long text" for k in range(30_000))
