@@ -29,8 +29,8 @@ SLOTS = 1 << 16
 BROADCAST_BYTES = 32 << 20
 #: Lines that share a prefix word and are not compared with the earliest of them beforehand;
 #: these are LEADERS lines, the first of each class by a hash.
-FEW_LINES = 16
-LEADERS = 4
+FEW_LINES = 32
+LEADERS = 2
 #: Lines that share a prefix word and are all compared at once. Where there are more, they
 #: are first compared with about SAMPLE of them, then with samples SAMPLE times larger.
 GROUP_LINES = 1024
@@ -41,27 +41,35 @@ _BLANKS = " \t\v\f\r"
 _PLACE = ("null_id", "doc_id", "text_key", "line_no")
 
 
-def _words(text: Column) -> Column:
+def _spaced(text: Column) -> Column:
+    """The text with a space for every blank but line ends; few texts have any of those."""
+    spaced = text
     for blank in _BLANKS[1:]:
-        text = F.replace(text, F.lit(blank), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    return F.when(text.rlike(f"[{_BLANKS[1:]}]"), spaced).otherwise(text)
+
+
+def _words(line: Column) -> Column:
+    """The words of a text whose blanks are spaces."""
+    return F.array_remove(F.split(line, " "), "")
 
 
 def rarity(docs: DataFrame) -> Column:
     """Array of 6-bit frequency classes by slot, two classes for each doubling of the count."""
-    words = docs.select(F.explode(_words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("w"))
+    text = F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" "))
+    words = docs.select(F.explode(_words(text)).alias("w"))
     slot = F.xxhash64("w").bitwiseAND(F.lit(SLOTS - 1))
     counts = words.groupBy(slot.alias("slot")).count().collect()  # SLOTS rows at most
     classes = ["0"] * SLOTS
     for r in counts:
         classes[r["slot"]] = str(min(63, int(2 * log2(r["count"] + 1))))
-    return F.split(F.lit(",".join(classes)), ",").cast("array<int>")
+    return F.split(F.lit(",".join(classes)), ",").cast("array<bigint>")
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """A row for each line of docs: doc_id, text_key, line_no and line."""
+    """A row for each line of docs: doc_id, text_key, line_no and line, its blanks as spaces."""
     # The key is computed before the texts are cut; else every line would carry its text.
-    cut = docs.select("doc_id", text_key().alias("text_key"), F.split("text", "\n").alias("every"))
+    cut = docs.select("doc_id", text_key().alias("text_key"), F.split(_spaced(F.col("text")), "\n").alias("every"))
     return cut.select("doc_id", "text_key", F.posexplode("every").alias("line_no", "line"))
 
 
@@ -70,7 +78,7 @@ def _keys(line: Column, classes: Column) -> Column:
     hashed = F.array_distinct(F.transform(_words(line), lambda word: F.xxhash64(word)))
 
     def key(h: Column) -> Column:
-        rank = F.element_at(classes, (h.bitwiseAND(F.lit(SLOTS - 1)) + 1).cast("int")).cast("long")
+        rank = F.get(classes, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int"))
         return F.shiftleft(rank, _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
 
     return F.sort_array(F.transform(hashed, key))
@@ -91,18 +99,21 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     p, q = similarity
     place = F.struct(F.col("doc_id").isNull().alias("null_id"), *(F.col(c) for c in _PLACE[1:]))
     # Lines without words go first, and by their text: a filter on the keys computes them twice.
-    worded = lines(docs).filter(F.trim("line", F.lit(_BLANKS)) != "")
+    worded = lines(docs).filter(F.trim("line") != "")
     keyed = worded.select(place.alias("place"), _keys(F.col("line"), rarity(docs)).alias("keys"))
     n = F.size("keys")
-    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    none = F.lit(0).cast("long")
+
+    def parity(bit) -> Column:
+        """Parities, by the last six bits, of the keys for which bit is 1."""
 
-    def parity(half: int) -> Column:
-        def bit(key: Column) -> Column:
-            own = F.call_function("shiftleft", one, key.bitwiseAND(F.lit(63)).cast("int"))
-            return F.when(F.shiftright(key, 6).bitwiseAND(F.lit(1)) == half, own).otherwise(none)
+        def own(key: Column) -> Column:
+            return F.call_function("shiftleft", bit(key), key.bitwiseAND(F.lit(63)).cast("int"))
 
-        return F.aggregate("keys", none, lambda bits, key: bits.bitwiseXOR(bit(key)))
+        return F.aggregate("keys", none, lambda bits, key: bits.bitwiseXOR(own(key)))
 
+    every = parity(lambda _: F.lit(1).cast("long"))
+    odd = parity(lambda key: F.shiftright(key, 6).bitwiseAND(F.lit(1).cast("long")))
     prefix = F.slice("keys", 1, n - _ceil_div(p * n, q) + 1)
     small = F.transform(prefix, lambda key: F.shiftright(F.shiftleft(key, 32), 32).cast("int"))
     found = keyed.select(
@@ -111,8 +122,8 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         "place",
         F.struct(
             n.alias("n"),
-            parity(0).alias("even"),
-            parity(1).alias("odd"),
+            every.bitwiseXOR(odd).alias("even"),
+            odd.alias("odd"),
             small.alias("prefix"),
         ).alias("of"),
     )
@@ -121,17 +132,17 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     return stored(sets.orderBy("first").select(F.monotonically_increasing_id().alias("id"), "first", "of.*"), "sets")
 
 
-def _most_apart(together: Column, similarity: tuple[int, int]) -> Column:
-    """Words that two matching lines, of so many words together, may not have in common."""
-    p, q = similarity
-    return together - 2 * _ceil_div(p * together, p + q)
-
-
 def _plausible(x: _Side, y: _Side, similarity: tuple[int, int]) -> Column:
-    """Whether two sets pass the length filter and agree in enough of the parities."""
+    """Whether two sets pass the length filter and agree in enough of the parities.
+
+    Of t words together a match has at least p * t / (p + q) in common, and all others are
+    apart. Whole numbers throughout, as this is computed for every pair that shares a word.
+    """
     p, q = similarity
     differ = sum(F.bit_count(x[c].bitwiseXOR(y[c])) for c in ("even", "odd"))
-    return (q * F.least(x["n"], y["n"]) >= p * F.greatest(x["n"], y["n"])) & (differ <= _most_apart(x["n"] + y["n"], similarity))
+    together = x["n"] + y["n"]
+    near = (p + q) * F.shiftright(together - differ, 1) >= p * together
+    return (q * F.least(x["n"], y["n"]) >= p * F.greatest(x["n"], y["n"])) & near
 
 
 def _reachable(x: _Side, y: _Side, similarity: tuple[int, int]) -> Column:
@@ -142,11 +153,10 @@ def _reachable(x: _Side, y: _Side, similarity: tuple[int, int]) -> Column:
     p, q = similarity
 
     def indexed(s: _Side) -> Column:
-        return s["pos"] <= s["n"] - _ceil_div(2 * p * s["n"], p + q)
+        return (p + q) * (s["n"] - s["pos"]) >= 2 * p * s["n"]
 
     common = F.least(x["n"] - x["pos"], y["n"] - y["pos"])
-    together = x["n"] + y["n"]
-    return F.when(x["n"] <= y["n"], indexed(x)).otherwise(indexed(y)) & (common >= _ceil_div(p * together, p + q))
+    return F.when(x["n"] <= y["n"], indexed(x)).otherwise(indexed(y)) & ((p + q) * common >= p * (x["n"] + y["n"]))
 
 
 class _Side:
@@ -162,7 +172,7 @@ class _Side:
 def _pairs(earlier: DataFrame, later: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs (x, y) of sets that share a prefix word and may match, x earlier and y open."""
     x, y = _Side("x"), _Side("y")
-    fits = (x["word"] == y["word"]) & y["open"] & (x["id"] < y["id"]) & _reachable(x, y, similarity) & _plausible(x, y, similarity)
+    fits = (x["word"] == y["word"]) & y["open"] & (x["id"] < y["id"]) & _plausible(x, y, similarity) & _reachable(x, y, similarity)
     found = earlier.alias("x").join(later.alias("y"), fits)
     return found.select(x["id"].alias("x"), y["id"].alias("y")).distinct()
 
