@@ -91,13 +91,13 @@ class StoredTable:
 
     def merge(self, rows: DataFrame, load: int, order: Sequence[str] = ()) -> int:
         """Take in the newest rows of a batch in place of stored ones with their keys."""
-        rows = saved(self.newest(rows.select(*self.schema.names), order), work_folder(self.spark, "batch"))
-        keyed = reduce(Column.__and__, (F.col(k).isNotNull() for k in self.keys))
-        return self.replace(rows, rows.filter(keyed), load)
+        return self.replace(self.newest(rows.select(*self.schema.names), order), None, load)
 
-    def replace(self, rows: DataFrame, gone: DataFrame, load: int) -> int:
+    def replace(self, rows: DataFrame, gone: DataFrame | None, load: int) -> int:
         """Put rows in place of all stored ones with the keys of `gone`, null keys included.
 
+        Without `gone` these are the keys of the rows themselves, as far as they have all.
+
         Only folders that lose or get rows are read in full and written again; of the others
         the keys alone are read. A folder is replaced when all of its new rows are written.
         Rows that lack a key are never replaced, but a load that runs again writes its own
@@ -106,6 +106,8 @@ class StoredTable:
         folder = work_folder(self.spark, "load")
         fresh = rows.select(*self.schema.names, F.lit(load).cast("long").alias(LOAD), self.partition.cast("string").alias(PART))
         seen = saved(fresh, f"{folder}/rows")
+        if gone is None:
+            gone = seen.filter(reduce(Column.__and__, (F.col(k).isNotNull() for k in self.keys)))
         gone = saved(_prefixed(gone.select(*self.keys).distinct()), f"{folder}/gone")
         old = self._stored()
         matched = old.join(gone, same_keys(list(self.keys)), "left_semi")
@@ -115,7 +117,8 @@ class StoredTable:
         # Few rows: Spark prunes the folders that it reads by them.
         kept = old.join(touched, same_keys([PART]), "left_semi").filter(F.col(LOAD) != load)
         kept = kept.join(gone, same_keys(list(self.keys)), "left_anti")
-        merged = saved(kept.unionByName(seen), f"{folder}/merged")
+        # Only stored rows need a copy before their folders are overwritten.
+        merged = saved(kept, f"{folder}/kept").unionByName(seen)
         writer = merged.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(PART).parquet(self.path)
         left = _prefixed(merged.select(PART).distinct()).withColumnRenamed(f"_{PART}", "_still")

@@ -44,6 +44,25 @@ def whole(store, final):
     assert rows(store.activity.read()) == rows(facts.account_transactions(with_history(trans)))
 
 
+def test_a_batch_is_staged_once(spark, store, monkeypatch):
+    """New rows are copied once before they are put in place, stored rows of their folders once."""
+    staged, saved = [], incremental.saved
+
+    def counted(df, path):
+        out = saved(df, path)
+        if "amount" in out.columns:
+            staged.append(out.count())
+        return out
+
+    monkeypatch.setattr(incremental, "saved", counted)
+    trans = spark.createDataFrame(transactions(4), SCHEMA)
+    assert store.trans.merge(trans, 1, ("date",)) == 300 and sum(staged) == 300
+    staged.clear()
+    again = trans.filter("trans_id < 100")
+    assert store.trans.merge(again, 2, ("date",)) == 100 and sum(staged) <= 300
+    assert rows(store.trans.read()) == rows(trans)
+
+
 def test_parts_equal_the_whole(spark, store):
     """New, late, corrected and moved rows, in three batches."""
     final = transactions(1)
