@@ -21,6 +21,7 @@ ALNUM_ONLY = bytes(
 )
 LONG, INT, DOUBLE, STRING, BOOLEAN = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.BooleanType()
 BINARY = T.BinaryType()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,11 +93,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read back: a lost executor loses nothing."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
+    """The rows written to the shared folder and read back: a lost executor loses nothing.
+
+    With clean, Spark removes the shuffle files of this step when it has ended; else they
+    stay until the driver's JVM collects what refers to them.
+    """
+    spark = df.sparkSession
+    path, before = shared_folder(spark, name), spark.conf.get(_CLEANUP, "false")
+    if clean:
+        spark.conf.set(_CLEANUP, "true")
+        df = df.select("*")  # a new frame, as one keeps the setting it was made under
+    try:
+        df.write.parquet(path)
+    finally:
+        if clean:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def unused(name: str, columns: list[str]) -> str:

@@ -24,7 +24,7 @@ from tellermill.llm.common import stored, table, text_key, unused
 #: Least Jaccard similarity of matching lines, as a fraction; 4/5 by default.
 SIMILARITY = (4, 5)
 #: Rarity is counted by hash slot, so its table has a fixed size; words of a slot share it.
-SLOTS = 1 << 16
+SLOTS = 1 << 18
 #: Places of lines to verify that are sent to all executors, in bytes; beyond, by a shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Lines that share a prefix word and are not compared with the earliest of them beforehand;
@@ -41,23 +41,28 @@ _BLANKS = " \t\v\f\r"
 _PLACE = ("null_id", "doc_id", "text_key", "line_no")
 
 
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    """Stored rows; each step shuffles about as much as the input, so its files go with it."""
+    return stored(rows, name, clean=True)
+
+
 def _spaced(text: Column) -> Column:
     """The text with a space for every blank but line ends; few texts have any of those."""
-    spaced = text
+    spaced, others = text, F.lit(False)
     for blank in _BLANKS[1:]:
         spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
-    return F.when(text.rlike(f"[{_BLANKS[1:]}]"), spaced).otherwise(text)
+        others = others | F.contains(text, F.lit(blank))
+    return F.when(others, spaced).otherwise(text)
 
 
 def _words(line: Column) -> Column:
-    """The words of a text whose blanks are spaces."""
-    return F.array_remove(F.split(line, " "), "")
+    return F.array_remove(F.split(_spaced(line), " "), "")
 
 
 def rarity(docs: DataFrame) -> Column:
     """Array of 6-bit frequency classes by slot, two classes for each doubling of the count."""
-    text = F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" "))
-    words = docs.select(F.explode(_words(text)).alias("w"))
+    cut = docs.select(F.explode(F.split("text", "\n")).alias("line"))
+    words = cut.select(F.explode(F.split(_spaced(F.col("line")), " ")).alias("w")).filter("w <> ''")
     slot = F.xxhash64("w").bitwiseAND(F.lit(SLOTS - 1))
     counts = words.groupBy(slot.alias("slot")).count().collect()  # SLOTS rows at most
     classes = ["0"] * SLOTS
@@ -67,9 +72,9 @@ def rarity(docs: DataFrame) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """A row for each line of docs: doc_id, text_key, line_no and line, its blanks as spaces."""
+    """A row for each line of docs: doc_id, text_key, line_no and line."""
     # The key is computed before the texts are cut; else every line would carry its text.
-    cut = docs.select("doc_id", text_key().alias("text_key"), F.split(_spaced(F.col("text")), "\n").alias("every"))
+    cut = docs.select("doc_id", text_key().alias("text_key"), F.split("text", "\n").alias("every"))
     return cut.select("doc_id", "text_key", F.posexplode("every").alias("line_no", "line"))
 
 
@@ -99,7 +104,7 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     p, q = similarity
     place = F.struct(F.col("doc_id").isNull().alias("null_id"), *(F.col(c) for c in _PLACE[1:]))
     # Lines without words go first, and by their text: a filter on the keys computes them twice.
-    worded = lines(docs).filter(F.trim("line") != "")
+    worded = lines(docs).filter(F.trim("line", F.lit(_BLANKS)) != "")
     keyed = worded.select(place.alias("place"), _keys(F.col("line"), rarity(docs)).alias("keys"))
     n = F.size("keys")
     none = F.lit(0).cast("long")
@@ -129,7 +134,7 @@ def line_sets(docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     )
     sets = found.groupBy("set_a", "set_b").agg(F.min("place").alias("first"), F.any_value("of").alias("of"))
     # Rising numbers by partition and row, so they follow the sort.
-    return stored(sets.orderBy("first").select(F.monotonically_increasing_id().alias("id"), "first", "of.*"), "sets")
+    return _stored(sets.orderBy("first").select(F.monotonically_increasing_id().alias("id"), "first", "of.*"), "sets")
 
 
 def _plausible(x: _Side, y: _Side, similarity: tuple[int, int]) -> Column:
@@ -177,29 +182,48 @@ def _pairs(earlier: DataFrame, later: DataFrame, similarity: tuple[int, int]) ->
     return found.select(x["id"].alias("x"), y["id"].alias("y")).distinct()
 
 
+def _pairs_of_all(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """_pairs of rows with themselves, by one shuffle that serves both sides.
+
+    So both sides have the same rows and columns up to there. The rows that are not open
+    leave the later side by an explode behind it, as a filter would go below the shuffle.
+    """
+    dealt = rows.repartition("word")
+    x, y = _Side("x"), _Side("y")
+    still = dealt.withColumn("still", F.explode(F.filter(F.array("open"), lambda is_open: is_open)))
+    used = x["open"] | y["still"]  # always true: the earlier side keeps this column too
+    fits = (x["word"] == y["word"]) & used & (x["id"] < y["id"]) & _plausible(x, y, similarity) & _reachable(x, y, similarity)
+    found = dealt.alias("x").join(still.alias("y"), fits)
+    return found.select(x["id"].alias("x"), y["id"].alias("y")).distinct()
+
+
 def _led(rows: DataFrame, slim: DataFrame, shared: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs (x, y) that may match of leaders x of a shared word and later sets y with it."""
     leaders = shared.select("word", F.explode(F.array_compact("leaders")).alias("id"))
     leaders = slim.drop("prefix").join(_sent_whole(leaders, F.lit(32)), "id")
-    leaders = _sent_whole(stored(leaders, "leaders"), F.lit(64))
+    leaders = _sent_whole(_stored(leaders, "leaders"), F.lit(64))
     x, y = _Side("x"), _Side("y")
     fits = (x["word"] == y["word"]) & (x["id"] < y["id"]) & _plausible(x, y, similarity)
     return rows.alias("y").join(leaders.alias("x"), fits).select(x["id"].alias("x"), y["id"].alias("y")).distinct()
 
 
+def _few(rows: DataFrame, bytes_each: Column) -> bool:
+    """Whether stored rows are few enough bytes altogether to go to all executors."""
+    return (rows.agg(F.sum(bytes_each)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def _sent_whole(rows: DataFrame, bytes_each: Column) -> DataFrame:
-    """Stored rows, marked to go to all executors if they are few bytes altogether."""
-    size = rows.agg(F.sum(bytes_each)).first()[0] or 0
-    return F.broadcast(rows) if size <= BROADCAST_BYTES else rows
+    return F.broadcast(rows) if _few(rows, bytes_each) else rows
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Ids y of the pairs (x, y) of sets whose words have the similarity."""
+    """Ids y of the stored pairs (x, y) of sets whose words have the similarity."""
     p, q = similarity
-    pairs = stored(pairs, "pairs")
     ids = pairs.select(F.col("x").alias("id")).unionAll(pairs.select("y")).distinct()
-    wanted = stored(sets.join(ids, "id", "left_semi").select("id", "first"), "wanted")
-    wanted = _sent_whole(wanted, 64 + F.octet_length(F.coalesce(F.col("first.doc_id").cast("string"), F.lit(""))))
+    wanted = _stored(sets.join(ids, "id", "left_semi").select("id", "first"), "wanted")
+    if _few(wanted, 64 + F.octet_length(F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")))):
+        wanted = F.broadcast(wanted)  # twice: only texts that have such a line are cut
+        docs = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first.doc_id"]) & (text_key() == wanted["first.text_key"]), "left_semi")
     own = lines(docs)
     same = own["doc_id"].eqNullSafe(wanted["first.doc_id"])
     for c in _PLACE[2:]:
@@ -208,7 +232,7 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tu
     words = F.array_distinct(F.transform(_words(F.col("line")), lambda word: F.xxhash64(word)))
     # Rows that repeat both id and text give the same line again.
     found = own.join(wanted, same).groupBy("id").agg(F.any_value(words).alias("words"))
-    found = stored(found, "words")
+    found = _stored(found, "words")
     x, y = (found.select(F.col("id").alias(c), F.col("words").alias(f"of_{c}")) for c in "xy")
     common = F.size(F.array_intersect("of_x", "of_y"))
     either = F.size("of_x") + F.size("of_y") - common
@@ -223,8 +247,9 @@ def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int])
     So where more than FEW_LINES sets share a prefix word, they are first compared with the
     LEADERS earliest of them, by classes of a hash. Where more than GROUP_LINES share it,
     they are also compared with about SAMPLE of them, chosen by a hash, then with samples
-    that are SAMPLE times larger each time. A set that found its match is settled: it needs
-    no more, and still counts as an earlier line for others. A set that is left after a
+    that are SAMPLE times larger each time, unless few pairs are left for all of them. A set
+    that found its match is settled: it needs no more, and still counts as an earlier line
+    for others. A set that is left after a
     sample has few matches in the next one, as about one in SAMPLE of those was in the
     sample before.
     """
@@ -239,11 +264,11 @@ def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int])
     drawn = F.pmod(F.xxhash64("id"), F.lit(LEADERS))
     leaders = F.array(*(F.min(F.when(drawn == k, F.col("id"))) for k in range(LEADERS))).alias("leaders")
     counts = rows.groupBy("word").agg(F.count(F.lit(1)).alias("c"), leaders)
-    shared = stored(counts.filter(F.col("c") > min(FEW_LINES, GROUP_LINES)), "shared")
+    shared = _stored(counts.filter(F.col("c") > min(FEW_LINES, GROUP_LINES)), "shared")
     pairs = _led(rows, slim, shared, similarity)
     common = shared.filter(F.col("c") > GROUP_LINES).select("word", "c")
     most = common.agg(F.max("c")).first()[0] or 0
-    hot = stored(rows.join(_sent_whole(common, F.lit(32)), "word"), "hot") if most else None
+    hot = _stored(rows.join(_sent_whole(common, F.lit(32)), "word"), "hot") if most else None
     settled, sample = None, SAMPLE
     while True:
         if sample < most:
@@ -255,14 +280,16 @@ def later_matches(docs: DataFrame, sets: DataFrame, similarity: tuple[int, int])
             pairs = drawn if settled is not None else pairs.unionAll(drawn).distinct()
         elif settled is not None:
             break
+        pairs = _stored(pairs, "pairs")
+        if settled is not None and pairs.count() * most <= sample * slim.count():
+            break  # all that share these words make about most / sample times as many
         found = _verified(docs, sets, pairs, similarity)
-        settled = stored(found if settled is None else settled.unionAll(found).distinct(), "settled")
+        settled = _stored(found if settled is None else settled.unionAll(found).distinct(), "settled")
         sample *= SAMPLE
 
     flagged = slim.join(settled, slim["id"] == settled["later"], "left")
     rows = by_word(flagged.withColumn("open", F.col("later").isNull()))
-    # Both sides are the same rows, so one shuffle serves both.
-    rest = _verified(docs, sets, _pairs(rows, rows, similarity), similarity)
+    rest = _verified(docs, sets, _stored(_pairs_of_all(rows, similarity), "pairs"), similarity)
     return settled.unionAll(rest).distinct()
 
 
@@ -281,13 +308,13 @@ def without_repeated_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILA
         raise ValueError("the similarity must lie above 0 and not above 1")
     source = docs.select("doc_id", "text")
     sets = line_sets(source, similarity)
-    gone = stored(later_matches(source, sets, similarity), "gone")
+    gone = _stored(later_matches(source, sets, similarity), "gone")
     kept = (
         sets.join(gone, sets["id"] == gone["later"], "left_anti")
         .groupBy(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key"))
         .agg(F.collect_set("first.line_no").alias("kept"))
     )
-    kept = stored(kept, "kept")
+    kept = _stored(kept, "kept")
     columns = [c for c in docs.columns if c != "lines"]
     rows = docs.select(F.struct(*(docs[c] for c in columns)).alias("of"))
     text = F.col("of.text")

@@ -144,3 +144,35 @@ def test_stage_drops_documents_without_lines(spark, make_docs, tmp_path):
 def test_no_python_runs(make_docs):
     plan = line_dedup.without_repeated_lines(make_docs([(1, "a b")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_steps_leave_no_shuffle_files(spark, make_docs):
+    """What a step has shuffled is gone when the step has ended, so disk holds one step's at a time."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = disk.getAllBlocks()
+        names = {blocks.apply(k).name() for k in range(blocks.size())}
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+    docs = make_docs(corpus(5))
+    docs.groupBy("text").count().collect()
+    before, setting = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    line_dedup.line_sets(docs, (4, 5))
+    assert len(shuffled() - before) <= 1  # the count of rarity; two shuffles of the sets are gone
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
+def test_both_sides_share_a_shuffle(spark, make_docs):
+    """The pairs of all open sets: the later side, without closed ones, reads the earlier side's shuffle."""
+    slim = line_dedup.line_sets(make_docs(corpus(6)), (4, 5))
+    rows = slim.select("id", "even", "odd", (F.col("id") % 3 > 0).alias("open"), "n", F.posexplode("prefix").alias("pos", "word"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many rows
+    try:
+        found = line_dedup._pairs_of_all(rows, (4, 5))
+        got, want = found.collect(), line_dedup._pairs(rows, rows, (4, 5)).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got and sorted(got) == sorted(want) and all(r["y"] % 3 for r in got)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("== Initial Plan ==")[0]
