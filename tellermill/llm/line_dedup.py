@@ -24,7 +24,7 @@ from tellermill.llm.common import stored, table, text_key, unused
 #: Least Jaccard similarity of matching lines, as a fraction; 4/5 by default.
 SIMILARITY = (4, 5)
 #: Rarity is counted by hash slot, so its table has a fixed size; words of a slot share it.
-SLOTS = 1 << 18
+SLOTS = 1 << 16
 #: Places of lines to verify that are sent to all executors, in bytes; beyond, by a shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Lines that share a prefix word and are not compared with the earliest of them beforehand;
@@ -190,7 +190,8 @@ def _pairs_of_all(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """
     dealt = rows.repartition("word")
     x, y = _Side("x"), _Side("y")
-    still = dealt.withColumn("still", F.explode(F.filter(F.array("open"), lambda is_open: is_open)))
+    once = F.when(F.col("open"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    still = dealt.withColumn("still", F.explode(once))
     used = x["open"] | y["still"]  # always true: the earlier side keeps this column too
     fits = (x["word"] == y["word"]) & used & (x["id"] < y["id"]) & _plausible(x, y, similarity) & _reachable(x, y, similarity)
     found = dealt.alias("x").join(still.alias("y"), fits)
@@ -207,13 +208,10 @@ def _led(rows: DataFrame, slim: DataFrame, shared: DataFrame, similarity: tuple[
     return rows.alias("y").join(leaders.alias("x"), fits).select(x["id"].alias("x"), y["id"].alias("y")).distinct()
 
 
-def _few(rows: DataFrame, bytes_each: Column) -> bool:
-    """Whether stored rows are few enough bytes altogether to go to all executors."""
-    return (rows.agg(F.sum(bytes_each)).first()[0] or 0) <= BROADCAST_BYTES
-
-
 def _sent_whole(rows: DataFrame, bytes_each: Column) -> DataFrame:
-    return F.broadcast(rows) if _few(rows, bytes_each) else rows
+    """Stored rows, marked to go to all executors if they are few bytes altogether."""
+    size = rows.agg(F.sum(bytes_each)).first()[0] or 0
+    return F.broadcast(rows) if size <= BROADCAST_BYTES else rows
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -221,9 +219,7 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: tu
     p, q = similarity
     ids = pairs.select(F.col("x").alias("id")).unionAll(pairs.select("y")).distinct()
     wanted = _stored(sets.join(ids, "id", "left_semi").select("id", "first"), "wanted")
-    if _few(wanted, 64 + F.octet_length(F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")))):
-        wanted = F.broadcast(wanted)  # twice: only texts that have such a line are cut
-        docs = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first.doc_id"]) & (text_key() == wanted["first.text_key"]), "left_semi")
+    wanted = _sent_whole(wanted, 64 + F.octet_length(F.coalesce(F.col("first.doc_id").cast("string"), F.lit(""))))
     own = lines(docs)
     same = own["doc_id"].eqNullSafe(wanted["first.doc_id"])
     for c in _PLACE[2:]:
